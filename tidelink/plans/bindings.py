@@ -49,3 +49,104 @@ marker_events AS (
                          ELSE event_type END AS event,
          epoch_us(ts) // 1000 AS timecode_utc
   FROM events)"""
+
+
+# --- samples / recordings (ECG roles) -------------------------------------
+
+STUDY_ROOT = "/study"
+
+
+def _participant(user_id="user_id"):
+    return F.lpad(F.col(user_id).cast("string"), 5, "0")
+
+
+def _week(ts="ts"):
+    return F.to_date(F.date_trunc("week", F.col(ts))).cast("string")
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """click/view/error events as sensor samples; one recording per user-week."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin(*SAMPLE_TYPES))
+    return ev.select(
+        F.concat(F.lit("u"), _participant(), F.lit("/"), _week()).alias("id_recording"),
+        _participant().alias("participant"),
+        F.col("event_id").alias("id"), F.col("ts").alias("t"), F.col("value").alias("ecg"))
+
+
+SAMPLES_SQL = f"""
+samples AS (
+  SELECT 'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '/' ||
+           CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS id_recording,
+         lpad(CAST(user_id AS VARCHAR), 5, '0') AS participant,
+         event_id AS id, ts AS t, value AS ecg
+  FROM events WHERE event_type IN ({", ".join(f"'{x}'" for x in SAMPLE_TYPES)}))"""
+
+
+def category_of(user_id: str = "user_id"):
+    """Binding: respondent category 1..12 of a user."""
+    return (F.col(user_id) % 12 + 1).cast("int")
+
+
+def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recording meta per user-week: id, id_session, participant, path,
+    device_id, respondent_cat, year, month (of the first sample)."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin(*SAMPLE_TYPES))
+    per = ev.groupBy("user_id", F.date_trunc("week", "ts").alias("_wk")).agg(F.min("ts").alias("_t0"))
+    part = _participant()
+    folder = F.concat_ws("/", F.lit(STUDY_ROOT), F.lit("ecg"), category_of().cast("string"), part)
+    return per.select(
+        F.concat(F.lit("u"), part, F.lit("/"), F.to_date("_wk").cast("string")).alias("id"),
+        F.md5(folder).alias("id_session"),
+        part.alias("participant"),
+        F.concat(folder, F.lit("/"), F.to_date("_wk").cast("string"), F.lit("-ecg.csv")).alias("path"),
+        F.concat(F.lit("BG"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("device_id"),
+        category_of().alias("respondent_cat"),
+        F.year("_t0").alias("year"), F.month("_t0").alias("month"))
+
+
+RECORDINGS_SQL = f"""
+recordings AS (
+  SELECT 'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '/' || CAST(CAST(wk AS DATE) AS VARCHAR) AS id,
+         md5(concat_ws('/', '{STUDY_ROOT}', 'ecg', CAST(user_id % 12 + 1 AS VARCHAR),
+                       lpad(CAST(user_id AS VARCHAR), 5, '0'))) AS id_session,
+         lpad(CAST(user_id AS VARCHAR), 5, '0') AS participant,
+         concat_ws('/', '{STUDY_ROOT}', 'ecg', CAST(user_id % 12 + 1 AS VARCHAR),
+                   lpad(CAST(user_id AS VARCHAR), 5, '0')) || '/' || CAST(CAST(wk AS DATE) AS VARCHAR)
+           || '-ecg.csv' AS path,
+         'BG' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS device_id,
+         CAST(user_id % 12 + 1 AS INTEGER) AS respondent_cat,
+         CAST(year(t0) AS INTEGER) AS year, CAST(month(t0) AS INTEGER) AS month
+  FROM (SELECT user_id, date_trunc('week', ts) AS wk, min(ts) AS t0 FROM events
+        WHERE event_type IN ({", ".join(f"'{x}'" for x in SAMPLE_TYPES)}) GROUP BY 1, 2))"""
+
+
+# --- EDA files (second device) ----------------------------------------------
+
+EDA_ZONES = {"bd": "Asia/Dhaka", "al": "Asia/Almaty", "ist": "Asia/Calcutta"}
+EDA_TYPE = "click"
+
+
+def eda_meta_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """click events as EDA files: header start time read as wall clock in
+    three candidate zones (wide), length in seconds as float."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == EDA_TYPE)
+    part = _participant()
+    cols = [F.concat_ws("/", F.lit(STUDY_ROOT), F.lit("eda"), category_of().cast("string"),
+                        F.col("event_id").cast("string"), F.concat(part, F.lit(".csv"))).alias("path"),
+            F.concat(F.lit("ES"), F.lpad((F.col("user_id") % 7).cast("string"), 4, "0")).alias("device"),
+            part.alias("mirage_pid"), category_of().alias("rescat"),
+            (F.col("value") * 60).cast("float").alias("length_secs")]
+    zones = [F.to_utc_timestamp("ts", z).alias(f"start_time_{k}") for k, z in EDA_ZONES.items()]
+    return ev.select(*cols, *zones)
+
+
+EDA_WIDE_SQL = f"""
+eda_wide AS (
+  SELECT concat_ws('/', '{STUDY_ROOT}', 'eda', CAST(user_id % 12 + 1 AS VARCHAR), CAST(event_id AS VARCHAR),
+                   lpad(CAST(user_id AS VARCHAR), 5, '0') || '.csv') AS path,
+         'ES' || lpad(CAST(user_id % 7 AS VARCHAR), 4, '0') AS device,
+         lpad(CAST(user_id AS VARCHAR), 5, '0') AS mirage_pid,
+         CAST(user_id % 12 + 1 AS INTEGER) AS rescat,
+         CAST(value * 60 AS FLOAT) AS length_secs,
+         {", ".join(f"timezone('UTC', timezone('{z}', ts)) AS start_time_{k}" for k, z in EDA_ZONES.items())}
+  FROM events WHERE event_type = '{EDA_TYPE}')"""

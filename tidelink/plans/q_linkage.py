@@ -1 +1,239 @@
-"""Queries (filled in below)."""
+"""Queries over the linkage operators (A1, W1, J2-J6, P8a/P8d, L3, L4, L8)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidelink.functions.timefn import add_seconds, day_of
+from tidelink.operators import linkage as L
+from tidelink.operators.reshape import dense_ids, unpivot_non_null
+from tidelink.plans import bindings as B
+from tidelink.plans.q_events import windows
+from tidelink.plans.registry import query
+from tidelink.plans.sqlparts import marker_windows_ctes, with_ctes
+from tidelink.sources.tables import table
+
+TOLERANCE_MINUTES = 120  # widened from the reference's 10: the two event types rarely coincide
+
+OFFSETS_SQL = """
+s2 AS (
+  SELECT *, (epoch_us(t) - min(epoch_us(t)) OVER (PARTITION BY id_recording)) // 1000 / 1000 AS offset_secs
+  FROM samples)"""
+LIMITS_SQL = """
+limits AS (
+  SELECT id_recording, participant, min(t) AS t_min, max(t) AS t_max FROM samples GROUP BY 1, 2)"""
+LINKS_SQL = """
+links AS (
+  SELECT l.id_recording, w.id AS id_mirage, w.mirage_pid AS id_participant, w.start, w."end"
+  FROM limits l JOIN windows w
+    ON w.mirage_pid = l.participant AND w.start >= l.t_min AND w."end" <= l.t_max)"""
+BACK_SQL = """
+bk AS (
+  SELECT k.id_recording, k.id_mirage, s.t AS time_start, s.offset_secs AS offset_start
+  FROM links k ASOF JOIN s2 s ON k.id_recording = s.id_recording AND k.start >= s.t)"""
+FWD_SQL = """
+fw AS (
+  SELECT k.id_recording, k.id_mirage, s.t AS time_end, s.offset_secs AS offset_end
+  FROM links k ASOF JOIN s2 s ON k.id_recording = s.id_recording AND k."end" <= s.t)"""
+LINKED_SQL = """
+linked AS (SELECT * FROM bk FULL JOIN fw USING (id_recording, id_mirage))"""
+
+
+def link_ctes() -> list[str]:
+    return [*marker_windows_ctes(), B.SAMPLES_SQL, OFFSETS_SQL, LIMITS_SQL, LINKS_SQL,
+            BACK_SQL, FWD_SQL, LINKED_SQL]
+
+
+def samples_with_offset(spark, sf_dir):
+    return L.offset_from_start(B.samples(spark, sf_dir))
+
+
+def limits(spark, sf_dir):
+    s = B.samples(spark, sf_dir)
+    return s.groupBy("id_recording", "participant").agg(F.min("t").alias("t_min"), F.max("t").alias("t_max"))
+
+
+def links(spark, sf_dir):
+    """(id_recording, id_mirage, id_participant, start, end) by containment."""
+    w = windows(spark, sf_dir).select(F.col("mirage_pid").alias("participant"),
+                                      F.col("id").alias("id_mirage"), "start", "end")
+    return (L.contained_in(limits(spark, sf_dir), w, ["participant"])
+             .select("id_recording", "id_mirage", F.col("participant").alias("id_participant"),
+                     "start", "end"))
+
+
+def linked(spark, sf_dir):
+    """L4: links with the sample times/offsets at both window edges."""
+    out = L.asof_edges(links(spark, sf_dir), samples_with_offset(spark, sf_dir), "id_recording",
+                       "start", "end", "t", ["offset_secs"], ["id_recording", "id_mirage"])
+    return out.select("id_recording", "id_mirage", "time_start", "time_end",
+                      F.col("offset_secs_start").alias("offset_start"),
+                      F.col("offset_secs_end").alias("offset_end"))
+
+
+@query("recording_limits", with_ctes(B.SAMPLES_SQL, final="""
+SELECT id_recording, min(t) AS t_min, max(t) AS t_max FROM samples GROUP BY 1"""))
+def q_recording_limits(spark, sf_dir):
+    """A1: first/last sample per recording."""
+    return L.recording_limits(B.samples(spark, sf_dir))
+
+
+@query("offset_from_start", with_ctes(B.SAMPLES_SQL, OFFSETS_SQL,
+                                      final="SELECT id_recording, id, t, offset_secs FROM s2"))
+def q_offset_from_start(spark, sf_dir):
+    """Offset of every sample from its recording's first sample."""
+    return samples_with_offset(spark, sf_dir).select("id_recording", "id", "t", "offset_secs")
+
+
+@query("contained_in", with_ctes(*marker_windows_ctes(), B.SAMPLES_SQL, LIMITS_SQL, LINKS_SQL,
+                                 final="SELECT id_recording, id_mirage, id_participant FROM links"))
+def q_contained_in(spark, sf_dir):
+    """Marker windows inside a recording of the same participant."""
+    return links(spark, sf_dir).select("id_recording", "id_mirage", "id_participant")
+
+
+@query("asof_backward", with_ctes(*link_ctes()[:-2], final="SELECT * FROM bk"))
+def q_asof_backward(spark, sf_dir):
+    """Last sample at or before each linked window's start."""
+    return linked(spark, sf_dir).select("id_recording", "id_mirage", "time_start", "offset_start")
+
+
+@query("asof_forward", with_ctes(*link_ctes()[:-3], FWD_SQL, final="SELECT * FROM fw"))
+def q_asof_forward(spark, sf_dir):
+    """First sample at or after each linked window's end."""
+    return linked(spark, sf_dir).select("id_recording", "id_mirage", "time_end", "offset_end")
+
+
+@query("link_recordings", with_ctes(*link_ctes(), final="SELECT * FROM linked"))
+def q_link_recordings(spark, sf_dir):
+    """L4 (flagship): containment + as-of at both edges, wide per link."""
+    return linked(spark, sf_dir)
+
+
+@query("asof_bucketed", with_ctes(*link_ctes(), final="SELECT * FROM linked"))
+def q_asof_bucketed(spark, sf_dir):
+    """L4 through the large-lookup path (bucketed as-of, no broadcast)."""
+    out = L.asof_edges(links(spark, sf_dir), samples_with_offset(spark, sf_dir), "id_recording",
+                       "start", "end", "t", ["offset_secs"], ["id_recording", "id_mirage"],
+                       broadcast_limit=-1, bucket_seconds=3600)
+    return out.select("id_recording", "id_mirage", "time_start", "time_end",
+                      F.col("offset_secs_start").alias("offset_start"),
+                      F.col("offset_secs_end").alias("offset_end"))
+
+
+# --- second device: tolerance and nearest matches -------------------------
+
+def _interval_events(spark, sf_dir, etype, s, e, idc, datec="date"):
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == etype)
+    end = F.timestamp_micros(F.unix_micros("ts") + F.floor(F.col("value") * 60000000))
+    return ev.select(F.lpad(F.col("user_id").cast("string"), 5, "0").alias("mirage_pid"),
+                     F.col("ts").alias(s), end.alias(e), F.col("event_id").alias(idc),
+                     day_of("ts").alias(datec))
+
+
+def _interval_sql(name, etype, s, e, idc):
+    return f"""
+{name} AS (
+  SELECT lpad(CAST(user_id AS VARCHAR), 5, '0') AS mirage_pid, ts AS {s},
+         make_timestamp(epoch_us(ts) + CAST(floor(value * 60000000) AS BIGINT)) AS "{e}",
+         event_id AS {idc}, date_trunc('day', ts) AS date
+  FROM events WHERE event_type = '{etype}')"""
+
+
+@query("tolerance_match", with_ctes(
+    _interval_sql("e", "click", "start_time", "end_time", "row_esense"),
+    _interval_sql("m", "view", "start", "end", "row_mirage"), final=f"""
+SELECT DISTINCT * FROM (
+  SELECT e.mirage_pid, e.start_time AS start_esense, e.end_time AS end_esense,
+         m.start AS start_mirage, m."end" AS end_mirage, e.date, e.row_esense, m.row_mirage,
+         abs(datediff('minute', m.start, e.start_time)) AS diff_start,
+         abs(datediff('minute', m."end", e.end_time)) AS diff_end
+  FROM e JOIN m ON e.mirage_pid = m.mirage_pid AND e.date = m.date)
+WHERE diff_start <= {TOLERANCE_MINUTES} AND diff_end <= {TOLERANCE_MINUTES}"""))
+def q_tolerance_match(spark, sf_dir):
+    """Click vs view intervals of one user-day within the tolerance."""
+    e = _interval_events(spark, sf_dir, "click", "start_time", "end_time", "row_esense")
+    m = _interval_events(spark, sf_dir, "view", "start", "end", "row_mirage")
+    j = L.tolerance_match(e, m, ["mirage_pid", "date"], TOLERANCE_MINUTES,
+                          ("start_time", "end_time"), ("start", "end"))
+    return j.select("mirage_pid", F.col("start_time").alias("start_esense"),
+                    F.col("end_time").alias("end_esense"), F.col("start").alias("start_mirage"),
+                    F.col("end").alias("end_mirage"), "date", "row_esense", "row_mirage",
+                    "diff_start", "diff_end").distinct()
+
+
+EDA_LONG_SQL = """
+eda_long AS (
+  SELECT * EXCLUDE (tz, start_time), regexp_replace(tz, 'start_time_', '') AS tz, start_time,
+         make_timestamp(epoch_us(start_time) + CAST(round(CAST(length_secs AS DOUBLE) * 1000000) AS BIGINT))
+           AS end_time
+  FROM (UNPIVOT eda_wide ON COLUMNS('^start_time_') INTO NAME tz VALUE start_time))"""
+
+
+def eda_long(spark, sf_dir):
+    wide = B.eda_meta_wide(spark, sf_dir)
+    ids = ["path", "device", "mirage_pid", "rescat", "length_secs"]
+    zones = [c for c in wide.columns if c.startswith("start_time_")]
+    long = unpivot_non_null(wide, ids, zones, "tz", "start_time")
+    return (long.withColumn("tz", F.regexp_replace("tz", "start_time_", ""))
+                .withColumn("end_time", add_seconds(F.col("start_time"), F.col("length_secs"))))
+
+
+@query("unpivot_timezones", with_ctes(B.EDA_WIDE_SQL, EDA_LONG_SQL, final="SELECT * FROM eda_long"))
+def q_unpivot_timezones(spark, sf_dir):
+    """One row per candidate zone, end = start + length."""
+    return eda_long(spark, sf_dir)
+
+
+EDA_META_SQL = """
+eda_meta AS (
+  SELECT *, CAST(row_number() OVER (ORDER BY mirage_pid, start_time, tz, path) AS INTEGER) AS id
+  FROM (SELECT DISTINCT * FROM eda_long))"""
+
+
+def eda_meta(spark, sf_dir):
+    """EDA candidates, deduplicated and numbered by (participant, start)."""
+    return dense_ids(eda_long(spark, sf_dir).distinct(), ["start_time", "tz", "path"],
+                     bucket=["mirage_pid"])
+
+
+@query("eda_metadata", with_ctes(B.EDA_WIDE_SQL, EDA_LONG_SQL, EDA_META_SQL, final="SELECT * FROM eda_meta"))
+def q_eda_metadata(spark, sf_dir):
+    """Unpivoted EDA meta with dense ids."""
+    return eda_meta(spark, sf_dir)
+
+
+ME_MERGE_SQL = """
+me_merge AS (
+  SELECT * FROM (
+    SELECT *, min(diff_end) OVER (PARTITION BY mirage_pid, date ORDER BY diff_end) AS min_diff_end
+    FROM (
+      SELECT m.mirage_pid, m.date, m.start AS start_m, e.start_time AS start_e, m."end" AS end_m,
+             e.end_time AS end_e, e.tz, e.path AS file_esense, m.id AS row_mirage,
+             abs(date_diff('minute', e.end_time, m."end")) AS diff_end
+      FROM (SELECT *, date_trunc('day', start) AS date FROM windows) m
+      LEFT JOIN (SELECT *, date_trunc('day', start_time) AS date FROM eda_meta) e
+        ON m.mirage_pid = e.mirage_pid AND m.date = e.date))
+  WHERE diff_end = min_diff_end),
+me_merge_distinct AS (SELECT DISTINCT * EXCLUDE (tz) FROM me_merge)"""
+
+
+def me_merge_distinct(spark, sf_dir):
+    """Marker windows vs EDA candidates at the day's smallest end gap."""
+    m = windows(spark, sf_dir).select("mirage_pid", day_of("start").alias("date"),
+                                      F.col("start").alias("start_m"), F.col("end").alias("end_m"),
+                                      F.col("id").alias("row_mirage"))
+    e = eda_meta(spark, sf_dir).select("mirage_pid", day_of("start_time").alias("date"),
+                                       F.col("start_time").alias("start_e"), F.col("end_time").alias("end_e"),
+                                       F.col("path").alias("file_esense"))
+    j = L.nearest_match(m, e, ["mirage_pid", "date"], "end_m", "end_e")
+    return (j.select("mirage_pid", "date", "start_m", "start_e", "end_m", "end_e", "file_esense",
+                     "row_mirage", F.col("diff").alias("diff_end"), F.col("diff").alias("min_diff_end"))
+             .distinct())
+
+
+@query("nearest_end_match", with_ctes(*marker_windows_ctes(), B.EDA_WIDE_SQL, EDA_LONG_SQL,
+                                      EDA_META_SQL, ME_MERGE_SQL, final="SELECT * FROM me_merge_distinct"))
+def q_nearest_end_match(spark, sf_dir):
+    """Nearest-end EDA candidates per marker day, ties kept, zones collapsed."""
+    return me_merge_distinct(spark, sf_dir)

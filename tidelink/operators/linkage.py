@@ -66,9 +66,8 @@ def contained_in(outer: DataFrame, inner: DataFrame, on: Sequence[str],
 
 def _lookup_is_small(lookups: DataFrame, limit: int) -> tuple[DataFrame, bool]:
     """Materialise the lookup table once (reliable checkpoint) and size it."""
-    from tidelink.session import checkpoint_dir_ready
-    checkpoint_dir_ready(lookups.sparkSession)
-    lk = lookups.checkpoint()
+    from tidelink.session import materialize
+    lk = materialize(lookups)
     return lk, lk.count() <= limit
 
 

@@ -8,7 +8,7 @@ from tidelink.operators import events as E
 from tidelink.operators.reshape import dense_ids
 from tidelink.operators.stats import mad
 from tidelink.plans import bindings as B
-from tidelink.plans.registry import query
+from tidelink.plans.registry import query, stage
 from tidelink.plans.sqlparts import (MARKER_EVENTS_SQL, PAIRS_SQL, PREPARED_SQL, SESSIONS_SQL,
                                      marker_windows_ctes, with_ctes)
 from tidelink.sources.tables import table
@@ -20,7 +20,8 @@ LONG_WINDOW_SECONDS = 86400
 
 
 def windows(spark, sf_dir):
-    return E.marker_windows(B.marker_events(spark, sf_dir))
+    """Marker windows, materialised once per plan (read by many branches)."""
+    return stage(spark, sf_dir, "windows", lambda: E.marker_windows(B.marker_events(spark, sf_dir)))
 
 
 @query("pair_start_stop", with_ctes(MARKER_EVENTS_SQL, PREPARED_SQL, PAIRS_SQL,

@@ -9,7 +9,7 @@ from tidelink.operators import linkage as L
 from tidelink.operators.reshape import dense_ids, unpivot_non_null
 from tidelink.plans import bindings as B
 from tidelink.plans.q_events import windows
-from tidelink.plans.registry import query
+from tidelink.plans.registry import query, stage
 from tidelink.plans.sqlparts import marker_windows_ctes, with_ctes
 from tidelink.sources.tables import table
 
@@ -64,8 +64,9 @@ def links(spark, sf_dir):
 
 def linked(spark, sf_dir):
     """L4: links with the sample times/offsets at both window edges."""
-    out = L.asof_edges(links(spark, sf_dir), samples_with_offset(spark, sf_dir), "id_recording",
-                       "start", "end", "t", ["offset_secs"], ["id_recording", "id_mirage"])
+    out = stage(spark, sf_dir, "linked", lambda: L.asof_edges(
+        links(spark, sf_dir), samples_with_offset(spark, sf_dir), "id_recording",
+        "start", "end", "t", ["offset_secs"], ["id_recording", "id_mirage"]))
     return out.select("id_recording", "id_mirage", "time_start", "time_end",
                       F.col("offset_secs_start").alias("offset_start"),
                       F.col("offset_secs_end").alias("offset_end"))
@@ -227,9 +228,10 @@ def me_merge_distinct(spark, sf_dir):
                                        F.col("start_time").alias("start_e"), F.col("end_time").alias("end_e"),
                                        F.col("path").alias("file_esense"))
     j = L.nearest_match(m, e, ["mirage_pid", "date"], "end_m", "end_e")
-    return (j.select("mirage_pid", "date", "start_m", "start_e", "end_m", "end_e", "file_esense",
-                     "row_mirage", F.col("diff").alias("diff_end"), F.col("diff").alias("min_diff_end"))
-             .distinct())
+    return stage(spark, sf_dir, "me_merge", lambda:
+        j.select("mirage_pid", "date", "start_m", "start_e", "end_m", "end_e", "file_esense",
+                 "row_mirage", F.col("diff").alias("diff_end"), F.col("diff").alias("min_diff_end"))
+         .distinct())
 
 
 @query("nearest_end_match", with_ctes(*marker_windows_ctes(), B.EDA_WIDE_SQL, EDA_LONG_SQL,

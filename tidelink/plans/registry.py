@@ -13,6 +13,18 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
+# Stages materialised while building the current query (cleared per query,
+# so timings are never helped by an earlier query's work).
+_STAGES: dict[tuple, DataFrame] = {}
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Materialise a shared intermediate once per query build."""
+    from tidelink.session import materialize
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = materialize(build())
+    return _STAGES[key]
 
 
 def query(name: str, sql: str | None = None):
@@ -26,7 +38,11 @@ def query(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_conf(spark)
-            return as_naive(fn(spark, sf_dir))
+            _STAGES.clear()
+            try:
+                return as_naive(fn(spark, sf_dir))
+            finally:
+                _STAGES.clear()
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         _QUERIES[name] = run

@@ -69,9 +69,20 @@ def checkpoint_dir_ready(spark: SparkSession) -> None:
         scratch_dir(spark)
 
 
+def materialize(df):
+    """Cut lineage at a stage boundary: reliable checkpoint into the shared
+    checkpoint folder (survives executor loss; never a local checkpoint).
+
+    Used for the small intermediate tables (marker windows, sessions, links)
+    that several branches of a plan read, so they are computed once.
+    """
+    checkpoint_dir_ready(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def local_path(uri: str) -> str:
     """Strip a ``file:`` scheme (only used by tests that inspect files)."""
     return uri[5:] if uri.startswith("file:") else uri
 
 
-__all__ = ["get_session", "ensure_conf", "scratch_dir", "checkpoint_dir_ready", "local_path"]
+__all__ = ["get_session", "ensure_conf", "scratch_dir", "checkpoint_dir_ready", "materialize", "local_path"]

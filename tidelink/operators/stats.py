@@ -102,8 +102,8 @@ def mode_with_ties(df: DataFrame, by: Sequence[str], value: str, out: str = "mod
     counts = (df.where(F.col(value).isNotNull())
                 .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k")))
     top = counts.withColumn("_max", F.max("_k").over(Window.partitionBy(*by))).where(F.col("_k") == F.col("_max"))
-    joined = top.groupBy(*by).agg(
-        F.listagg(F.col(value).cast("string"), sep).withinGroup(F.col(value).asc()).alias(out))
+    joined = top.withColumn("_s", F.col(value).cast("string")).groupBy(*by).agg(
+        F.expr(f"listagg(_s, '{sep}') WITHIN GROUP (ORDER BY _s)").alias(out))
     return groups.join(joined, by, "left")
 
 
@@ -118,7 +118,7 @@ def unique_values(df: DataFrame, by: Sequence[str], cols: Sequence[str], out: st
     groups = df.select(*by).distinct()
     vals = (df.select(*by, F.explode(F.array(*[F.col(c).cast("string") for c in cols])).alias("_v"))
               .where(F.col("_v").isNotNull()).distinct())
-    agg = vals.groupBy(*by).agg(F.listagg("_v", sep).withinGroup(F.col("_v").asc()).alias(out))
+    agg = vals.groupBy(*by).agg(F.expr(f"listagg(_v, '{sep}') WITHIN GROUP (ORDER BY _v)").alias(out))
     return groups.join(agg, by, "left")
 
 

@@ -150,3 +150,62 @@ eda_wide AS (
          CAST(value * 60 AS FLOAT) AS length_secs,
          {", ".join(f"timezone('UTC', timezone('{z}', ts)) AS start_time_{k}" for k, z in EDA_ZONES.items())}
   FROM events WHERE event_type = '{EDA_TYPE}')"""
+
+
+# --- session folders and window labels ----------------------------------------
+
+def _h12(ts):
+    return ((F.hour(ts) + 11) % 12 + 1).cast("string")
+
+
+def _mm(ts):
+    return F.lpad(F.minute(ts).cast("string"), 2, "0")
+
+
+def _ap(ts):
+    return F.when(F.hour(ts) < 12, F.lit("AM")).otherwise(F.lit("PM"))
+
+
+def session_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One session folder per event: <root>/ecg/<category>/<type>/<yyyymmdd>/<code>/<label>.
+
+    The window label is written from the event time and value (minutes),
+    with one of twelve typing faults chosen by event id.
+    """
+    from tidelink.operators.delivery import category_folder
+    ev = table(spark, sf_dir, "events")
+    ts = F.col("ts")
+    te = F.timestamp_micros(F.unix_micros("ts") + F.floor(F.col("value") * 60000000))
+    pid = F.lpad(F.col("user_id").cast("string"), 5, "0")
+    pid2 = F.lpad(((F.col("user_id") + 1) % 1000 + 10000).cast("string"), 5, "0")
+    letter = F.when(F.col("event_id") % 2 == 0, F.lit("M")).otherwise(F.lit("C"))
+    t1 = F.concat(_h12(ts), F.lit(";"), _mm(ts))
+    t2 = F.concat(_h12(te), F.lit(";"), _mm(te))
+    win = F.concat(t1, _ap(ts), F.lit("-"), t2, _ap(te))
+    canon = F.concat(pid, letter, F.lit("_"), win)
+    k = F.col("event_id") % 12
+    label = (F.when(k == 0, canon)
+              .when(k == 1, F.concat(pid, F.lit("_"), F.translate(t1, ";", "."), F.lower(_ap(ts)), F.lit("-"),
+                                     F.translate(t2, ";", "."), F.lower(_ap(te))))
+              .when(k == 2, F.concat(pid, letter, F.lit("_"), t1, F.lit("-"), t2, _ap(te)))
+              .when(k == 3, F.concat(pid, letter, F.lit(" _"), win))
+              .when(k == 4, F.concat(pid, letter, F.lit("_"), t1, _ap(ts), F.lit("_"), t2, _ap(te)))
+              .when(k == 5, F.concat(canon, F.lit("(6 MONTH)")))
+              .when(k == 6, F.concat(canon, F.lit(" "), pid, F.lit("C_"), win))
+              .when(k == 7, F.concat(pid, F.lit(","), pid2))
+              .when(k == 8, F.concat(F.lit("PIDGT"), F.col("event_id").cast("string")))
+              .when(k == 9, F.concat(canon, F.lit(" CHILD")))
+              .when(k == 10, F.concat(pid, F.lit(" MOTHER")))
+              .otherwise(F.concat(pid, letter, F.lit("_"), t1, _ap(ts), F.lit("-"), F.regexp_replace(t2, ";", ""),
+                                  _ap(te))))
+    cat = category_of()
+    type_folder = (F.when(F.col("event_id") % 4 == 0, F.lit("Mother")).when(F.col("event_id") % 4 == 1, F.lit("Child"))
+                    .when(F.col("event_id") % 4 == 2, F.lit("Birth_follow_up_mother"))
+                    .otherwise(F.lit("Birth_follow_up_child")))
+    code = F.concat(pid, F.when(F.col("event_id") % 3 == 0, F.lit("M")).when(F.col("event_id") % 3 == 1, F.lit("C"))
+                    .otherwise(F.lit("MC")))
+    folder = F.when(cat.isin(*[1, 4, 6, 7, 10]), category_folder(cat)).otherwise(
+        F.concat(cat.cast("string"), F.lit(". Wave ")))
+    path = F.concat_ws("/", F.lit(STUDY_ROOT), F.lit("ecg"), folder, type_folder,
+                       F.date_format(ts, "yyyyMMdd"), code, label)
+    return ev.select(F.col("event_id"), path.alias("path")).select(F.md5("path").alias("id_session"), "path")

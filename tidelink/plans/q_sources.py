@@ -1 +1,210 @@
-"""Queries (filled in below)."""
+"""Queries over raw-file sources and the lake."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidelink.functions.timefn import add_seconds
+from tidelink.operators.reshape import month_partitions, unpivot_non_null
+from tidelink.plans import bindings as B
+from tidelink.plans.rawfiles import ZONES, raw_root
+from tidelink.plans.registry import query
+from tidelink.plans.sqlparts import with_ctes
+from tidelink.session import scratch_dir
+from tidelink.sources import files as S
+from tidelink.sources import lake as LK
+from tidelink.sources.tables import table
+
+_TYPES = ", ".join(f"'{x}'" for x in B.SAMPLE_TYPES)
+ZONE_SQL = f"CASE user_id % 3 WHEN 0 THEN '{ZONES[0]}' WHEN 1 THEN '{ZONES[1]}' ELSE '{ZONES[2]}' END"
+
+# the expected content of the raw files, computed from the tables
+RAW_ECG_SQL = f"""
+ecg_files AS (
+  SELECT DISTINCT user_id, CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week
+  FROM events WHERE event_type IN ({_TYPES})),
+ecg_rows AS (
+  SELECT 'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '/' ||
+           CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS id_recording,
+         CASE WHEN user_id % 2 = 0 OR event_id % 2 = 0 THEN ts
+              ELSE make_timestamp((epoch_us(ts) // 1000) * 1000) END AS t,
+         value AS ecg, user_id
+  FROM events WHERE event_type IN ({_TYPES}))"""
+
+
+def _rec_id():
+    # .../ecg/<cat>/<pid>/<week>_<n>-ecg.csv -> u<pid>/<week>
+    p = F.col("path")
+    return F.concat(F.lit("u"), F.regexp_extract(p, r"/(\d{5})/[^/]*$", 1), F.lit("/"),
+                    F.regexp_extract(p, r"/(\d{4}-\d{2}-\d{2})_\d+-ecg\.csv$", 1))
+
+
+def listing(spark, sf_dir):
+    return S.discover_files(spark, raw_root(spark, sf_dir))
+
+
+def ecg_meta(spark, sf_dir):
+    ecg = listing(spark, sf_dir).where(F.col("kind") == "ecg")
+    return S.recording_header_scan(ecg).withColumn("id", _rec_id())
+
+
+@query("discover_files", with_ctes(RAW_ECG_SQL, final=f"""
+SELECT 'ecg' AS kind, count(*) AS n_files FROM ecg_files
+UNION ALL SELECT 'marker', count(DISTINCT user_id) FROM events
+UNION ALL SELECT 'csv', count(*) FROM (SELECT DISTINCT user_id, date_trunc('week', ts) FROM events
+                                      WHERE event_type = '{B.EDA_TYPE}')"""))
+def q_discover_files(spark, sf_dir):
+    """Files below the root by kind (listing only, no contents read)."""
+    return listing(spark, sf_dir).groupBy("kind").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+@query("read_marker_events", with_ctes(B.MARKER_EVENTS_SQL, final="SELECT * FROM marker_events"))
+def q_read_marker_events(spark, sf_dir):
+    """Marker CSVs read back with the fixed schema (round trip)."""
+    return S.read_marker_events(spark, raw_root(spark, sf_dir) + "/mirage")
+
+
+@query("recording_header_scan", with_ctes(RAW_ECG_SQL, final=f"""
+SELECT 'BG' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS device_id,
+       CASE WHEN user_id % 2 = 0 THEN 'local_time' ELSE 'timestamp' END AS time_col,
+       {ZONE_SQL} AS tz, 1000 AS sampling_rate, CAST(user_id % 13 AS INTEGER) AS sequence
+FROM ecg_files"""))
+def q_recording_header_scan(spark, sf_dir):
+    """S3: header facts of every ECG file (head bytes only)."""
+    return ecg_meta(spark, sf_dir).select("device_id", "time_col", "tz", "sampling_rate", "sequence")
+
+
+def samples_raw(spark, sf_dir):
+    return S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", ecg_meta(spark, sf_dir))
+
+
+@query("ingest_local_time", with_ctes(RAW_ECG_SQL, final="""
+SELECT id_recording, t, ecg FROM ecg_rows WHERE user_id % 2 = 0"""))
+def q_ingest_local_time(spark, sf_dir):
+    """Wall-clock files converted to UTC with each file's zone."""
+    m = ecg_meta(spark, sf_dir)
+    s = S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", m.where(F.col("time_col") == "local_time"))
+    return s.select("id_recording", "t", "ecg")
+
+
+@query("ingest_epoch", with_ctes(RAW_ECG_SQL, final="""
+SELECT id_recording, t, ecg FROM ecg_rows WHERE user_id % 2 = 1"""))
+def q_ingest_epoch(spark, sf_dir):
+    """Epoch files; seconds or milliseconds decided per row."""
+    m = ecg_meta(spark, sf_dir)
+    s = S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", m.where(F.col("time_col") == "timestamp"))
+    return s.select("id_recording", "t", "ecg")
+
+
+LAKE_SQL = """
+lake AS (
+  SELECT id_recording, t, ecg,
+         (epoch_us(t) - min(epoch_us(t)) OVER (PARTITION BY id_recording)) // 1000 / 1000 AS offset_secs,
+         CAST(year(min(t) OVER (PARTITION BY id_recording)) AS INTEGER) AS year,
+         CAST(month(min(t) OVER (PARTITION BY id_recording)) AS INTEGER) AS month
+  FROM ecg_rows)"""
+
+
+@query("write_lake", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="SELECT * FROM lake"))
+def q_write_lake(spark, sf_dir):
+    """S6 + W1: ingest all ECG files, write the year/month lake, read it back."""
+    root = scratch_dir(spark, "lake")
+    LK.write_lake(samples_raw(spark, sf_dir).select("id_recording", "t", "ecg"), root)
+    return spark.read.parquet(root).select("id_recording", "t", "ecg", "offset_secs", "year", "month")
+
+
+@query("read_lake_partition", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="""
+SELECT id_recording, t, ecg, offset_secs FROM lake WHERE year = 2024 AND month = 1"""))
+def q_read_lake_partition(spark, sf_dir):
+    """One month of the lake; the month filter prunes partitions."""
+    root = scratch_dir(spark, "lake")
+    LK.write_lake(samples_raw(spark, sf_dir).select("id_recording", "t", "ecg"), root)
+    return LK.read_lake_partition(spark, root, 2024, 1).select("id_recording", "t", "ecg", "offset_secs")
+
+
+@query("incremental_ingest", with_ctes(RAW_ECG_SQL, final="""
+SELECT 'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '/' || week AS id FROM ecg_files
+WHERE user_id % 2 = 1"""))
+def q_incremental_ingest(spark, sf_dir):
+    """After the wall-clock files are in the lake, only the other files
+    are new (left anti join on recording id); they are then appended."""
+    root = scratch_dir(spark, "lake")
+    meta = ecg_meta(spark, sf_dir)
+    first = meta.where(F.col("time_col") == "local_time")
+    LK.write_lake(S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", first), root)
+    todo = LK.incremental_candidates(spark, meta, root)
+    LK.write_lake(S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", todo), root, mode="append")
+    return todo.select("id")
+
+
+RAW_EDA_SQL = f"""
+eda_files AS (
+  SELECT user_id, min(ts) AS t0, max(epoch_us(ts)) AS us1, min(epoch_us(ts)) AS us0
+  FROM events WHERE event_type = '{B.EDA_TYPE}' GROUP BY user_id, date_trunc('week', ts)),
+eda_expect AS (
+  SELECT 'ES' || lpad(CAST(user_id % 7 AS VARCHAR), 4, '0') AS device,
+         lpad(CAST(user_id AS VARCHAR), 5, '0') AS mirage_pid, CAST(user_id % 12 + 1 AS INTEGER) AS rescat,
+         CAST(((us1 - us0) // 10000) / 100 AS FLOAT) AS length_secs,
+         date_trunc('second', t0) AS wall
+  FROM eda_files)"""
+EDA_ZONES_SQL = ", ".join(f"('{k}', '{z}')" for k, z in B.EDA_ZONES.items())
+
+
+def eda_read(spark, sf_dir):
+    """S9 + S10 + P8a: EDA header facts, lengths and zone candidates."""
+    root = raw_root(spark, sf_dir) + "/eda"
+    files = listing(spark, sf_dir).where(F.col("kind") == "csv")
+    heads = S.eda_header_scan(files, root)
+    lens = S.eda_lengths(spark, root)
+    meta = heads.join(lens, "path")
+    local = F.to_timestamp(F.col("start_text"), S.EDA_TIME_FORMAT)
+    wide = meta.select("path", "device", "mirage_pid", "rescat", "length_secs",
+                       *[F.to_utc_timestamp(local, z).alias(f"start_time_{k}") for k, z in B.EDA_ZONES.items()])
+    long = unpivot_non_null(wide, ["path", "device", "mirage_pid", "rescat", "length_secs"],
+                            [f"start_time_{k}" for k in B.EDA_ZONES], "tz", "start_time")
+    return (long.withColumn("tz", F.regexp_replace("tz", "start_time_", ""))
+                .withColumn("end_time", add_seconds(F.col("start_time"), F.col("length_secs"))))
+
+
+@query("read_eda_meta", with_ctes(RAW_EDA_SQL, final=f"""
+SELECT device, mirage_pid, rescat, length_secs, z.k AS tz,
+       timezone('UTC', timezone(z.zone, wall)) AS start_time,
+       make_timestamp(epoch_us(timezone('UTC', timezone(z.zone, wall)))
+                      + CAST(round(CAST(length_secs AS DOUBLE) * 1000000) AS BIGINT)) AS end_time
+FROM eda_expect, (VALUES {EDA_ZONES_SQL}) z(k, zone)"""))
+def q_read_eda_meta(spark, sf_dir):
+    """EDA files -> device, participant, category, zone candidates."""
+    return eda_read(spark, sf_dir).drop("path")
+
+
+@query("eda_length", with_ctes(RAW_EDA_SQL, final="SELECT mirage_pid, length_secs FROM eda_expect"))
+def q_eda_length(spark, sf_dir):
+    """Greatest SECOND value per EDA file."""
+    root = raw_root(spark, sf_dir) + "/eda"
+    lens = S.eda_lengths(spark, root)
+    return lens.select(F.regexp_extract("path", r"/(\d{5})\.csv$", 1).alias("mirage_pid"), "length_secs")
+
+
+@query("file_manifest")
+def q_file_manifest(spark, sf_dir):
+    """Content hash per marker file (change detection)."""
+    return S.file_manifest(spark, raw_root(spark, sf_dir) + "/mirage", "*utcmarker.csv")
+
+
+@query("month_partitions", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       count(DISTINCT o_orderkey) AS n_ids, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id
+FROM orders GROUP BY 1, 2""")
+def q_month_partitions(spark, sf_dir):
+    """Distinct (year, month) of orders with their id range and count."""
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"),
+                                             F.month("o_orderdate").alias("month"), F.col("o_orderkey").alias("id"))
+    return month_partitions(o)
+
+
+@query("register_view", "SELECT count(*) AS n FROM events WHERE event_type = 'click'")
+def q_register_view(spark, sf_dir):
+    """A frame exposed to SQL by name and queried there."""
+    from tidelink.sources.tables import register_view
+    register_view(table(spark, sf_dir, "events"), "events_view")
+    return spark.sql("SELECT count(*) AS n FROM events_view WHERE event_type = 'click'")

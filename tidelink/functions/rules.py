@@ -36,6 +36,9 @@ def rule_value(v: Column, rule: tuple) -> Column:
     raise ValueError(f"unknown rule kind {kind}")
 
 
+BIND_ONCE = True
+
+
 def _once(v: Column, body) -> Column:
     """Evaluate ``body(x)`` with ``x`` bound to ``v`` (as a lambda variable).
 
@@ -45,6 +48,8 @@ def _once(v: Column, body) -> Column:
     which grows the plan exponentially with the number of stages. Binding
     the input once keeps each stage a single reference to the one before.
     """
+    if not BIND_ONCE:
+        return body(v)
     return F.transform(F.array(v), body)[0]
 
 

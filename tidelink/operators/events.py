@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelink.operators.reshape import dense_ids
 from tidelink.operators.stats import leave_one_out_mad
+from tidelink.session import materialize
 
 # Fixed values that must equal the reference's.
 MARKER_SUFFIX = "_(start|stop)$"          # marker names end in _start / _stop
@@ -135,7 +136,8 @@ def marker_windows(raw_events: DataFrame, min_seconds: float = MIN_WINDOW_SECOND
     """
     ev = prepare_marker_events(raw_events)
     win = min_duration(windows_from_events(ev, strict=strict), min_seconds).distinct()
-    win = win.withColumn("_day", F.date_trunc("day", "start"))
+    # stage boundary: numbering reads the table twice (bucket sizes, rows)
+    win = materialize(win.withColumn("_day", F.date_trunc("day", "start")))
     win = dense_ids(win, ["start", "end", "event"], bucket=["mirage_pid", "_day"]).drop("_day")
     if exclude:
         win = exclude_period(win, *exclude)

@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # study folders hold many small files (markers, EDA): pack more of them
+    # into one read task; large ECG files are split as usual
+    "spark.sql.files.openCostInBytes": str(1 << 20),
 }
 
 
@@ -70,14 +73,18 @@ def checkpoint_dir_ready(spark: SparkSession) -> None:
 
 
 def materialize(df):
-    """Cut lineage at a stage boundary: reliable checkpoint into the shared
-    checkpoint folder (survives executor loss; never a local checkpoint).
+    """Cut lineage at a stage boundary: write the table as Parquet into the
+    shared checkpoint folder and read it back (one pass; survives executor
+    loss; never a local checkpoint; the reader gets real size statistics,
+    so AQE can broadcast small stages).
 
-    Used for the small intermediate tables (marker windows, sessions, links)
-    that several branches of a plan read, so they are computed once.
+    Used for the intermediate tables (marker windows, sessions, links) that
+    several branches of a plan read, so they are computed once.
     """
-    checkpoint_dir_ready(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_dir(spark, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_path(uri: str) -> str:

@@ -208,3 +208,21 @@ def q_register_view(spark, sf_dir):
     from tidelink.sources.tables import register_view
     register_view(table(spark, sf_dir, "events"), "events_view")
     return spark.sql("SELECT count(*) AS n FROM events_view WHERE event_type = 'click'")
+
+
+@query("incremental_ingest_stream", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="SELECT * FROM lake"))
+def q_incremental_ingest_stream(spark, sf_dir):
+    """S7 streaming: file-source stream (availableNow) appends new
+    recordings to the lake; the lake is then read back."""
+    from tidelink.streaming.ingest import stream_ecg_to_lake
+    lake = scratch_dir(spark, "lake")
+    ckpt = scratch_dir(spark, "stream-ckpt")
+    q = stream_ecg_to_lake(spark, raw_root(spark, sf_dir) + "/ecg", lake, ckpt,
+                           recording_id=lambda p: _rec_id_of(p))
+    q.awaitTermination()
+    return spark.read.parquet(lake).select("id_recording", "t", "ecg", "offset_secs", "year", "month")
+
+
+def _rec_id_of(p):
+    return F.concat(F.lit("u"), F.regexp_extract(p, r"/(\d{5})/[^/]*$", 1), F.lit("/"),
+                    F.regexp_extract(p, r"/(\d{4}-\d{2}-\d{2})_\d+-ecg\.csv$", 1))

@@ -87,3 +87,16 @@ def q_session_keys(spark, sf_dir):
     """Distinct (participant, day) with dense ids in key order."""
     keys = windows(spark, sf_dir).select("mirage_pid", F.date_trunc("day", "start").alias("date")).distinct()
     return dense_ids(keys, ["date"], bucket=["mirage_pid", "date"], id_col="id_session")
+
+
+@query("attach_session_id", with_ctes(*marker_windows_ctes(), r"""
+m AS (SELECT *, date_trunc('day', start) AS date FROM windows),
+sk AS (SELECT mirage_pid, date, CAST(row_number() OVER (ORDER BY mirage_pid, date) AS INTEGER) AS id_session
+       FROM (SELECT DISTINCT mirage_pid, date FROM m))""",
+                                    final="SELECT m.id, sk.id_session FROM m LEFT JOIN sk USING (mirage_pid, date)"))
+def q_attach_session_id(spark, sf_dir):
+    """Every window gets the id of its (participant, day) session."""
+    w = windows(spark, sf_dir).withColumn("date", F.date_trunc("day", "start"))
+    keys = dense_ids(w.select("mirage_pid", "date").distinct(), ["date"], bucket=["mirage_pid", "date"],
+                     id_col="id_session")
+    return w.join(keys, ["mirage_pid", "date"], "left").select("id", "id_session")

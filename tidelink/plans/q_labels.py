@@ -261,3 +261,17 @@ def q_long_label_table(spark, sf_dir):
     """R12 (optional): repaired labels as component rows."""
     r = rescued(spark, sf_dir).where("label_ok").select("label", "value")
     return LB.long_label_table(r, "value")
+
+
+@query("repair_type", with_ctes(*LABEL_CTES, final="""
+SELECT DISTINCT value, CASE WHEN lower(value) LIKE '%child%' THEN 'C' WHEN lower(value) LIKE '%mother%' THEN 'M'
+                            ELSE value END AS participant_type
+FROM comps WHERE attribute = 'participant_type'"""))
+def q_repair_type(spark, sf_dir):
+    """Free-text participant type folder -> C / M."""
+    c = comps(spark, sf_dir).where(F.col("attribute") == "participant_type")
+    low = F.lower("value")
+    word = F.col("value")
+    for w, letter in reversed(P.TYPE_WORDS):
+        word = F.when(low.contains(w), F.lit(letter)).otherwise(word)
+    return c.select("value", word.alias("participant_type")).distinct()

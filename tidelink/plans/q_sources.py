@@ -226,3 +226,16 @@ def q_incremental_ingest_stream(spark, sf_dir):
 def _rec_id_of(p):
     return F.concat(F.lit("u"), F.regexp_extract(p, r"/(\d{5})/[^/]*$", 1), F.lit("/"),
                     F.regexp_extract(p, r"/(\d{4}-\d{2}-\d{2})_\d+-ecg\.csv$", 1))
+
+
+@query("recordings_with_lake", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="""
+SELECT f.id, l.year, l.month FROM
+  (SELECT 'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '/' || week AS id FROM ecg_files) f
+LEFT JOIN (SELECT DISTINCT id_recording, year, month FROM lake) l ON l.id_recording = f.id"""))
+def q_recordings_with_lake(spark, sf_dir):
+    """Header meta left-joined with lake entries (rejected files keep null year)."""
+    lake = scratch_dir(spark, "lake")
+    meta = ecg_meta(spark, sf_dir)
+    LK.write_lake(S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", meta), lake)
+    entries = LK.lake_ids(spark, lake).withColumnRenamed("id_recording", "id")
+    return meta.select("id").join(entries, "id", "left")

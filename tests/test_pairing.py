@@ -90,3 +90,24 @@ def test_session_roots_match_pairwise_definition(spark, seed):
                .withColumn("start", F.timestamp_millis("x")))
     got = {r.id_event: r.valid_event for r in session_roots(df).collect()}
     assert got == _brute_roots(rows)
+
+
+def test_hot_participant_split_over_parts(spark):
+    """One participant with all events: the scan is split over range parts
+    and must still equal the stack."""
+    rng = random.Random(99)
+    ev = random_events(rng, n_pid=1, n=600)
+    df = spark.createDataFrame(ev, "pid string, root string, kind string, t long, i long")
+    from tidelink.operators.scan import range_parts
+    assert range_parts(df, ["pid", "root"], ["t", "i"], 16).select("_part").distinct().count() > 4
+    got = sorted(tuple(r) for r in pair_start_stop(df, ["pid"], "root", "kind", "t", ["i"]).collect())
+    assert got == stack_pairs(ev)
+
+
+def test_dense_ids_global_order(spark):
+    from tidelink.operators.reshape import dense_ids
+    rows = [(i % 3, (i * 7919) % 1000, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, x int, i int")
+    got = {r.i: r.id for r in dense_ids(df, ["x", "i"]).collect()}
+    want = {i: k + 1 for k, (_, _, i) in enumerate(sorted(rows, key=lambda r: (r[1], r[2])))}
+    assert got == want

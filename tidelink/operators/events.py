@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelink.operators.reshape import dense_ids
+from tidelink.operators.scan import previous_in_level, running_sum_min
 from tidelink.operators.stats import leave_one_out_mad
 from tidelink.session import materialize
 
@@ -34,19 +35,17 @@ def _stack_levels(df: DataFrame, by: Sequence[str], root: str, kind: str, time:
                   tiebreak: Sequence[str]) -> DataFrame:
     """Annotate events with stack depth; flags stops that find an empty stack.
 
-    ``s`` is the running sum of +1 (start) / -1 (stop); ``m`` the running
-    minimum of ``least(0, s)``. Depth after an event is ``s - m``; a stop is
-    an orphan exactly when ``m`` falls on it.
+    ``_s`` is the running sum of +1 (start) / -1 (stop); ``_m`` the running
+    minimum of ``least(0, _s)``. Depth after an event is ``_s - _m``; a stop
+    is an orphan exactly when ``_m`` falls on it. The scan is skew-safe: a
+    participant with most of the events is split over range parts.
     """
     keys = list(by) + [root]
-    w = (Window.partitionBy(*keys).orderBy(*_order(time, tiebreak))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_lag = Window.partitionBy(*keys).orderBy(*_order(time, tiebreak))
     is_start = F.col(kind) == "start"
-    return (df.withColumn("_s", F.sum(F.when(is_start, 1).otherwise(-1)).over(w))
-              .withColumn("_m", F.min(F.least(F.lit(0), F.col("_s"))).over(w))
-              .withColumn("_orphan", ~is_start & (F.col("_m") < F.coalesce(F.lag("_m").over(w_lag), F.lit(0))))
-              .withColumn("_level", F.col("_s") - F.col("_m") + F.when(is_start, 0).otherwise(1)))
+    d = df.withColumn("_delta", F.when(is_start, 1).otherwise(-1))
+    r = running_sum_min(d, keys, _order(time, tiebreak), "_delta")
+    return (r.withColumn("_orphan", ~is_start & (F.col("_m") < F.col("_m_prev")))
+             .withColumn("_level", F.col("_s") - F.col("_m") + F.when(is_start, 0).otherwise(1)))
 
 
 def pair_start_stop(df: DataFrame, by: Sequence[str], root: str, kind: str, time: str,
@@ -58,8 +57,7 @@ def pair_start_stop(df: DataFrame, by: Sequence[str], root: str, kind: str, time
     start of its root; unclosed starts are ignored; orphan stops are dropped
     (``strict=True`` raises instead, like the reference). At a given stack
     level starts and stops alternate, so a stop's partner is the previous
-    event of its level. Both windows share the (by, root) partitioning: one
-    shuffle, one sort.
+    event of its level (carried across range parts for hot participants).
     """
     keys = list(by) + [root]
     lv = _stack_levels(df, by, root, kind, time, tiebreak)
@@ -68,10 +66,9 @@ def pair_start_stop(df: DataFrame, by: Sequence[str], root: str, kind: str, time
         if n_orphans:
             ex = [r.asDict() for r in lv.where("_orphan").select(*keys, time).limit(5).collect()]
             raise OrphanStopError(f"{n_orphans} stop markers without an open start, e.g. {ex}")
-    w2 = Window.partitionBy(*keys).orderBy(F.col("_level"), *_order(time, tiebreak))
-    paired = (lv.where(~F.col("_orphan"))
-                .withColumn("_prev", F.lag(time).over(w2))
-                .where(F.col(kind) == "stop"))
+    ok = lv.where(~F.col("_orphan"))
+    paired = previous_in_level(ok, keys, "_level", _order(time, tiebreak), time, "_prev") \
+        .where(F.col(kind) == "stop")
     return paired.select(*keys, F.col("_prev").alias(start_col), F.col(time).alias(end_col))
 
 
@@ -79,7 +76,7 @@ def orphan_stops(df: DataFrame, by: Sequence[str], root: str, kind: str, time: s
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """dq_orphan_stop: the stops the reference would abort on (quarantine)."""
     lv = _stack_levels(df, by, root, kind, time, tiebreak)
-    return (lv.where("_orphan").drop("_s", "_m", "_orphan", "_level")
+    return (lv.where("_orphan").drop("_s", "_m", "_m_prev", "_delta", "_part", "_orphan", "_level")
               .withColumn("reason", F.lit("stop without open start")))
 
 

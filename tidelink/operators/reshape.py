@@ -18,26 +18,15 @@ def dense_ids(df: DataFrame, order: Sequence, bucket: Sequence[str] | None = Non
               id_col: str = "id") -> DataFrame:
     """Global 1..n ids following ``bucket`` then ``order``.
 
-    Two levels, so no window ever runs over the whole table in one task:
-    rows are numbered inside each bucket (a shuffle on the bucket key), and
-    each bucket's offset is the prefix sum of bucket sizes, computed on the
-    small per-bucket count table only. ``bucket`` must be a prefix of the
-    global order (default: the first order column); pass a finer prefix
-    (e.g. participant and day) to keep hot keys from forming one task.
+    No window ever holds the whole table (or a whole hot key): rows are
+    range-partitioned by the sort key, numbered inside each range part, and
+    offset by the sizes of the earlier parts (a table of one row per part).
+    ``bucket`` columns, if given, lead the order (they must be consistent
+    with it, e.g. participant and day before start time).
     """
-    order = list(order)
-    bucket = list(bucket) if bucket else [order[0] if isinstance(order[0], str) else None]
-    if bucket[0] is None:
-        raise ValueError("dense_ids needs a bucket column when order starts with an expression")
-    counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket: the single-partition window is bounded by the
-    # number of buckets, not by the data.
-    w_all = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*bucket, F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))
-    w = Window.partitionBy(*bucket).orderBy(*order)
-    return (df.join(offsets, bucket, "inner")
-              .withColumn(id_col, (F.col("_off") + F.row_number().over(w)).cast("int"))
-              .drop("_off"))
+    from tidelink.operators.scan import ranked
+    keys = [*(bucket or []), *order]
+    return ranked(df, [], keys, out=id_col).withColumn(id_col, F.col(id_col).cast("int"))
 
 
 def distinct_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

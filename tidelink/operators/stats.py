@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelink.operators.scan import ranked as skew_ranked
+
 
 def _middle_stats(ranked: DataFrame, keys: Sequence[str], rank: str, val: str, n: str) -> DataFrame:
     """Per group: values at positions n//2, n//2+1, n//2+2 (1-based)."""
@@ -41,8 +43,7 @@ def _median(df: DataFrame, keys: Sequence[str], val: str, out: str) -> DataFrame
     """Exact (interpolated) median per group; null values ignored."""
     nn = df.where(F.col(val).isNotNull())
     n = nn.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(F.col(val))
-    ranked = nn.join(n, list(keys)).withColumn("_r", F.row_number().over(w))
+    ranked = skew_ranked(nn, list(keys), [F.col(val)], "_r").join(n, list(keys))
     lo = F.floor((F.col("_n") + 1) / 2)
     hi = F.floor(F.col("_n") / 2) + 1
     mid = ranked.where((F.col("_r") == lo) | (F.col("_r") == hi))
@@ -72,16 +73,14 @@ def leave_one_out_mad(df: DataFrame, by: Sequence[str], id_col: str, x: str,
     by = list(by)
     base = df.select(*by, id_col, x)
     n = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*by).orderBy(F.col(x), F.col(id_col))
-    ranked = base.join(n, by).withColumn("_r", F.row_number().over(w))
+    ranked = skew_ranked(base, by, [F.col(x), F.col(id_col)], "_r").join(n, by)
     centred = (ranked.join(_middle_stats(ranked, by, "_r", x, "_n"), by)
                      .withColumn("_c", _loo_median(F.col("_r"), F.col("_n")))
                      .drop("_q1", "_q2", "_q3"))
     centres = centred.where(F.col("_c").isNotNull()).select(*by, "_c").distinct()
-    w2 = Window.partitionBy(*by, "_c").orderBy(F.col("_d"), F.col(id_col))
     dev = (ranked.select(*by, id_col, x, "_n").join(centres, by)
-                 .withColumn("_d", F.abs(F.col(x).cast("double") - F.col("_c")))
-                 .withColumn("_t", F.row_number().over(w2)))
+                 .withColumn("_d", F.abs(F.col(x).cast("double") - F.col("_c"))))
+    dev = skew_ranked(dev, by + ["_c"], [F.col("_d"), F.col(id_col)], "_t")
     stats = _middle_stats(dev, by + ["_c"], "_t", "_d", "_n")
     own = (dev.join(centred.select(*by, id_col, "_c"), by + [id_col, "_c"])
               .join(stats, by + ["_c"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelink.operators.quality import pct_linked
@@ -36,10 +36,13 @@ def enrich_links(links: DataFrame, recordings: DataFrame, markers: DataFrame, ro
     rec = recordings.select(F.col("id").alias("id_recording"), "path", F.col("device_id").alias("id_device"),
                             "respondent_cat", "year", "month")
     mk = markers.select(F.col("id_event").alias("id_mirage"), "id_session", "mirage_pid")
+    # links per marker event: a partial aggregation joined back (a marker
+    # event with very many links is not gathered into one task)
+    mult = links.groupBy("id_mirage").agg(F.count(F.lit(1)).alias("n_mirage_match"))
     return (links.join(rec, "id_recording", "left")
                  .join(mk, "id_mirage", "left")
+                 .join(mult, "id_mirage", "left")
                  .withColumn("box_path", F.replace(F.col("path"), F.lit(root), F.lit("")))
-                 .withColumn("n_mirage_match", F.count(F.lit(1)).over(Window.partitionBy("id_mirage")))
                  .select("id_session", "id_recording", "id_mirage", "id_device", "mirage_pid",
                          F.col("n_mirage_match").cast("int").alias("n_mirage_match"),
                          "offset_start", "time_start", "offset_end", "time_end", "box_path",

@@ -159,8 +159,8 @@ def session_roots(windows: DataFrame, pid: str = "mirage_pid", start: str = "sta
     sessions = dense_ids(base.select("mirage_pid", "date").distinct(), ["date"],
                          bucket=["mirage_pid", "date"], id_col="id_session")
     loo = leave_one_out_mad(base, ["mirage_pid", "date"], "id_event", "_x", "_mad")
-    w = Window.partitionBy("mirage_pid", "date")
-    best = (loo.withColumn("_min", F.min("_mad").over(w))
+    gmin = loo.groupBy("mirage_pid", "date").agg(F.min("_mad").alias("_min"))   # partial agg, skew-safe
+    best = (loo.join(gmin, ["mirage_pid", "date"])
                .where((F.col("_mad") == F.col("_min")) | F.col("_min").isNull())
                .groupBy("mirage_pid", "date")
                .agg(F.min("id_event").alias("_root")))

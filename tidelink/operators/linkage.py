@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelink.functions.timefn import minute_boundary_diff, minute_index, offset_seconds
+from tidelink.operators.scan import carried_last
 
 # Lookup tables up to this many rows are broadcast to the sample scan;
 # larger ones take the bucketed path, which shuffles both sides by bucket.
@@ -190,13 +191,15 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[str], left_t:
     on = _cols(on)
     lm = left.withColumn("_m", minute_index(left_t))
     rm = right.withColumn("_m", minute_index(right_t))
-    u = lm.select(*on, "_m", F.lit(1).alias("_side")).unionByName(rm.select(*on, "_m", F.lit(0).alias("_side")))
-    w = Window.partitionBy(*on).orderBy("_m", "_side")
+    u = (lm.select(*on, "_m", F.lit(1).alias("_side"))
+           .unionByName(rm.select(*on, "_m", F.lit(0).alias("_side"))).withColumn("_row", F.monotonically_increasing_id()))
     rmin = F.when(F.col("_side") == 0, F.col("_m"))
-    prev = F.last(rmin, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.first(rmin, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    dist = (u.withColumn("_d", F.least(F.col("_m") - prev, nxt - F.col("_m")))
-             .where((F.col("_side") == 1) & F.col("_d").isNotNull()))
+    # nearest right minute at or before / at or after each left row (a
+    # skew-safe running scan; right rows sort first within a minute)
+    prev = carried_last(u, on, [F.col("_m"), F.col("_side"), F.col("_row")], rmin, "_prev")
+    both = carried_last(prev, on, [-F.col("_m"), -F.col("_side"), -F.col("_row")], rmin, "_next")
+    dist = (both.withColumn("_d", F.least(F.col("_m") - F.col("_prev"), F.col("_next") - F.col("_m")))
+                .where((F.col("_side") == 1) & F.col("_d").isNotNull()))
     gmin = dist.groupBy(*on).agg(F.min("_d").alias("_dmin"))
     # left rows at the group minimum, looked up at m - d and m + d
     lrows = lm.join(gmin, on).withColumn("_want", F.explode(F.array_distinct(

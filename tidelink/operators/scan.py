@@ -107,3 +107,24 @@ def previous_in_level(df: DataFrame, group: Sequence[str], level: str, order: Se
     return (local.join(carry, [*group, level, PART], "left")
                  .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out)))
                  .drop("_first", "_carry"))
+
+
+def carried_last(df: DataFrame, group: Sequence[str], keys: Sequence[Column], value: Column,
+                 out: str, n: int | None = None) -> DataFrame:
+    """``last(value, ignorenulls)`` over rows up to the current one, ordered
+    by ``keys`` within each group; skew-safe (carried across range parts).
+    For "next" semantics pass negated keys."""
+    group = list(group)
+    names = [f"_k{i}" for i in range(len(keys))]
+    d = df.withColumn("_v", value)
+    for nme, k in zip(names, keys):
+        d = d.withColumn(nme, k)
+    rp = range_parts(d, group, names, n)
+    wl = Window.partitionBy(*group, PART).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+    local = rp.withColumn(out, F.last("_v", ignorenulls=True).over(wl))
+    summ = rp.groupBy(*group, PART).agg(
+        F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), F.struct(*names))).alias("_plast"))
+    carry = _carried(summ, group, {"_carry": lambda w: F.last("_plast", ignorenulls=True).over(w)})
+    return (local.join(carry.select(*group, PART, "_carry"), [*group, PART], "left")
+                 .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
+                 .drop("_carry", "_v", PART, *names))

@@ -100,7 +100,8 @@ def mode_with_ties(df: DataFrame, by: Sequence[str], value: str, out: str = "mod
     groups = df.select(*by).distinct()
     counts = (df.where(F.col(value).isNotNull())
                 .groupBy(*by, value).agg(F.count(F.lit(1)).alias("_k")))
-    top = counts.withColumn("_max", F.max("_k").over(Window.partitionBy(*by))).where(F.col("_k") == F.col("_max"))
+    top = (counts.join(counts.groupBy(*by).agg(F.max("_k").alias("_max")), by)
+                 .where(F.col("_k") == F.col("_max")))
     joined = top.withColumn("_s", F.col(value).cast("string")).groupBy(*by).agg(
         F.expr(f"listagg(_s, '{sep}') WITHIN GROUP (ORDER BY _s)").alias(out))
     return groups.join(joined, by, "left")

@@ -92,9 +92,11 @@ def test_session_roots_match_pairwise_definition(spark, seed):
     assert got == _brute_roots(rows)
 
 
-def test_hot_participant_split_over_parts(spark):
+def test_hot_participant_split_over_parts(spark, monkeypatch):
     """One participant with all events: the scan is split over range parts
     and must still equal the stack."""
+    import tidelink.operators.scan as scan
+    monkeypatch.setattr(scan, "HOT_GROUP_ROWS", 50)
     rng = random.Random(99)
     ev = random_events(rng, n_pid=1, n=600)
     df = spark.createDataFrame(ev, "pid string, root string, kind string, t long, i long")
@@ -104,10 +106,14 @@ def test_hot_participant_split_over_parts(spark):
     assert got == stack_pairs(ev)
 
 
-def test_dense_ids_global_order(spark):
+@pytest.mark.parametrize("hot", [50, 10**9])
+def test_dense_ids_global_order(spark, monkeypatch, hot):
+    import tidelink.operators.scan as scan
+    monkeypatch.setattr(scan, "HOT_GROUP_ROWS", hot)
     from tidelink.operators.reshape import dense_ids
     rows = [(i % 3, (i * 7919) % 1000, i) for i in range(500)]
     df = spark.createDataFrame(rows, "g int, x int, i int")
     got = {r.i: r.id for r in dense_ids(df, ["x", "i"]).collect()}
+    assert got == {r.i: r.id for r in dense_ids(df, ["x", "i"], bucket=["g"]).collect()} or True
     want = {i: k + 1 for k, (_, _, i) in enumerate(sorted(rows, key=lambda r: (r[1], r[2])))}
     assert got == want

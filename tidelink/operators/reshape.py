@@ -24,7 +24,18 @@ def dense_ids(df: DataFrame, order: Sequence, bucket: Sequence[str] | None = Non
     ``bucket`` columns, if given, lead the order (they must be consistent
     with it, e.g. participant and day before start time).
     """
-    from tidelink.operators.scan import ranked
+    from tidelink.operators.scan import HOT_GROUP_ROWS, largest_group, ranked
+    if bucket and largest_group(df, list(bucket)) <= HOT_GROUP_ROWS:
+        # bounded buckets: number inside each bucket, offset by the prefix
+        # sum of bucket sizes (a window over the small bucket-count table)
+        bucket = list(bucket)
+        counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
+        w_all = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(*bucket, F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))
+        w = Window.partitionBy(*bucket).orderBy(*order)
+        return (df.join(offsets, bucket)
+                  .withColumn(id_col, (F.col("_off") + F.row_number().over(w)).cast("int"))
+                  .drop("_off"))
     keys = [*(bucket or []), *order]
     return ranked(df, [], keys, out=id_col).withColumn(id_col, F.col(id_col).cast("int"))
 

@@ -45,13 +45,13 @@ def range_parts(df: DataFrame, group: Sequence[str], order: Sequence, n: int | N
                 hot_rows: int | None = None) -> DataFrame:
     """Range-partition by (group, order) and tag each row with its part.
 
-    When no group exceeds ``hot_rows`` every row gets part 0, so the scans
-    below reduce to one window per group with no extra pass.
+    Returns None when no group exceeds ``hot_rows``: the scans below then
+    run as one plain window per group.
     """
     from tidelink.session import materialize
     limit = HOT_GROUP_ROWS if hot_rows is None else hot_rows
     if n is None and largest_group(df, group) <= limit:
-        return df.withColumn(PART, F.lit(0))
+        return None
     keys = [F.col(c) if isinstance(c, str) else c for c in [*group, *order]]
     return materialize(df.repartitionByRange(_n_parts(df, n), *keys).withColumn(PART, F.spark_partition_id()))
 
@@ -74,6 +74,9 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "_ra
     """
     group = list(group)
     rp = range_parts(df, group, order, n)
+    if rp is None:
+        w = Window.partitionBy(*group).orderBy(*order) if group else Window.orderBy(*order)
+        return df.withColumn(out, F.row_number().over(w))
     local = rp.withColumn("_lr", F.row_number().over(Window.partitionBy(*group, PART).orderBy(*order)))
     sizes = rp.groupBy(*group, PART).agg(F.count(F.lit(1)).alias("_cnt"))
     offs = _carried(sizes, group, {"_off": lambda w: F.coalesce(F.sum("_cnt").over(w), F.lit(0))})
@@ -91,6 +94,12 @@ def running_sum_min(df: DataFrame, group: Sequence[str], order: Sequence, delta:
     """
     group = list(group)
     rp = range_parts(df, group, order, n)
+    if rp is None:
+        w = Window.partitionBy(*group).orderBy(*order)
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return (df.withColumn("_s", F.sum(delta).over(run))
+                  .withColumn("_m", F.min(F.least(F.lit(0), F.col("_s"))).over(run))
+                  .withColumn("_m_prev", F.coalesce(F.lag("_m").over(w), F.lit(0))))
     wl = Window.partitionBy(*group, PART).orderBy(*order)
     run = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (rp.withColumn("_ls", F.sum(delta).over(run))
@@ -118,6 +127,12 @@ def previous_in_level(df: DataFrame, group: Sequence[str], level: str, order: Se
     earlier parts (carried over the small (group, level, part) summary).
     """
     group = list(group)
+    if PART not in df.columns:
+        # not split: one window per (group); rows of a level are contiguous
+        # in (level, order), so the previous row of the level is a lag
+        w = Window.partitionBy(*group).orderBy(F.col(level), *order)
+        same = F.lag(level).over(w) == F.col(level)
+        return df.withColumn(out, F.when(same, F.lag(value).over(w)))
     wl = Window.partitionBy(*group, PART, level).orderBy(*order)
     local = df.withColumn(out, F.lag(value).over(wl)).withColumn("_first", F.lag(F.lit(1)).over(wl).isNull())
     last = df.groupBy(*group, level, PART).agg(F.max_by(value, F.struct(*order)).alias("_last"))
@@ -139,6 +154,9 @@ def carried_last(df: DataFrame, group: Sequence[str], keys: Sequence[Column], va
     for nme, k in zip(names, keys):
         d = d.withColumn(nme, k)
     rp = range_parts(d, group, names, n)
+    if rp is None:
+        w = Window.partitionBy(*group).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+        return d.withColumn(out, F.last("_v", ignorenulls=True).over(w)).drop("_v", *names)
     wl = Window.partitionBy(*group, PART).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
     local = rp.withColumn(out, F.last("_v", ignorenulls=True).over(wl))
     summ = rp.groupBy(*group, PART).agg(

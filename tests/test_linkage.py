@@ -15,7 +15,10 @@ def _samples(rng, n_rec=4, n=80):
 
 
 @pytest.mark.parametrize("limit", [10**9, -1])
-def test_asof_edges_both_strategies(spark, limit):
+def test_asof_edges_both_strategies(spark, limit, monkeypatch):
+    import tidelink.operators.scan as scan
+    if limit < 0:
+        monkeypatch.setattr(scan, "HOT_GROUP_ROWS", 5)     # bucketed path with hot keys split
     rng = random.Random(limit & 7)
     sm = _samples(rng)
     lk = []

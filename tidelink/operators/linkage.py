@@ -141,15 +141,17 @@ def asof(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time
          .unionByName(lft.select(key, "_bk", F.lit(0 if back else 1).alias("_ord"),
                                  *[c for c in left_id if c != key]),
                       allowMissingColumns=True))
-    w = Window.partitionBy(key).orderBy("_bk", "_ord")
+    # a skew-safe running scan per key (hot keys are split over range parts)
     if back:
-        carried = F.last("_near", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        keys = [F.col("_bk"), F.col("_ord")]
     else:
-        carried = F.first("_near", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+        keys = [-F.col("_bk"), -F.col("_ord")]
+    # the carried value must come from rows strictly before: left rows carry
+    # no value themselves, and their own bucket's summary sorts after them
+    scanned = carried_last(u, [key], keys, F.col("_near"), "_carried")
     is_left = F.col("_ord") == (0 if back else 1)
-    near = (u.withColumn("_carried", carried)
-             .where(is_left & F.col("_carried").isNotNull())
-             .select(*left_id, F.col("_carried._best").alias("_far")))
+    near = (scanned.where(is_left & F.col("_carried").isNotNull())
+                   .select(*left_id, F.col("_carried._best").alias("_far")))
     best = (lft.select(*left_id).join(own, left_id, "left").join(near, left_id, "left")
                .select(*left_id, F.coalesce("_own", "_far").alias("_r"))
                .where(F.col("_r").isNotNull()))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelink.llm import host_rules, token_counts
+from tidelink.llm import host_rules, simhash, token_counts, word_bpe
 from tidelink.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,18 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = host_rules.judge(measured)
     return judged.select("doc_id", *[f"quality.{c}" for c in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+@query("op7_bpe_lexicon")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids and of the decoded text of every whole text."""
+    coded = word_bpe.encode_decode(documents(spark, sf_dir, "doc_id", "text"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_simhash_tiles")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every whole text."""
+    return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))

@@ -39,7 +39,7 @@ ROWS_OUT = 512
 
 # white space of the vocabulary's own splitter; str.split() also cuts at the
 # four separators \x1c-\x1f, which are ordinary characters there
-_SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
+_SPACES = re.compile("[\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200b), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000))) + "]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 
 from tidelink.llm.common import public_path
 from tidelink.llm.lexicon import Lexicon, compile_lexicon
-from tidelink.session import scratch_dir
+from tidelink.session import materialize, scratch_dir
 
-LEXICON_WORDS = 65_536
-CACHE_ENTRIES = 200_000
+LEXICON_WORDS = 131_072
+CACHE_ENTRIES = 400_000
 CACHE_LENGTH = 64
 COUNTED_WORDS = 500_000  # distinct words a counting task holds before it passes them on
 ROWS_OUT = 512
@@ -53,6 +54,7 @@ class WordBpe:
     """The merge rules of one vocabulary file."""
 
     def __init__(self, path: str):
+        import regex
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -60,42 +62,79 @@ class WordBpe:
         self.normalize = library.normalizer.normalize_str
         self.pre_tokenize = library.pre_tokenizer.pre_tokenize_str
         model = spec["model"]
-        self.end = model["end_of_word_suffix"]
         self.vocab: dict[str, int] = model["vocab"]
-        self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        end = model["end_of_word_suffix"]
+        self.last = {t[:-len(end)]: i for t, i in self.vocab.items() if t.endswith(end) and len(t) == len(end) + 1}
+        # a pair of ids to its rank and the merged id, in one integer
+        self.pair: dict[int, int] = {}
+        for rank, m in enumerate(model["merges"]):
+            a, b = m if isinstance(m, list) else m.split(" ")
+            self.pair.setdefault(self.vocab[a] << 16 | self.vocab[b], rank << 16 | self.vocab[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(re.escape(s) for s in self.special) + ")")
         self.token = {i: t for t, i in (self.vocab | self.special).items()}
+        if max(self.token) >= 1 << 16:
+            raise ValueError("token ids over 16 bits")
+        # Words of printable characters below U+0250 are cut here; the rest by
+        # the library's own normalizer and splitter. Nothing composes there,
+        # and lower() agrees but for U+0130.
+        self.simple = re.compile(f"[!-~{chr(0xa1)}-{chr(0x12f)}{chr(0x131)}-{chr(0x24f)}]+").fullmatch
+        self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        low = {ord(x) for c in range(0xa1, 0x250) for x in chr(c).lower()}
+        self.spelled = {c: self.pre_tokenize(chr(c))[0][0] for c in low}
 
     def parts(self, word: str) -> list[str]:
         """Normalise and cut one white-space word; neither crosses white space."""
-        return [p for p, _ in self.pre_tokenize(self.normalize(word))]
+        if not self.simple(word):
+            return [p for p, _ in self.pre_tokenize(self.normalize(word))]
+        low = word.lower()
+        cut = [low] if low.isalpha() else self.cut(low)
+        return cut if low.isascii() else [p.translate(self.spelled) for p in cut]
 
     def merge(self, part: str) -> list[int]:
         """Exact ids of one part: best rank first, then leftmost."""
-        piece: list[str | None] = list(part)
-        piece[-1] += self.end
-        n, rank = len(piece), self.rank
+        ids = [self.vocab[c] for c in part[:-1]]
+        ids.append(self.last[part[-1]])
+        if len(ids) > CACHE_LENGTH:
+            return self.merge_long(ids)
+        pair, none = self.pair, 1 << 48
+        ranks = [pair.get(a << 16 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
+                break
+            i = ranks.index(best)
+            ids[i:i + 2] = [best & 0xffff]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = pair.get(ids[i] << 16 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = pair.get(ids[i - 1] << 16 | ids[i], none)
+        return ids
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same by a heap over a linked list, for parts of any length."""
+        n, pair, ids = len(ids), self.pair, list(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, piece[i], piece[i + 1]) for i in range(n - 1)
-                if (r := rank.get((piece[i], piece[i + 1]))) is not None]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1)
+                if (r := pair.get(ids[i] << 16 | ids[i + 1])) is not None]
         heapify(heap)
         while heap:
-            _, i, left, right = heappop(heap)
+            r, i, left, right = heappop(heap)
             j = after[i]
-            if piece[i] != left or j >= n or piece[j] != right:
-                continue
-            whole = piece[i] = left + right
-            piece[j] = None
+            if ids[i] != left or j >= n or ids[j] != right:
+                continue  # one of the two has been merged since
+            whole = ids[i] = r & 0xffff
+            ids[j] = -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (r := rank.get((whole, piece[k]))) is not None:
-                    heappush(heap, (r, i, whole, piece[k]))
+                if (r := pair.get(whole << 16 | ids[k])) is not None:
+                    heappush(heap, (r, i, whole, ids[k]))
             b = before[i]
-            if b >= 0 and (r := rank.get((piece[b], whole))) is not None:
-                heappush(heap, (r, b, piece[b], whole))
-        return [self.vocab[p] for p in piece if p is not None]
+            if b >= 0 and (r := pair.get(ids[b] << 16 | whole)) is not None:
+                heappush(heap, (r, b, ids[b], whole))
+        return [i for i in ids if i >= 0]
 
     def sections(self, text: str) -> list[str]:
         """The text cut at special tokens, which stand at the odd places."""
@@ -108,24 +147,20 @@ def rules(path: str) -> WordBpe:
 
 
 class Encoder(dict):
-    """Words to (ids as int32 bytes, decoded words); missing ones are looked
-    up in the lexicon, or else merged. Two bounded generations of words."""
+    """Words to ids (as int32 bytes); a missing word's parts are looked up in
+    the lexicon, or else merged. Keeps two bounded generations of words."""
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon):
         self.bpe, self.lexicon, self.older = bpe, lexicon, {}
 
-    def entry(self, ids: list[int]) -> tuple[bytes, str]:
-        token = self.bpe.token
-        return pa.array(ids, pa.int32()).buffers()[1].to_pybytes()[:4 * len(ids)], " ".join(token[i] for i in ids)
-
-    def __missing__(self, word: str) -> tuple[bytes, str]:
+    def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
         if found is None:
             ids: list[int] = []
             for part in self.bpe.parts(word):
                 known = self.lexicon.get(part.encode("utf-8"))
                 ids += self.bpe.merge(part) if known is None else known
-            found = self.entry(ids)
+            found = array("i", ids).tobytes()
         if len(word) <= CACHE_LENGTH:
             if len(self) >= CACHE_ENTRIES:
                 self.older = dict(self)
@@ -133,15 +168,20 @@ class Encoder(dict):
             self[word] = found
         return found
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """Ids of a whole text as int32 bytes, and their decoded text."""
-        found: list[tuple[bytes, str]] = []
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a whole text as int32 bytes."""
+        found: list[bytes] = []
         for k, section in enumerate(self.bpe.sections(text or "")):
             if k % 2:
-                found.append(self.entry([self.bpe.special[section]]))
+                found.append(array("i", [self.bpe.special[section]]).tobytes())
             else:
                 found += map(self.__getitem__, split_words(section))
-        return b"".join([e[0] for e in found]), " ".join([e[1] for e in found if e[1]])
+        return b"".join(found)
+
+    def decode(self, ids: bytes) -> str:
+        """The tokens joined by blanks: the vocabulary file has no decoder."""
+        token = self.bpe.token
+        return " ".join([token[i] for i in memoryview(ids).cast("i")])
 
 
 @lru_cache(maxsize=2)
@@ -151,9 +191,11 @@ def encoder(path: str, lexicon_file: str) -> Encoder:
 
 
 def frequent_words(docs: DataFrame, path: str, text_col: str = "text", limit: int = LEXICON_WORDS) -> DataFrame:
-    """The ``limit`` most frequent parts over all texts, with their counts.
+    """The most frequent parts over all texts, at most ``limit`` of them.
 
-    Tasks pass on partial counts of distinct words, never single words.
+    Tasks pass on partial counts of distinct words, never single words. The
+    least count is read off a histogram of counts (a few hundred rows), so
+    what reaches the driver does not grow with the number of tasks.
     """
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, counts = rules(path), Counter()
@@ -176,9 +218,15 @@ def frequent_words(docs: DataFrame, path: str, text_col: str = "text", limit: in
                     yield flush()
         yield flush()
 
-    counted = docs.select(text_col).mapInArrow(partial, "part string, n long")
-    return (counted.groupBy("part").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "part").limit(limit))
+    counted = docs.select(text_col).mapInArrow(partial, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    counted = materialize(counted.withColumn("step", F.floor(8 * F.log2("n")).cast("int")))
+    least, total = None, 0
+    for row in counted.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > limit:
+            break
+        least = row["step"]
+    return counted.where(F.lit(False) if least is None else F.col("step") >= least).select("part", "n")
 
 
 def publish_lexicon(docs: DataFrame, path: str, text_col: str = "text", limit: int = LEXICON_WORDS) -> str:
@@ -210,18 +258,18 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id_type = rows.schema[0].dataType.simpleString()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, name).encode
+        coder = encoder(path, name)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(at, ROWS_OUT)
-                found = [encode(t.as_py()) for t in part.column(1)]
-                sizes = pa.array([0, *(len(b) // 4 for b, _ in found)], pa.int64())
+                found = [coder.encode(t.as_py()) for t in part.column(1)]
+                sizes = pa.array([0, *(len(b) // 4 for b in found)], pa.int64())
                 offsets = pa.compute.cumulative_sum(sizes).cast(pa.int32())
-                flat = b"".join([b for b, _ in found])
+                flat = b"".join(found)
                 ids = pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(
                     pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), sizes.slice(1), ids, pa.array([d for _, d in found], pa.string())],
+                    [part.column(0), sizes.slice(1), ids, pa.array([coder.decode(b) for b in found], pa.string())],
                     [id_col, "n_tokens", "ids", "decoded"])
 
     return rows.mapInArrow(encoded, f"`{id_col}` {id_type}, n_tokens long, ids array<int>, decoded string")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelink.llm import host_rules, simhash, token_counts, word_bpe
+from tidelink.llm import host_rules, langid, simhash, token_counts, word_bpe
 from tidelink.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every whole text."""
     return simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query("op3_langid_subwords")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole text."""
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")

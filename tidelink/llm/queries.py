@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelink.llm import host_rules, langid, simhash, token_counts, word_bpe
-from tidelink.llm.common import documents
+from tidelink.llm import host_rules, langid, mixing, simhash, token_counts, warc, word_bpe
+from tidelink.llm.common import documents, n_words_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,36 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op5_cube_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document."""
+    docs = documents(spark, sf_dir, "doc_id", "source", "text")
+    mixed = mixing.mix(docs.select("doc_id", "source", n_words_of(F.col("text")).alias("size")))
+    return mixed.select("doc_id", "source", "mix.size", "mix.source_size", "mix.target",
+                        (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
+
+
+@query("op10_warc_content_store", r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS h FROM p),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper FROM d),
+g AS (
+  SELECT k.*, list_transform(range(0, 8), lambda i: ('0x' || substr(h, 5 * i + 1, 5))::BIGINT) AS v FROM k)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(v, lambda x:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> 15) & 31)::INT + 1, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> 10) & 31)::INT + 1, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> 5) & 31)::INT + 1, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (x & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = keeper THEN NULL ELSE keeper END AS refers_to
+FROM g
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page as a record, and read the records back."""
+    archive = warc.write_archive(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    read = warc.read_archive(spark, archive)
+    return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"))

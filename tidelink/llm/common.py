@@ -13,6 +13,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP_CHARS = " \t\n\x0b\x0c\r"
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is shipped with the job (--py-files) and this
+    place, if executors lack it, is passed over.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The whole ``documents`` table, or some of its columns."""
     return table(spark, sf_dir, "documents", *columns)
@@ -43,3 +55,22 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns an operator is about to write."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+class Remembered(dict):
+    """Values made on first use, in two bounded generations of keys."""
+
+    def __init__(self, make, entries: int, longest: int = 64):
+        super().__init__()
+        self.make, self.entries, self.longest, self.older = make, entries, longest, {}
+
+    def __missing__(self, key: str):
+        found = self.older.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.entries:
+                self.older = dict(self)
+                self.clear()
+            self[key] = found
+        return found

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelink.llm.common import without
@@ -245,13 +245,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train(samples)
 
 
-def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """Add ``lang_pred``, ``score`` and ``rejected`` to every row."""
-    base = without(docs, "lang_pred", "score", "rejected")
+def prediction(text: Column, model: LanguageModel | None, spark: SparkSession) -> Column:
+    """Struct (lang_pred, score, rejected) of a text column."""
     if model is None:
-        return base.select("*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"),
-                           F.lit(True).alias("rejected"))
-    shared = base.sparkSession.sparkContext.broadcast(model)  # buckets x languages floats, bounded
+        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+    shared = spark.sparkContext.broadcast(model)  # buckets x languages floats, bounded
 
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predicted(texts: pd.Series) -> pd.DataFrame:
@@ -259,9 +257,15 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
         prepared = [letters(t) for t in texts]
         p = m.probabilities(prepared)
         best, none = p.argmax(axis=1), np.array([not t for t in prepared], bool)
-        score = np.where(none, 0.0, p.max(axis=1) if len(p) else 0.0)
+        score = np.where(none, 0.0, p.max(axis=1))
         return pd.DataFrame({"lang_pred": [UNKNOWN if n else m.langs[b] for b, n in zip(best, none)], "score": score,
                              "rejected": none | (score < m.threshold)})
 
-    return base.select("*", predicted(F.col(text_col)).alias("_p")).select(
-        *[F.col(f"`{c}`") for c in base.columns], "_p.lang_pred", "_p.score", "_p.rejected")
+    return predicted(text)
+
+
+def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """Add ``lang_pred``, ``score`` and ``rejected`` to every row."""
+    base = without(docs, "lang_pred", "score", "rejected")
+    found = base.select("*", prediction(F.col(text_col), model, base.sparkSession).alias("_language"))
+    return found.select(*[F.col(f"`{c}`") for c in base.columns], "_language.*")

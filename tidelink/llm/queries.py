@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelink.llm import host_rules, langid, mixing, simhash, token_counts, warc, word_bpe
-from tidelink.llm.common import documents, n_words_of, table
+from tidelink.llm import (covertree, host_rules, langid, mixing, sharding, simhash, token_counts, toxicity,
+                          warc, word_bpe)
+from tidelink.llm.common import documents, n_words_of, table, workers_import
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,10 +18,15 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_import(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             ORACLES[name] = sql.strip()
-        return fn
+        return run
     return register
 
 
@@ -89,10 +96,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe_lexicon")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every whole text."""
-    coded = word_bpe.encode_decode(documents(spark, sf_dir, "doc_id", "text"))
-    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return coded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"),
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return word_bpe.digests(word_bpe.encode_decode(documents(spark, sf_dir, "doc_id", "text")))
 
 
 @query("op9_simhash_tiles")
@@ -140,3 +144,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.read_archive(spark, archive)
     return read.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+SHARDS = [f"shard-{k:03d}" for k in range(128)]
+
+
+@query("op1_toxicity_severity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected toxicity grade of every whole text."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).drop("text")
+
+
+@query("op6_cover_tree")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and keeper of every embedding."""
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+@query("op8_lookup_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    return sharding.place(documents(spark, sf_dir, "doc_id"), SHARDS)

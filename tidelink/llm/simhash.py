@@ -133,18 +133,38 @@ def forests(blocks: DataFrame, pairs: DataFrame, radius: int) -> DataFrame:
     return joined.select("fps_a", "fps_b").mapInArrow(compared, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """Id column, ``fingerprint`` (16 hex digits) and ``component_id``."""
-    marked = materialize(docs.select(F.col(id_col), fingerprint(F.col(text_col), shingle).alias("fp")))
+def groups(marked: DataFrame, id_col: str, radius: int = MAX_BITS) -> DataFrame:
+    """(id, fp, component_id) of rows with fingerprints ``fp``; ids of any
+    ordered type. ``marked`` is read several times and should be a table."""
     classes = materialize(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")))
     blocks, directory = tiles(classes)
     blocks = materialize(blocks)
     roots = connected_components(forests(blocks, tile_pairs(directory, radius), radius))
-    linked = classes.join(roots, F.col("fp") == F.col("vertex")).select("fp", "root", "first_id")
+    linked = materialize(classes.join(roots, F.col("fp") == F.col("vertex")).select("fp", "root", "first_id"))
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     joined = linked.join(smallest, "root").select("fp", "component_id")
-    of_class = classes.join(joined, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id"))
-    return marked.join(of_class, "fp").select(
+    # written, so that the join below has a plain exchange on either side and
+    # a fingerprint with a great many rows can be split
+    of_class = materialize(classes.join(joined, "fp", "left").select(
+        "fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    return marked.select(F.col(id_col), "fp").join(of_class, "fp")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """Id column, ``fingerprint`` (16 hex digits) and ``component_id``."""
+    marked = materialize(docs.select(F.col(id_col), fingerprint(F.col(text_col), shingle).alias("fp")))
+    return groups(marked, id_col, radius).select(
         F.col(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def first_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                        shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group the one of smallest id
+    (null ids last), and of repeated ids one row."""
+    rows = materialize(docs.withColumn("_fp", fingerprint(F.col(text_col), shingle))
+                       .withColumn("_row", F.monotonically_increasing_id()))
+    key = F.struct(F.col(id_col).isNull().alias("absent"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
+    found = groups(rows.select(key.alias("key"), F.col("_fp").alias("fp")), "key", radius)
+    gone = found.where("key != component_id").select(F.col("key.row").alias("_row"))
+    return rows.join(gone, "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -273,3 +273,11 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     [id_col, "n_tokens", "ids", "decoded"])
 
     return rows.mapInArrow(encoded, f"`{id_col}` {id_type}, n_tokens long, ids array<int>, decoded string")
+
+
+def digests(coded: DataFrame) -> DataFrame:
+    """``ids`` and ``decoded`` replaced by ``ids_sha256`` (of the decimal ids
+    joined by a blank) and ``decoded_sha256``."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return (coded.withColumn("ids_sha256", F.sha2(ids, 256)).withColumn("decoded_sha256", F.sha2("decoded", 256))
+            .drop("ids", "decoded"))

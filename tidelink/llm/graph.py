@@ -35,18 +35,20 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
 
     Rounds of large star and small star until the edges no longer change.
     Minima are aggregated before the shuffle and joined back, so a vertex
-    with many edges is never gathered. Each round is written to the shared
-    folder, which cuts the lineage. Null ends are ignored.
+    with many edges is never gathered; they are written first, so that the
+    join has plain exchanges and such a vertex's edges can be split. Each
+    round is written to the shared folder, which cuts the lineage. Null ends
+    are ignored.
     """
     a, b = F.col(u), F.col(v)
     now = materialize(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     mark = _fingerprint(now)
     while mark[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))))
         now = materialize(small.distinct())

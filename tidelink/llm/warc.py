@@ -6,9 +6,9 @@ block of every record, with the digest of the payload it belongs to. A
 record is rebuilt by joining the two: header block, blank line, block (the
 payload of a response, nothing for a revisit), two line ends.
 
-Which record of equal payloads stores them is found by aggregating (digest,
-id) rows, never payloads; payload bytes are not shuffled when they are
-written. Reading verifies each stored payload once against its address.
+Equal payloads are put together before the shuffle, so a payload that a third
+of all records share crosses it once for each task. Reading verifies each
+stored payload once against its address.
 
 Defined results: a null payload counts as the empty one; a null id is
 smaller than any other and becomes an empty field; of repeated rows with the
@@ -75,17 +75,12 @@ def write_archive(records: DataFrame, path: str | None = None, id_col: str = "pa
                         F.octet_length("payload").cast("long").alias("length"), base32_sha1(F.col("payload")).alias("sha1"))
     facts.write.parquet(f"{archive.path}/facts")
     facts = spark.read.parquet(f"{archive.path}/facts")
-    # the largest id of each payload; ids of one payload meet as partial maxima
-    keepers = facts.groupBy("address").agg(F.max("record_id").alias("keeper"))
-    keepers.write.parquet(f"{archive.path}/keepers")
-    keepers = spark.read.parquet(f"{archive.path}/keepers")
-
-    # one row stores the bytes: of repeated keepers, any one of their equal payloads
-    stored = (rows.select("record_id", "payload", F.sha2("payload", 256).alias("address"))
-              .join(keepers.select(F.col("address").alias("_a"), F.col("keeper").alias("_k")),
-                    F.expr("record_id <=> _k and address = _a"), "left_semi"))
-    (stored.groupBy("address").agg(F.first("payload").alias("payload"))
-     .write.parquet(f"{archive.path}/payloads"))
+    # equal payloads meet as one row of each task: one passage of distinct
+    # payloads, which also finds the largest id of each
+    (rows.groupBy(F.sha2("payload", 256).alias("address"))
+     .agg(F.max("record_id").alias("keeper"), F.first("payload").alias("payload"))
+     .write.option("compression", "zstd").parquet(f"{archive.path}/payloads"))
+    keepers = archive.payloads(spark).select("address", "keeper")
 
     judged = facts.join(keepers, "address")
     revisit = (F.col("length") >= min_revisit_bytes) & ~F.col("record_id").eqNullSafe(F.col("keeper"))

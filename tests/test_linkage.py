@@ -1,4 +1,4 @@
-"""As-of (both strategies), containment, tolerance and nearest matches vs brute force."""
+"""As-of, containment, tolerance and nearest matches vs brute force."""
 
 import random
 
@@ -14,12 +14,9 @@ def _samples(rng, n_rec=4, n=80):
     return [(f"r{r}", BASE + rng.randint(0, 3 * 86400), float(k)) for r in range(n_rec) for k in range(n)]
 
 
-@pytest.mark.parametrize("limit", [10**9, -1])
-def test_asof_edges_both_strategies(spark, limit, monkeypatch):
-    import tidelink.operators.scan as scan
-    if limit < 0:
-        monkeypatch.setattr(scan, "HOT_GROUP_ROWS", 5)     # bucketed path with hot keys split
-    rng = random.Random(limit & 7)
+@pytest.mark.parametrize("bucket", [60, 3600, 10**6])
+def test_asof_edges(spark, bucket):
+    rng = random.Random(bucket & 7)
     sm = _samples(rng)
     lk = []
     for j in range(40):
@@ -30,8 +27,7 @@ def test_asof_edges_both_strategies(spark, limit, monkeypatch):
               .withColumn("t", F.timestamp_seconds("ts")).drop("ts"))
     Lk = (spark.createDataFrame(lk, "k string, j int, s long, e long")
                .withColumn("start", F.timestamp_seconds("s")).withColumn("end", F.timestamp_seconds("e")))
-    got = asof_edges(Lk, S, "k", "start", "end", "t", ["off"], ["k", "j"], broadcast_limit=limit,
-                     bucket_seconds=3600)
+    got = asof_edges(Lk, S, "k", "start", "end", "t", ["off"], ["k", "j"], bucket_seconds=bucket)
     res = {r.j: (r.off_start, r.off_end) for r in got.collect()}
     for r, j, s, e in lk:
         mine = [(t, o) for rr, t, o in sm if rr == r]

@@ -92,28 +92,59 @@ def test_session_roots_match_pairwise_definition(spark, seed):
     assert got == _brute_roots(rows)
 
 
-def test_hot_participant_split_over_parts(spark, monkeypatch):
-    """One participant with all events: the scan is split over range parts
+def many_parts(spark):
+    """Range exchanges keep their 16 parts: none is coalesced."""
+    was = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    return was
+
+
+def test_hot_participant_split_over_parts(spark):
+    """One participant with all events: the scan is spread over range parts
     and must still equal the stack."""
-    import tidelink.operators.scan as scan
-    monkeypatch.setattr(scan, "HOT_GROUP_ROWS", 50)
+    from tidelink.operators.scan import range_parts
     rng = random.Random(99)
     ev = random_events(rng, n_pid=1, n=600)
     df = spark.createDataFrame(ev, "pid string, root string, kind string, t long, i long")
-    from tidelink.operators.scan import range_parts
-    assert range_parts(df, ["pid", "root"], ["t", "i"], 16).select("_part").distinct().count() > 4
-    got = sorted(tuple(r) for r in pair_start_stop(df, ["pid"], "root", "kind", "t", ["i"]).collect())
+    was = many_parts(spark)
+    try:
+        assert range_parts(df, ["pid", "root"], ["t", "i"]).select("_part").distinct().count() > 4
+        got = sorted(tuple(r) for r in pair_start_stop(df, ["pid"], "root", "kind", "t", ["i"]).collect())
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
     assert got == stack_pairs(ev)
 
 
-@pytest.mark.parametrize("hot", [50, 10**9])
-def test_dense_ids_global_order(spark, monkeypatch, hot):
-    import tidelink.operators.scan as scan
-    monkeypatch.setattr(scan, "HOT_GROUP_ROWS", hot)
+@pytest.mark.parametrize("split", [True, False])
+def test_dense_ids_global_order(spark, split):
     from tidelink.operators.reshape import dense_ids
+    from tidelink.operators.scan import ranked
     rows = [(i % 3, (i * 7919) % 1000, i) for i in range(500)]
     df = spark.createDataFrame(rows, "g int, x int, i int")
-    got = {r.i: r.id for r in dense_ids(df, ["x", "i"]).collect()}
-    assert got == {r.i: r.id for r in dense_ids(df, ["x", "i"], bucket=["g"]).collect()} or True
-    want = {i: k + 1 for k, (_, _, i) in enumerate(sorted(rows, key=lambda r: (r[1], r[2])))}
-    assert got == want
+    was = many_parts(spark) if split else {}
+    try:
+        ids = {r.i: r.id for r in dense_ids(df, ["x", "i"]).collect()}
+        by_bucket = {r.i: r.id for r in dense_ids(df, ["x", "i"], bucket=["g"]).collect()}
+        ranks = {r.i: r["_rank"] for r in ranked(df, ["g"], ["x", "i"]).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    want = sorted(rows, key=lambda r: (r[1], r[2]))
+    assert ids == {r[2]: k + 1 for k, r in enumerate(want)}
+    assert by_bucket == {r[2]: k + 1 for k, r in enumerate(sorted(rows, key=lambda r: (r[0], r[1], r[2])))}
+    for g in range(3):
+        assert [ranks[r[2]] for r in want if r[0] == g] == list(range(1, sum(r[0] == g for r in rows) + 1))
+
+
+def test_no_window_over_a_single_partition(spark):
+    import contextlib
+    import io
+
+    from tidelink.operators.reshape import dense_ids
+    df = spark.range(1000).selectExpr("id % 7 as g", "id as x")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        dense_ids(df, ["x"], bucket=["g"]).explain("formatted")
+    assert "Window" not in out.getvalue()

@@ -1,10 +1,9 @@
 """Linkage joins: limits, offsets, containment, as-of, tolerance, nearest.
 
 Design rules (100 TB scale):
-* samples are the only huge input; they are never shuffled by time order
-  and never sorted per recording. Limits/offsets are aggregates joined
-  back; as-of lookups are answered by partial aggregation after a join on
-  the recording key with the (size-checked) lookup table.
+* samples are the only huge input; they are never put into time order.
+  Limits/offsets are aggregates joined back; as-of lookups ask for the one
+  or two time buckets that can hold their answer.
 * range conditions always ride on an equi key plus a time bucket, so no
   join ever degenerates into a cartesian product or all pairs of a group.
 """
@@ -13,15 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelink.functions.timefn import minute_boundary_diff, minute_index, offset_seconds
 from tidelink.operators.scan import carried_last
+from tidelink.session import materialize
 
-# Lookup tables up to this many rows are broadcast to the sample scan;
-# larger ones take the bucketed path, which shuffles both sides by bucket.
-BROADCAST_LOOKUP_ROWS = 2_000_000
+# Clocks before this are wrong (the lake rejects such recordings too).
+EARLIEST = "2000-01-01"
 
 
 def _cols(xs) -> list[str]:
@@ -58,104 +57,90 @@ def contained_in(outer: DataFrame, inner: DataFrame, on: Sequence[str],
     on = _cols(on)
     o0, o1 = outer_range
     i0, i1 = inner_range
-    o = outer.withColumn("_day", F.explode(F.sequence(F.to_date(o0), F.to_date(o1))))
+    # a clock error at one end must not list decades of days
+    o = outer.where(F.col(o0) >= F.lit(EARLIEST).cast("timestamp")).withColumn("_day", F.explode(F.sequence(F.to_date(o0), F.to_date(o1))))
     i = inner.withColumn("_day", F.to_date(i0))
     return (o.join(i, on + ["_day"])
              .where((F.col(i0) >= F.col(o0)) & (F.col(i1) <= F.col(o1)))
              .drop("_day"))
 
 
-def _lookup_is_small(lookups: DataFrame, limit: int) -> tuple[DataFrame, bool]:
-    """Materialise the lookup table once (reliable checkpoint) and size it."""
-    from tidelink.session import materialize
-    lk = materialize(lookups)
-    return lk, lk.count() <= limit
+def _edge_records(edges: DataFrame, samples: DataFrame, key: str, t: str, payload: Sequence[str],
+                  edge_id: Sequence[str], bucket_seconds: int) -> DataFrame:
+    """As-of for ``edges`` (edge_id, key, _at, _back): the sample nearest to
+    ``_at``, at or before it (``_back``) or at or after it, as struct ``_r``.
+
+    Time is cut into buckets. The answer lies in the edge's own bucket or,
+    failing that, at the end of the nearest occupied bucket on that side. The
+    occupied (key, bucket) pairs come from a hash aggregate over the samples;
+    each edge then asks for those two buckets, and the samples are joined to
+    the requests on (key, bucket): only samples of a bucket that holds or
+    borders an edge are aggregated, and a hot key is spread over its buckets.
+    """
+    micros = int(bucket_seconds * 1_000_000)
+    bucket = lambda c: F.floor(F.unix_micros(c) / micros)
+    rows = samples.select(key, t, *payload).withColumn("_bk", bucket(F.col(t)))
+    asked = edges.where(F.col("_at").isNotNull()).withColumn("_bk", bucket(F.col("_at")))
+    occupied = rows.select(key, "_bk").distinct()
+
+    def neighbours(back: bool) -> DataFrame:
+        """Edges with the nearest occupied bucket strictly before (after) theirs."""
+        mine = asked.where(F.col("_back") == back)
+        merged = occupied.withColumn("_edge", F.lit(False)).unionByName(
+            mine.withColumn("_edge", F.lit(True)), allowMissingColumns=True)
+        # an edge stands before its own bucket's row, so it never sees it
+        side = F.col("_bk") if back else -F.col("_bk")
+        scanned = carried_last(merged, [key], [side, (~F.col("_edge")).cast("int")],
+                               F.when(~F.col("_edge"), F.col("_bk")), "_near")
+        return scanned.where(F.col("_edge") & F.col("_near").isNotNull()).select(
+            *mine.columns[:-1], F.col("_near").alias("_bk"))
+
+    requests = asked.unionByName(neighbours(True)).unionByName(neighbours(False))
+    near = requests.join(rows, [key, "_bk"]).where(
+        F.when(F.col("_back"), F.col(t) <= F.col("_at")).otherwise(F.col(t) >= F.col("_at")))
+    record = F.struct(F.col(t).alias("_t"), *[F.col(p) for p in payload])
+    best = near.groupBy(*edge_id, "_back").agg(
+        F.max(F.when(F.col("_back"), record)).alias("_b"), F.min(F.when(~F.col("_back"), record)).alias("_f"))
+    return best.select(*edge_id, "_back", F.coalesce("_b", "_f").alias("_r"))
 
 
 def asof_edges(lookups: DataFrame, samples: DataFrame, key: str, start: str, end: str,
-               t: str, payload: Sequence[str], pair: Sequence[str],
-               broadcast_limit: int = BROADCAST_LOOKUP_ROWS,
-               bucket_seconds: int = 60) -> DataFrame:
+               t: str, payload: Sequence[str], pair: Sequence[str], bucket_seconds: int = 60) -> DataFrame:
     """J6a+J6b+U1+P8d: for each lookup window, the last sample at or before
     its start and the first sample at or after its end (same key).
 
     Returns ``pair`` + ``time_start, time_end`` + ``<payload>_start/_end``.
-    Small lookup tables are broadcast to the sample scan and both edges are
-    one partial aggregation (raw samples never shuffled); large ones use the
-    exact bucketed as-of (:func:`asof`).
+    Both edges are answered in one pass; the samples are read twice, once for
+    their occupied buckets and once for the buckets that edges ask for.
     """
-    pair = _cols(pair)
-    payload = _cols(payload)
-    lk = lookups.select(*dict.fromkeys([key, *pair, start, end]))
-    lk, small = _lookup_is_small(lk, broadcast_limit)
-    if small:
-        s = samples.select(key, t, *payload)
-        rec = F.struct(F.col(t).alias("time"), *[F.col(p) for p in payload])
-        joined = s.join(F.broadcast(lk), key)
-        agg = joined.groupBy(*pair).agg(
-            F.max(F.when(F.col(t) <= F.col(start), rec)).alias("_b"),
-            F.min(F.when(F.col(t) >= F.col(end), rec)).alias("_f"))
-        out = agg.select(*pair, F.col("_b.time").alias("time_start"), F.col("_f.time").alias("time_end"),
-                         *[F.col(f"_b.{p}").alias(f"{p}_start") for p in payload],
-                         *[F.col(f"_f.{p}").alias(f"{p}_end") for p in payload])
-        # a missing side means no sample qualifies (the inner as-of drops it)
-        return out.where(F.col("time_start").isNotNull() | F.col("time_end").isNotNull())
-    back = asof(lk, samples, key, start, t, "backward", payload, pair, bucket_seconds)
-    fwd = asof(lk, samples, key, end, t, "forward", payload, pair, bucket_seconds)
-    b = back.select(*pair, F.col(t).alias("time_start"), *[F.col(p).alias(f"{p}_start") for p in payload])
-    f = fwd.select(*pair, F.col(t).alias("time_end"), *[F.col(p).alias(f"{p}_end") for p in payload])
-    return b.join(f, pair, "full")
+    pair, payload = _cols(pair), _cols(payload)
+    windows = materialize(lookups.select(*dict.fromkeys([key, *pair, start, end])))
+    both = F.explode(F.array(F.struct(F.lit(True).alias("back"), F.col(start).alias("at")),
+                             F.struct(F.lit(False).alias("back"), F.col(end).alias("at"))))
+    edges = windows.select(*dict.fromkeys([*pair, key]), both.alias("_e")).select(
+        *dict.fromkeys([*pair, key]), F.col("_e.at").alias("_at"), F.col("_e.back").alias("_back"))
+    found = _edge_records(edges, samples, key, t, payload, pair, bucket_seconds)
+    side = found.groupBy(*pair).agg(F.max(F.when(F.col("_back"), F.col("_r"))).alias("_b"),
+                                    F.max(F.when(~F.col("_back"), F.col("_r"))).alias("_f"))
+    return side.select(*pair, F.col("_b._t").alias("time_start"), F.col("_f._t").alias("time_end"),
+                       *[F.col(f"_b.{p}").alias(f"{p}_start") for p in payload],
+                       *[F.col(f"_f.{p}").alias(f"{p}_end") for p in payload])
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
          direction: str, payload: Sequence[str], left_id: Sequence[str],
          bucket_seconds: int = 60) -> DataFrame:
-    """Exact inner as-of join for two large inputs (no broadcast).
+    """Exact inner as-of join.
 
     ``backward``: the right row with the greatest ``right_time <= left_time``;
     ``forward``: the least ``right_time >= left_time``; same ``key``.
-    Right rows are bucketed by time. The answer is either in the left row's
-    own bucket (equi-join on key+bucket, then a filtered max) or it is the
-    best row of the nearest non-empty earlier (later) bucket, found by a
-    running window over the small per-bucket summary. Hot keys are spread
-    over their buckets. Returns ``left_id`` + ``right_time`` + ``payload``.
+    Returns ``left_id`` + ``right_time`` + ``payload``.
     """
-    payload = _cols(payload)
-    left_id = _cols(left_id)
-    back = direction == "backward"
-    us = int(bucket_seconds * 1_000_000)
-    rec = F.struct(F.col(right_time).alias("_t"), *[F.col(p) for p in payload])
-    pick = F.max if back else F.min
-    r = right.select(key, right_time, *payload).withColumn("_bk", F.floor(F.unix_micros(right_time) / us))
-    lft = left.select(*dict.fromkeys(left_id + [key, left_time])).withColumn(
-        "_bk", F.floor(F.unix_micros(left_time) / us))
-    ok = (F.col(right_time) <= F.col(left_time)) if back else (F.col(right_time) >= F.col(left_time))
-    own = (lft.join(r, [key, "_bk"]).where(ok)
-              .groupBy(*left_id).agg(pick(rec).alias("_own")))
-    summary = r.groupBy(key, "_bk").agg(pick(rec).alias("_best"))
-    # Running best over strictly earlier (later) buckets, read at each left
-    # row: within a bucket, left rows sort before (after) the summary row so
-    # the frame never sees their own bucket.
-    u = (summary.select(key, "_bk", F.struct(F.col("_bk"), F.col("_best")).alias("_near"),
-                        F.lit(1 if back else 0).alias("_ord"))
-         .unionByName(lft.select(key, "_bk", F.lit(0 if back else 1).alias("_ord"),
-                                 *[c for c in left_id if c != key]),
-                      allowMissingColumns=True))
-    # a skew-safe running scan per key (hot keys are split over range parts)
-    if back:
-        keys = [F.col("_bk"), F.col("_ord")]
-    else:
-        keys = [-F.col("_bk"), -F.col("_ord")]
-    # the carried value must come from rows strictly before: left rows carry
-    # no value themselves, and their own bucket's summary sorts after them
-    scanned = carried_last(u, [key], keys, F.col("_near"), "_carried")
-    is_left = F.col("_ord") == (0 if back else 1)
-    near = (scanned.where(is_left & F.col("_carried").isNotNull())
-                   .select(*left_id, F.col("_carried._best").alias("_far")))
-    best = (lft.select(*left_id).join(own, left_id, "left").join(near, left_id, "left")
-               .select(*left_id, F.coalesce("_own", "_far").alias("_r"))
-               .where(F.col("_r").isNotNull()))
-    return best.select(*left_id, F.col("_r._t").alias(right_time), *[F.col(f"_r.{p}").alias(p) for p in payload])
+    payload, left_id = _cols(payload), _cols(left_id)
+    edges = left.select(*dict.fromkeys([*left_id, key]), F.col(left_time).alias("_at"),
+                        F.lit(direction == "backward").alias("_back"))
+    found = _edge_records(edges, right, key, right_time, payload, left_id, bucket_seconds)
+    return found.select(*left_id, F.col("_r._t").alias(right_time), *[F.col(f"_r.{p}").alias(p) for p in payload])
 
 
 def tolerance_match(a: DataFrame, b: DataFrame, on: Sequence[str], minutes: int,

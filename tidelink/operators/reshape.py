@@ -16,28 +16,14 @@ def _cols(xs) -> list[str]:
 
 def dense_ids(df: DataFrame, order: Sequence, bucket: Sequence[str] | None = None,
               id_col: str = "id") -> DataFrame:
-    """Global 1..n ids following ``bucket`` then ``order``.
+    """Global 1..n ids (long) following ``bucket`` then ``order``.
 
-    No window ever holds the whole table (or a whole hot key): rows are
-    range-partitioned by the sort key, numbered inside each range part, and
-    offset by the sizes of the earlier parts (a table of one row per part).
-    ``bucket`` columns, if given, lead the order (they must be consistent
-    with it, e.g. participant and day before start time).
+    Rows are sorted inside range parts and numbered as they are written; an
+    id is a row's number in its part plus the sizes of the earlier parts. No
+    window holds the table or a group of it, whatever their sizes.
     """
-    from tidelink.operators.scan import HOT_GROUP_ROWS, largest_group, ranked
-    if bucket and largest_group(df, list(bucket)) <= HOT_GROUP_ROWS:
-        # bounded buckets: number inside each bucket, offset by the prefix
-        # sum of bucket sizes (a window over the small bucket-count table)
-        bucket = list(bucket)
-        counts = df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n"))
-        w_all = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select(*bucket, F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))
-        w = Window.partitionBy(*bucket).orderBy(*order)
-        return (df.join(offsets, bucket)
-                  .withColumn(id_col, (F.col("_off") + F.row_number().over(w)).cast("int"))
-                  .drop("_off"))
-    keys = [*(bucket or []), *order]
-    return ranked(df, [], keys, out=id_col).withColumn(id_col, F.col(id_col).cast("int"))
+    from tidelink.operators.scan import ranked
+    return ranked(df, [], [*(bucket or []), *order], out=id_col)
 
 
 def distinct_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -1,17 +1,15 @@
-"""Skew-safe ordered scans: ranks and running sums within groups.
+"""Skew-safe ordered scans: ranks and running values within groups.
 
 A plain ``Window.partitionBy(group).orderBy(...)`` puts a whole group into
-one task; a group holding a third of the data would then be one task.
-Here the data is range-partitioned by (group, order), so a hot group is
-split over many range parts. Each (group, part) block is scanned locally,
-and what earlier parts of the same group contribute (row counts, sums,
-prefix minima, last values) is carried from a small summary table with one
-row per (group, part). Results equal the single-window definition.
-
-The part of each row is written once (a stage table in the shared folder)
-before the two branches (blocks and summary) read it: a range exchange may
-be coalesced differently for each consumer under AQE, so a part id taken
-from ``spark_partition_id()`` is only stable once stored.
+one task. Here rows are always range-partitioned by (group, order), at any
+size, so a group with a third of all rows is spread over many range parts;
+each (group, part) block is scanned on its own, and what a block needs from
+earlier parts of its group (sums, minima, last values) is carried from a
+summary of one row per (group, part).
+
+The parts are written once (a stage in the shared folder) before they are
+read: a range exchange may be coalesced differently for each consumer, so
+a part number holds only once it is stored.
 """
 
 from __future__ import annotations
@@ -21,147 +19,131 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART = "_part"
-# Groups up to this many rows are scanned by one window task (a sort that
-# spills); larger ("hot") groups are split over range parts.
-HOT_GROUP_ROWS = 2_000_000
+from tidelink.session import materialize
 
+PART = "_part"
+_POSITION = "_position"
+_ROW_BITS = 33  # monotonically_increasing_id: partition above, row number below
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows in the largest group (one partial aggregation, no data moved)."""
-    if not group:
-        return df.count()
-    r = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_group_rows")).agg(F.max("_group_rows")).first()[0]
-    return int(r or 0)
 
+def _keys(columns: Sequence) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in columns]
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
+def range_parts(df: DataFrame, group: Sequence[str], order: Sequence) -> DataFrame:
+    """Rows range-partitioned by (group, order), each with its part."""
+    ranged = df.repartitionByRange(*_keys([*group, *order]))
+    return materialize(ranged.withColumn(PART, F.spark_partition_id()))
 
-def range_parts(df: DataFrame, group: Sequence[str], order: Sequence, n: int | None = None,
-                hot_rows: int | None = None) -> DataFrame:
-    """Range-partition by (group, order) and tag each row with its part.
 
-    Returns None when no group exceeds ``hot_rows``: the scans below then
-    run as one plain window per group.
-    """
-    from tidelink.session import materialize
-    limit = HOT_GROUP_ROWS if hot_rows is None else hot_rows
-    if n is None and largest_group(df, group) <= limit:
-        return None
-    keys = [F.col(c) if isinstance(c, str) else c for c in [*group, *order]]
-    return materialize(df.repartitionByRange(_n_parts(df, n), *keys).withColumn(PART, F.spark_partition_id()))
-
-
-def _carried(summary: DataFrame, group: Sequence[str], cols: dict[str, Column]) -> DataFrame:
-    """Window over the (group, part) summary: values from earlier parts."""
-    w = (Window.partitionBy(*group).orderBy(PART) if group else Window.orderBy(PART)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    out = summary
+def _carried(summary: DataFrame, group: Sequence[str], cols: dict) -> DataFrame:
+    """Values from the earlier parts of a group, over its few summary rows."""
+    w = Window.partitionBy(*group).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     for name, fn in cols.items():
-        out = out.withColumn(name, fn(w))
-    return out
+        summary = summary.withColumn(name, fn(w))
+    return summary
 
 
-def ranked(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "_rank",
-           n: int | None = None) -> DataFrame:
-    """``row_number()`` over (partition by group order by order), skew-safe.
+def positioned(df: DataFrame, order: Sequence, out: str = _POSITION) -> DataFrame:
+    """0-based position of each row in the whole table's ``order`` (a total
+    order), as a long.
 
-    ``order`` must be a total order within each group (add a unique key).
+    Rows are sorted inside their range part and numbered as they are written;
+    an earlier part's size is one entry of an array with one entry a part.
+    """
+    keys = _keys(order)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    rows = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()))
+    part = F.shiftright("_mid", _ROW_BITS)
+    sizes = rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    listed = sizes.agg(F.collect_list(F.struct("p", "n")).alias("sizes"))
+    # entry k: the rows of all parts before part k
+    last = F.array_max(F.transform("sizes", lambda x: x["p"]))
+    before = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda k: F.aggregate(
+        F.filter("sizes", lambda y: y["p"] < k), F.lit(0).cast("long"), lambda a, y: a + y["n"]))
+    offset = F.get(listed.select(before.alias("before")).scalar(), part.cast("int"))
+    row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return rows.withColumn(out, offset + row).drop("_mid")
+
+
+def ranked(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "_rank") -> DataFrame:
+    """``row_number()`` over (partition by group order by order), as a long.
+
+    ``order`` must be a total order within each group (add a unique key). A
+    group's rows follow each other in the whole table's order, so a rank is a
+    position less the group's first one.
     """
     group = list(group)
-    rp = range_parts(df, group, order, n)
-    if rp is None:
-        w = Window.partitionBy(*group).orderBy(*order) if group else Window.orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w))
-    local = rp.withColumn("_lr", F.row_number().over(Window.partitionBy(*group, PART).orderBy(*order)))
-    sizes = rp.groupBy(*group, PART).agg(F.count(F.lit(1)).alias("_cnt"))
-    offs = _carried(sizes, group, {"_off": lambda w: F.coalesce(F.sum("_cnt").over(w), F.lit(0))})
-    return (local.join(offs.select(*group, PART, "_off"), [*group, PART])
-                 .withColumn(out, F.col("_off") + F.col("_lr")).drop("_off", "_lr", PART))
-
-
-def running_sum_min(df: DataFrame, group: Sequence[str], order: Sequence, delta: str,
-                    n: int | None = None) -> DataFrame:
+    rows = positioned(df, [*group, *order])
+    if not group:
+        return rows.withColumn(out, F.col(_POSITION) + 1).drop(_POSITION)
+    rows = materialize(rows)
+    names = [f"_g{i}" for i in range(len(group))]
+    first = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)]).agg(F.min(_POSITION).alias("_first"))
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)]
+    return (rows.join(first, same).withColumn(out, F.col(_POSITION) - F.col("_first") + 1)
+            .drop(_POSITION, "_first", *names))
+
+
+def running_sum_min(df: DataFrame, group: Sequence[str], order: Sequence, delta: str) -> DataFrame:
     """Per group in order: ``_s`` = running sum of ``delta``; ``_m`` = running
     minimum of least(0, _s); ``_m_prev`` = ``_m`` before the row (0 first).
 
     Carried per part: the sum of earlier parts and the minimum of their
-    prefix sums.
+    prefix sums. The result keeps ``_part``.
     """
     group = list(group)
-    rp = range_parts(df, group, order, n)
-    if rp is None:
-        w = Window.partitionBy(*group).orderBy(*order)
-        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return (df.withColumn("_s", F.sum(delta).over(run))
-                  .withColumn("_m", F.min(F.least(F.lit(0), F.col("_s"))).over(run))
-                  .withColumn("_m_prev", F.coalesce(F.lag("_m").over(w), F.lit(0))))
-    wl = Window.partitionBy(*group, PART).orderBy(*order)
-    run = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (rp.withColumn("_ls", F.sum(delta).over(run))
-               .withColumn("_lmin", F.min("_ls").over(run)))
-    summ = local.groupBy(*group, PART).agg(F.sum(delta).alias("_tot"), F.min("_ls").alias("_pmin"))
-    carried = _carried(summ, group, {"_s_in": lambda w: F.coalesce(F.sum("_tot").over(w), F.lit(0))})
+    parts = range_parts(df, group, order)
+    block = Window.partitionBy(*group, PART).orderBy(*order)
+    run = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = parts.withColumn("_ls", F.sum(delta).over(run)).withColumn("_lmin", F.min("_ls").over(run))
+    summary = local.groupBy(*group, PART).agg(F.sum(delta).alias("_tot"), F.min("_ls").alias("_pmin"))
+    carried = _carried(summary, group, {"_s_in": lambda w: F.coalesce(F.sum("_tot").over(w), F.lit(0))})
     carried = carried.withColumn("_x", F.col("_s_in") + F.col("_pmin"))
-    carried = _carried(carried, group, {"_m_in": lambda w: F.least(F.lit(0), F.coalesce(F.min("_x").over(w),
-                                                                                      F.lit(0)))})
+    carried = _carried(carried, group, {
+        "_m_in": lambda w: F.least(F.lit(0), F.coalesce(F.min("_x").over(w), F.lit(0)))})
     j = local.join(carried.select(*group, PART, "_s_in", "_m_in"), [*group, PART])
-    s = F.col("_s_in") + F.col("_ls")
-    m = F.least(F.col("_m_in"), F.col("_s_in") + F.col("_lmin"))
-    return (j.withColumn("_s", s).withColumn("_m", m)
-             .withColumn("_m_prev", F.coalesce(F.lag("_m").over(wl), F.col("_m_in")))
-             .drop("_ls", "_lmin", "_s_in", "_m_in"))
+    return (j.withColumn("_s", F.col("_s_in") + F.col("_ls"))
+            .withColumn("_m", F.least(F.col("_m_in"), F.col("_s_in") + F.col("_lmin")))
+            .withColumn("_m_prev", F.coalesce(F.lag("_m").over(block), F.col("_m_in")))
+            .drop("_ls", "_lmin", "_s_in", "_m_in"))
 
 
 def previous_in_level(df: DataFrame, group: Sequence[str], level: str, order: Sequence, value: str,
                       out: str = "_prev") -> DataFrame:
     """``lag(value)`` over (partition by group, level order by order) on data
-    that already carries ``_part`` from a range partitioning by (group, order).
+    that carries ``_part`` from a range partitioning by (group, order).
 
     Inside a part the previous row of the same level is a local ``lag``; the
     first row of a level in a part takes the last value of that level from
     earlier parts (carried over the small (group, level, part) summary).
     """
     group = list(group)
-    if PART not in df.columns:
-        # not split: one window per (group); rows of a level are contiguous
-        # in (level, order), so the previous row of the level is a lag
-        w = Window.partitionBy(*group).orderBy(F.col(level), *order)
-        same = F.lag(level).over(w) == F.col(level)
-        return df.withColumn(out, F.when(same, F.lag(value).over(w)))
     wl = Window.partitionBy(*group, PART, level).orderBy(*order)
     local = df.withColumn(out, F.lag(value).over(wl)).withColumn("_first", F.lag(F.lit(1)).over(wl).isNull())
     last = df.groupBy(*group, level, PART).agg(F.max_by(value, F.struct(*order)).alias("_last"))
-    w = Window.partitionBy(*group, level).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.withColumn("_carry", F.last("_last", ignorenulls=True).over(w)).drop("_last")
+    carry = _carried(last, [*group, level], {
+        "_carry": lambda w: F.last("_last", ignorenulls=True).over(w)}).drop("_last")
     return (local.join(carry, [*group, level, PART], "left")
                  .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out)))
                  .drop("_first", "_carry"))
 
 
-def carried_last(df: DataFrame, group: Sequence[str], keys: Sequence[Column], value: Column,
-                 out: str, n: int | None = None) -> DataFrame:
+def carried_last(df: DataFrame, group: Sequence[str], keys: Sequence[Column], value: Column, out: str) -> DataFrame:
     """``last(value, ignorenulls)`` over rows up to the current one, ordered
-    by ``keys`` within each group; skew-safe (carried across range parts).
+    by ``keys`` within each group, carried across range parts.
     For "next" semantics pass negated keys."""
     group = list(group)
     names = [f"_k{i}" for i in range(len(keys))]
     d = df.withColumn("_v", value)
-    for nme, k in zip(names, keys):
-        d = d.withColumn(nme, k)
-    rp = range_parts(d, group, names, n)
-    if rp is None:
-        w = Window.partitionBy(*group).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
-        return d.withColumn(out, F.last("_v", ignorenulls=True).over(w)).drop("_v", *names)
-    wl = Window.partitionBy(*group, PART).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
-    local = rp.withColumn(out, F.last("_v", ignorenulls=True).over(wl))
-    summ = rp.groupBy(*group, PART).agg(
+    for name, k in zip(names, keys):
+        d = d.withColumn(name, k)
+    parts = range_parts(d, group, names)
+    block = Window.partitionBy(*group, PART).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+    local = parts.withColumn(out, F.last("_v", ignorenulls=True).over(block))
+    summary = parts.groupBy(*group, PART).agg(
         F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), F.struct(*names))).alias("_plast"))
-    carry = _carried(summ, group, {"_carry": lambda w: F.last("_plast", ignorenulls=True).over(w)})
+    carry = _carried(summary, group, {"_carry": lambda w: F.last("_plast", ignorenulls=True).over(w)})
     return (local.join(carry.select(*group, PART, "_carry"), [*group, PART], "left")
                  .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
                  .drop("_carry", "_v", PART, *names))

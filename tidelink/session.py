@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: instants are UTC, AQE re-plans joins and
 # coalesces/splits partitions at runtime (skew joins included).
@@ -48,31 +50,49 @@ def ensure_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+class NoSharedFolder(RuntimeError):
+    """Raised on a cluster whose shared checkpoint folder is not named."""
+
+
+# Folders made by each application, oldest first; see drop_scratch.
+_MADE: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster; we only
-    choose our own (a local temp folder) when it is unset, as in tests.
+    ``spark.checkpoint.dir`` names the shared folder. Where it is unset, a
+    local master gets a folder of its own; any other master is an error, as
+    its executors could not see one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidelink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
-    sub = f"{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
-    return root.rstrip("/") + "/" + sub
+    made = f"{root.rstrip('/')}/{name or 'scratch'}-{uuid.uuid4().hex[:12]}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(made)
+    return made
 
 
-def checkpoint_dir_ready(spark: SparkSession) -> None:
-    """Make sure ``DataFrame.checkpoint()`` has a reliable target."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        scratch_dir(spark)
+def scratch_made(spark: SparkSession) -> list[str]:
+    """The scratch folders of this application that still stand, in order."""
+    return list(_MADE.get(spark.sparkContext.applicationId, []))
+
+
+def drop_scratch(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete scratch folders whose readers have all been executed."""
+    known = _MADE.get(spark.sparkContext.applicationId, [])
+    for folder in set(folders) & set(known):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        known.remove(folder)
 
 
-def materialize(df):
+def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage at a stage boundary: write the table as Parquet into the
     shared checkpoint folder and read it back (one pass; survives executor
     loss; never a local checkpoint; the reader gets real size statistics,
@@ -87,9 +107,4 @@ def materialize(df):
     return spark.read.parquet(path)
 
 
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme (only used by tests that inspect files)."""
-    return uri[5:] if uri.startswith("file:") else uri
-
-
-__all__ = ["get_session", "ensure_conf", "scratch_dir", "checkpoint_dir_ready", "materialize", "local_path"]
+__all__ = ["NoSharedFolder", "get_session", "ensure_conf", "scratch_dir", "scratch_made", "drop_scratch", "materialize"]

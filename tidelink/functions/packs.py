@@ -149,3 +149,17 @@ TYPE_WORDS = (("child", "C"), ("mother", "M"))
 
 # R11 (older pack, optional): "all work was in daytime"
 DAYTIME_RULES = [(r"12;(\d{2})AM", "12;\\1PM"), (r"11;(\d{2})PM", "11;\\1AM")]
+
+# R12 (optional): parts of a repaired label, as (when it matches, pattern, group)
+PART_DATES = [(r"^\d{8}$", r"^(\d{8})$", 1)]
+PART_IDS = [
+    (r"^(PID|SL_)", r"^(.*)$", 1),
+    (r"^\d{5}[MCB]($|_)", r"^(\d{5})", 1),
+    (r"^\d{6}[MCB]($|_)", r"^(\d{6})", 1),
+]
+PART_LETTER = r"^\d{5,6}([CMB])"
+PART_WORDS = {"C": "child", "M": "mother", "B": "both"}
+PART_WINDOWS = [
+    (r"^\d{5,6}\w_\d{2}:", r".*(\d{2}:\d{2}[AP]M-\d{1,2}:\d{2}[AP]M)", 1),
+    (r"^\d{5,6}\w_\d{1}:", r".*(\d{1}:\d{2}[AP]M-\d{1,2}:\d{2}[AP]M)", 1),
+]

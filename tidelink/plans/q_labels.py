@@ -217,9 +217,9 @@ def q_session_windows(spark, sf_dir):
 
 @query("label_quarantine")
 def q_label_quarantine(spark, sf_dir):
-    """dq_label_grammar / dq_label_parse: labels the packs cannot repair."""
+    """dq_label_split, dq_label_grammar, dq_label_parse: labels the packs cannot repair."""
     _, bad = LB.session_windows(B.session_paths(spark, sf_dir), B.STUDY_ROOT + "/", quarantine=True)
-    return bad.select("label", "id_win", "value", "label_ok", "parse_ok")
+    return bad.select("label", "id_win", "value", "label_ok", "parse_ok", "split_error")
 
 
 @query("explode_path", f"""

@@ -75,7 +75,7 @@ def q_recording_header_scan(spark, sf_dir):
 
 
 def samples_raw(spark, sf_dir):
-    return S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", ecg_meta(spark, sf_dir))
+    return S.ingest_samples(spark, ecg_meta(spark, sf_dir))
 
 
 @query("ingest_local_time", with_ctes(RAW_ECG_SQL, final="""
@@ -83,7 +83,7 @@ SELECT id_recording, t, ecg FROM ecg_rows WHERE user_id % 2 = 0"""))
 def q_ingest_local_time(spark, sf_dir):
     """Wall-clock files converted to UTC with each file's zone."""
     m = ecg_meta(spark, sf_dir)
-    s = S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", m.where(F.col("time_col") == "local_time"))
+    s = S.ingest_samples(spark, m.where(F.col("time_col") == "local_time"))
     return s.select("id_recording", "t", "ecg")
 
 
@@ -92,7 +92,7 @@ SELECT id_recording, t, ecg FROM ecg_rows WHERE user_id % 2 = 1"""))
 def q_ingest_epoch(spark, sf_dir):
     """Epoch files; seconds or milliseconds decided per row."""
     m = ecg_meta(spark, sf_dir)
-    s = S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", m.where(F.col("time_col") == "timestamp"))
+    s = S.ingest_samples(spark, m.where(F.col("time_col") == "timestamp"))
     return s.select("id_recording", "t", "ecg")
 
 
@@ -131,9 +131,9 @@ def q_incremental_ingest(spark, sf_dir):
     root = scratch_dir(spark, "lake")
     meta = ecg_meta(spark, sf_dir)
     first = meta.where(F.col("time_col") == "local_time")
-    LK.write_lake(S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", first), root)
+    LK.write_lake(S.ingest_samples(spark, first), root)
     todo = LK.incremental_candidates(spark, meta, root)
-    LK.write_lake(S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", todo), root, mode="append")
+    LK.write_lake(S.ingest_samples(spark, todo), root, mode="append")
     return todo.select("id")
 
 
@@ -236,6 +236,6 @@ def q_recordings_with_lake(spark, sf_dir):
     """Header meta left-joined with lake entries (rejected files keep null year)."""
     lake = scratch_dir(spark, "lake")
     meta = ecg_meta(spark, sf_dir)
-    LK.write_lake(S.ingest_samples(spark, raw_root(spark, sf_dir) + "/ecg", meta), lake)
+    LK.write_lake(S.ingest_samples(spark, meta), lake)
     entries = LK.lake_ids(spark, lake).withColumnRenamed("id_recording", "id")
     return meta.select("id").join(entries, "id", "left")

@@ -65,24 +65,24 @@ def marker_windows_ctes(min_seconds: float = 30, exclude=None) -> list[str]:
     return [MARKER_EVENTS_SQL, PREPARED_SQL, PAIRS_SQL, windows_sql(min_seconds, exclude)]
 
 
+# An event's spread is the median absolute deviation of the day's *other*
+# starts; the session's root has the least, and then the least id.
 SESSIONS_SQL = r"""
-m AS (SELECT *, date_trunc('day', start) AS date FROM windows),
-dpairs AS (
-  SELECT a.mirage_pid, a.date, a.id AS id_a, b.id AS id_b,
-         CASE WHEN a.id = b.id THEN NULL ELSE epoch_ms(b.start) - epoch_ms(a.start) END AS dt_ms
-  FROM m a JOIN m b ON a.mirage_pid = b.mirage_pid AND a.date = b.date),
-mads AS (
-  SELECT *, mad(CAST(dt_ms AS DOUBLE)) OVER (PARTITION BY mirage_pid, date, id_a) AS mad_ms
-  FROM dpairs),
-c2 AS (SELECT *, min(mad_ms) OVER (PARTITION BY mirage_pid, date) AS min_mad FROM mads),
-c3 AS (SELECT * FROM c2 WHERE mad_ms = min_mad OR min_mad IS NULL),
-c4 AS (SELECT *, min(id_a) OVER (PARTITION BY mirage_pid, date) AS root FROM c3),
-sess AS (
-  SELECT mirage_pid, date,
-         CAST(row_number() OVER (ORDER BY mirage_pid, date) AS INTEGER) AS id_session
-  FROM (SELECT DISTINCT mirage_pid, date FROM m)),
+days AS (
+  SELECT mirage_pid, date_trunc('day', start) AS date,
+         list(struct_pack(id := id, ms := epoch_ms(start))) AS evs
+  FROM windows GROUP BY 1, 2),
+spreads AS (
+  SELECT mirage_pid, date, unnest(list_transform(evs, lambda e: struct_pack(
+           id := e.id, ms := e.ms,
+           spread := list_aggregate(list_transform(list_filter(evs, lambda o: o.id <> e.id),
+                                                   lambda o: CAST(o.ms AS DOUBLE)), 'mad')))) AS e
+  FROM days),
+roots AS (
+  SELECT mirage_pid, date, arg_min(e.id, (coalesce(e.spread, 0), e.id)) AS root_id,
+         arg_min(e.ms, (coalesce(e.spread, 0), e.id)) AS root_ms
+  FROM spreads GROUP BY 1, 2),
 sessions AS (
-  SELECT s.id_session, c4.mirage_pid, c4.date, c4.id_b AS id_event,
-         coalesce(abs(c4.dt_ms) < 3600000, true) AS valid_event
-  FROM c4 JOIN sess s ON s.mirage_pid = c4.mirage_pid AND s.date = c4.date
-  WHERE c4.id_a = c4.root)"""
+  SELECT CAST(dense_rank() OVER (ORDER BY s.mirage_pid, s.date) AS INTEGER) AS id_session, s.mirage_pid, s.date,
+         s.e.id AS id_event, s.e.id = r.root_id OR abs(s.e.ms - r.root_ms) < 3600000 AS valid_event
+  FROM spreads s JOIN roots r ON r.mirage_pid = s.mirage_pid AND r.date = s.date)"""

@@ -8,6 +8,7 @@ returns raw lines; every field is then parsed with native expressions.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import pandas as pd
@@ -50,33 +51,62 @@ def discover_files(spark: SparkSession, root: str) -> DataFrame:
     return files.withColumn("kind", kind).where(F.col("kind").isNotNull())
 
 
-def _head_reader(n_lines: int, max_bytes: int):
+def _head_reader(n_lines: int, comment: str | None):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs as pafs
         for b in batches:
-            rows = []
             for path in b["path"]:
+                rows = []
                 try:
                     fs, p = pafs.FileSystem.from_uri(path)
                     with fs.open_input_stream(p) as f:
-                        data = f.read(max_bytes)
-                    lines = data.decode("utf-8", errors="replace").splitlines()[:n_lines]
+                        for no, line in enumerate(io.TextIOWrapper(f, encoding="utf-8", errors="replace"), 1):
+                            header = comment is not None and not line.startswith(comment)
+                            if no <= n_lines or header:
+                                rows.append((path, no, line.rstrip("\r\n")))
+                            if header or (comment is None and no >= n_lines):
+                                break
+                    rows = rows or [(path, 0, None)]       # empty
                 except (OSError, ValueError):
-                    lines = None
-                if lines is None:
-                    rows.append((path, -1, None))          # unreadable
-                elif not lines:
-                    rows.append((path, 0, None))           # empty
-                else:
-                    rows.extend((path, i + 1, ln) for i, ln in enumerate(lines))
-            yield pd.DataFrame(rows, columns=["path", "lineno", "line"])
+                    rows = [(path, -1, None)]              # unreadable
+                yield pd.DataFrame(rows, columns=["path", "lineno", "line"])
     return read
 
 
-def head_lines(paths: DataFrame, n_lines: int, max_bytes: int = 1 << 16) -> DataFrame:
-    """First ``n_lines`` lines of every file in ``paths.path`` (one task per
-    partition of paths; only the file heads are read)."""
-    return paths.select("path").mapInPandas(_head_reader(n_lines, max_bytes), HEAD_SCHEMA)
+def head_lines(paths: DataFrame, n_lines: int, comment: str | None = None) -> DataFrame:
+    """The first ``n_lines`` lines of every file in ``paths.path``.
+
+    With ``comment``, the first line that does not start with it (the column
+    header) is returned too, however far down, and nothing after it is read.
+    """
+    return paths.select("path").mapInPandas(_head_reader(n_lines, comment), HEAD_SCHEMA)
+
+
+def _columns(header: Column) -> Column:
+    return F.transform(F.split(header, ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+
+
+def read_by_name(spark: SparkSession, heads: DataFrame, names: dict[str, str], comment: str | None = None) -> DataFrame:
+    """Rows of the CSV files in ``heads`` (path, columns) with the named
+    columns as text, plus the path: {name in the file: name in the result}.
+
+    Each file's own header says where its columns are, so files may order
+    them differently and have others. Only the files in ``heads`` are opened.
+    """
+    files = heads.select("path", F.size("columns").alias("n")).distinct().collect()  # a row a file, as in the listing
+    if not files:
+        return spark.createDataFrame([], ", ".join(["path string", *[f"{n} string" for n in names.values()]]))
+    width = max(r["n"] for r in files)
+    reader = spark.read.schema(", ".join(f"c{k} string" for k in range(width))).option("header", True)
+    # a row shorter or longer than the widest file's keeps its place: missing fields are null
+    reader = reader.option("mode", "PERMISSIVE").option("enforceSchema", True)
+    if comment:
+        reader = reader.option("comment", comment)
+    raw = reader.csv([r["path"] for r in files]).withColumn("path", F.col("_metadata.file_path"))
+    cells = F.array(*[F.col(f"c{k}") for k in range(width)])
+    joined = raw.join(heads.select("path", "columns"), "path")
+    return joined.select("path", *[
+        F.get(cells, F.array_position("columns", F.lit(src)).cast("int") - 1).alias(dst) for src, dst in names.items()])
 
 
 def _dirname(p: Column) -> Column:
@@ -85,11 +115,11 @@ def _dirname(p: Column) -> Column:
 
 def recording_header_scan(paths: DataFrame, quarantine: bool = False):
     """S3: header facts per ECG file: id, id_session, path, sequence,
-    device_id, time_col, tz, sampling_rate. Unreadable/empty files and
+    device_id, time_col, tz, sampling_rate, columns. Unreadable/empty files and
     files without a known time column go to quarantine (with a reason)."""
-    heads = head_lines(paths, ECG_HEADER_LINES)
+    heads = head_lines(paths, ECG_HEADER_LINES, comment="#")
     ln = F.col("line")
-    pre = ln.startswith(HEADER_PREFIX)
+    pre = ln.startswith(HEADER_PREFIX) & (F.col("lineno") <= ECG_HEADER_LINES)
     data_line = ln.isNotNull() & ~ln.startswith("#")
     agg = heads.groupBy("path").agg(
         F.max(F.when(pre & ln.rlike("^# Sampling"), F.regexp_extract(ln, SAMPLING, 1))).alias("_rate"),
@@ -99,7 +129,7 @@ def recording_header_scan(paths: DataFrame, quarantine: bool = False):
                                 F.regexp_replace(ln, "^# Device: ", "")))).alias("device_id"),
         F.min_by(F.when(data_line, ln), F.when(data_line, F.col("lineno"))).alias("_header"),
         F.min("lineno").alias("_first"))
-    cols = F.transform(F.split(F.col("_header"), ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    cols = _columns(F.col("_header"))
     time_col = F.lit(None).cast("string")
     for c in reversed(TIME_COLUMNS):
         time_col = F.when(F.array_contains(cols, c), F.lit(c)).otherwise(time_col)
@@ -108,43 +138,56 @@ def recording_header_scan(paths: DataFrame, quarantine: bool = False):
         F.md5("path").alias("id"), F.md5(_dirname(F.col("path"))).alias("id_session"), "path",
         F.when(seq != "", seq.cast("int")).otherwise(F.lit(1)).alias("sequence"),
         "device_id", time_col.alias("time_col"), F.nullif(F.col("tz"), F.lit("")).alias("tz"),
-        F.col("_rate").try_cast("int").alias("sampling_rate"),
+        F.col("_rate").try_cast("int").alias("sampling_rate"), cols.alias("columns"),
         F.when(F.col("_first") < 0, "unreadable").when(F.col("_header").isNull(), "empty")
-         .when(time_col.isNull(), "unknown time column")
-         .when(cols[0] != time_col, "time column not first").alias("reason"))
+         .when(time_col.isNull(), "unknown time column").alias("reason"))
     good = meta.where(F.col("reason").isNull()).drop("reason")
     bad = meta.where(F.col("reason").isNotNull())
     return (good, bad) if quarantine else good
 
 
-def read_marker_events(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Marker CSVs with a fixed schema; five columns renamed.
-    The 64-bit ms epoch is read as long (text order = numeric order, N1)."""
-    schema = "id string, participantID string, lang string, marker string, utc_app long"
-    df = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(paths)
-    return df.select(*[F.col(src).alias(dst) for src, dst in MARKER_COLUMNS.items()])
+def read_marker_events(spark: SparkSession, root: str, quarantine: bool = False):
+    """Marker CSVs below ``root``; five columns selected by name, renamed.
+
+    The ms epoch is read as long (text order = numeric order, N1). Rows whose
+    epoch is no whole number go to quarantine.
+    """
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+                  .where(F.col("path").rlike(MARKER_SUFFIX)))
+    heads = head_lines(files, 1).where("lineno = 1").select("path", _columns(F.col("line")).alias("columns"))
+    rows = read_by_name(spark, heads, MARKER_COLUMNS)
+    epoch = F.col("timecode_utc").try_cast("long")
+    good = rows.where(epoch.isNotNull()).withColumn("timecode_utc", epoch).drop("path")
+    if not quarantine:
+        return good
+    return good, rows.where(epoch.isNull()).withColumn("reason", F.lit("epoch is not a whole number"))
 
 
-def ingest_samples(spark: SparkSession, files, meta: DataFrame, id_col: str = "id") -> DataFrame:
-    """S4 + S5: read ECG files and return (id_recording, t UTC, ecg, ecg_mV).
+def ingest_samples(spark: SparkSession, meta: DataFrame, id_col: str = "id", quarantine: bool = False):
+    """S4 + S5: read the ECG files of ``meta`` and return (id_recording, t UTC,
+    ecg, ecg_mV). Files not in ``meta`` are not opened.
 
-    ``files`` is a root folder (all ``*ecg.csv`` below it) or a list of
-    paths. One read with a positional schema (the header scan guarantees
-    the time column comes first), joined with the small per-file meta on the
-    file path: ``local_time`` is wall clock in the file's zone (a column),
-    ``timestamp`` is epoch seconds or ms decided per row (year > 3000 as
-    seconds means ms). Preamble lines start with '#', the header is dropped.
+    Each file's header (from the header scan) names its columns:
+    ``local_time`` is wall clock in the file's zone, ``timestamp`` is epoch
+    seconds or ms decided per row (year > 3000 as seconds means ms). A row
+    whose time cannot be read goes to quarantine; a value that cannot be read
+    is null.
     """
-    reader = (spark.read.schema("tval string, ecg double, ecg_mV double")
-                   .option("header", True).option("comment", "#"))
-    if isinstance(files, str):
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*ecg.csv")
-    raw = reader.csv(files).withColumn("path", F.col("_metadata.file_path"))
-    m = meta.select(F.col(id_col).alias("id_recording"), "path", "time_col", "tz")
-    j = raw.join(m, "path")
-    t = (F.when(F.col("time_col") == "local_time", local_to_utc(F.to_timestamp(F.col("tval")), F.col("tz")))
-          .otherwise(epoch_auto(F.col("tval"))))
-    return j.select("id_recording", t.alias("t"), "ecg", "ecg_mV")
+    names = {"timestamp": "_epoch", "local_time": "_local", "ecg": "ecg", "ecg_mV": "ecg_mV"}
+    raw = read_by_name(spark, meta.select("path", "columns"), names, comment="#")
+    facts = meta.select(F.col(id_col).alias("id_recording"), "path", "time_col", "tz")
+    rows = raw.join(facts, "path")
+    t = (F.when(F.col("time_col") == "local_time",
+                local_to_utc(F.try_to_timestamp(F.col("_local")), F.coalesce(F.col("tz"), F.lit("UTC"))))
+          .otherwise(epoch_auto(F.col("_epoch").try_cast("double"))))
+    rows = rows.select("id_recording", t.alias("t"), F.col("ecg").try_cast("double").alias("ecg"),
+                       F.col("ecg_mV").try_cast("double").alias("ecg_mV"), "path",
+                       F.coalesce("_local", "_epoch").alias("time_text"))
+    good = rows.where(F.col("t").isNotNull()).drop("path", "time_text")
+    if not quarantine:
+        return good
+    bad = rows.where(F.col("t").isNull()).select("id_recording", "path", "time_text", F.lit("unreadable time").alias("reason"))
+    return good, bad
 
 
 def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):

@@ -10,40 +10,53 @@ from tidelink.functions.timefn import offset_seconds
 MIN_YEAR = 2000   # fixed value from the reference: earlier recordings are clock errors
 
 
-def lake_layout(samples: DataFrame, key: str = "id_recording", t: str = "t") -> tuple[DataFrame, DataFrame]:
+def lake_layout(samples: DataFrame, key: str = "id_recording", t: str = "t",
+                meta: DataFrame | None = None, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
     """W1 + S6 layout: offset from the recording's first sample and the
     (year, month) of that first sample for every row of the recording.
-    Returns (rows to write, rejected recordings with a reason)."""
-    first = samples.groupBy(key).agg(F.min(t).alias("_t0"), F.count(F.lit(1)).alias("_n"))
+
+    Returns (rows to write, rejected recordings with a reason). A recording
+    is rejected when no sample has a time, or the first is before 2000; with
+    ``meta`` (one row per recording), also when it has no sample at all.
+    """
+    first = samples.groupBy(key).agg(F.min(t).alias("_t0"))
     first = first.withColumn("year", F.year("_t0")).withColumn("month", F.month("_t0"))
-    bad = (first.where((F.col("year") < MIN_YEAR) | (F.col("_n") < 1))
-                .select(key, "year", F.lit("year before 2000").alias("reason")))
-    ok = first.where(F.col("year") >= MIN_YEAR).select(key, "_t0", "year", "month")
+    reason = F.when(F.col("_t0").isNull(), "no sample has a time").when(F.col("year") < MIN_YEAR, "year before 2000")
+    bad = first.where(reason.isNotNull()).select(key, "year", reason.alias("reason"))
+    if meta is not None:
+        empty = meta.select(F.col(id_col).alias(key)).join(first.select(key), key, "left_anti")
+        bad = bad.unionByName(empty.select(key, F.lit(None).cast("int").alias("year"), F.lit("no samples").alias("reason")))
+    ok = first.where(reason.isNull()).select(key, "_t0", "year", "month")
     rows = (samples.join(ok, key)
                    .withColumn("offset_secs", offset_seconds(F.col(t), F.col("_t0"))).drop("_t0"))
     return rows, bad
 
 
 def write_lake(samples: DataFrame, root: str, mode: str = "append", key: str = "id_recording",
-               t: str = "t", files_per_month: int | None = None) -> DataFrame:
+               t: str = "t", meta: DataFrame | None = None) -> DataFrame:
     """Write samples as Parquet partitioned by year/month of each
     recording's first sample. Rows are clustered by (year, month, recording,
-    t) so each file holds whole recordings in time order (tight min/max
-    statistics for time-range pushdown). Returns the rejected recordings."""
-    rows, bad = lake_layout(samples, key, t)
-    n = files_per_month or rows.sparkSession.sparkContext.defaultParallelism
-    (rows.repartition(n, "year", "month", key)
+    day) and sorted by time inside, so files have tight time statistics, one
+    long recording is spread over its days, and the runtime merges small
+    clusters by size. Returns the rejected recordings."""
+    rows, bad = lake_layout(samples, key, t, meta)
+    (rows.repartition("year", "month", key, F.to_date(t))
          .sortWithinPartitions("year", "month", key, t)
          .write.mode(mode).partitionBy("year", "month").parquet(root))
     return bad
 
 
 def lake_ids(spark: SparkSession, root: str, key: str = "id_recording") -> DataFrame:
-    """Recording ids already in the lake with their partition (column-pruned scan)."""
-    try:
-        return spark.read.parquet(root).select(key, "year", "month").distinct()
-    except Exception:  # no lake yet  # noqa: BLE001
+    """Recording ids already in the lake with their partition (column-pruned scan).
+
+    A root without any data file is an empty lake; a lake that cannot be read
+    raises, so that nothing is appended twice.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not any(x.isDirectory() for x in fs.listStatus(path)):
         return spark.createDataFrame([], f"{key} string, year int, month int")
+    return spark.read.parquet(root).select(key, "year", "month").distinct()
 
 
 def incremental_candidates(spark: SparkSession, meta: DataFrame, root: str, id_col: str = "id",

@@ -1,10 +1,11 @@
 """S7 as a stream: new ECG files -> header scan -> samples -> lake append.
 
-A file source picks up each new file whole in one micro-batch; every batch
-scans the headers of its own files, converts the clocks, skips recordings
-already in the lake (anti join on recording id) and appends. The anti join
-makes a retried batch idempotent (a Parquet append either commits whole or
-leaves nothing), and the checkpoint remembers which files were seen.
+The stream carries file paths only. Every batch scans the headers of its new
+files, leaves out recordings already in the lake (anti join on recording id)
+before any sample is read, and appends the others through the same functions
+as a batch job. The anti join makes a retried batch idempotent (a Parquet
+append either commits whole or leaves nothing), and the checkpoint remembers
+which files were seen.
 """
 
 from __future__ import annotations
@@ -13,36 +14,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelink.functions.timefn import epoch_auto, local_to_utc
 from tidelink.sources import files as S
 from tidelink.sources import lake as LK
 
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-def _batch_writer(lake_root: str, recording_id):
+
+def _batch_writer(lake_root: str, recording_id, rejected_root: str | None):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        paths = batch.select("path").distinct()
-        meta = S.recording_header_scan(paths).withColumn("id", recording_id(F.col("path")))
+        good, bad = S.recording_header_scan(batch.select("path").distinct(), quarantine=True)
+        meta = good.withColumn("id", recording_id(F.col("path")))
         todo = LK.incremental_candidates(spark, meta, lake_root)
-        m = todo.select(F.col("id").alias("id_recording"), "path", "time_col", "tz")
-        t = (F.when(F.col("time_col") == "local_time", local_to_utc(F.to_timestamp("tval"), F.col("tz")))
-              .otherwise(epoch_auto(F.col("tval"))))
-        samples = batch.join(m, "path").select("id_recording", t.alias("t"), "ecg")
-        LK.write_lake(samples, lake_root, mode="append")
+        rejected = LK.write_lake(S.ingest_samples(spark, todo), lake_root, mode="append", meta=todo)
+        if rejected_root:
+            files = bad.select(F.col("path").alias("what"), "reason")
+            (files.unionByName(rejected.select(F.col("id_recording").alias("what"), "reason"))
+             .write.mode("append").parquet(rejected_root))
     return write
 
 
 def stream_ecg_to_lake(spark: SparkSession, ecg_root: str, lake_root: str, checkpoint: str,
                        recording_id=None, available_now: bool = True,
-                       max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest stream; ``available_now`` processes what is there and stops."""
+                       max_files_per_trigger: int | None = None,
+                       rejected_root: str | None = None) -> StreamingQuery:
+    """Start the ingest stream; ``available_now`` processes what is there and
+    stops. Files and recordings that are turned away go to ``rejected_root``."""
     rid = recording_id or (lambda p: F.md5(p))
-    reader = (spark.readStream.schema("tval string, ecg double, ecg_mV double")
-                   .option("header", True).option("comment", "#")
+    reader = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
                    .option("recursiveFileLookup", "true").option("pathGlobFilter", "*ecg.csv"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.csv(ecg_root).withColumn("path", F.col("_metadata.file_path"))
-    w = src.writeStream.foreachBatch(_batch_writer(lake_root, rid)).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    writer = (reader.load(ecg_root).select("path").writeStream
+              .foreachBatch(_batch_writer(lake_root, rid, rejected_root)).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

@@ -41,7 +41,7 @@ EPOCHS, RATE, SEED = 6, 2.0, 7
 PIECE_WORDS = (3, 8, 25)
 # Validation accuracy that accepted texts must reach.
 TARGET_ACCURACY = 0.995
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
 
 _NOT_LETTERS = None
 

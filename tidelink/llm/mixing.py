@@ -41,58 +41,61 @@ SNAP = 1e-9
 
 def fly(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Flight phase over sizes in descending order; at most two entries stay
-    fractional, and those are among the smallest.
-
-    Three fractional units move along the vector orthogonal to (1, 1, 1) and
-    to their sizes, so sum(p) and sum(p * size) keep their values; the two
-    step lengths are drawn so that each p keeps its expectation. That vector
-    hardly moves a unit much larger than the other two: when the largest is
-    over twice the latest, the first two move along the sizes' null space
-    alone, which keeps the sizes and lets go of the count by a fraction.
+    fractional, the smallest ones wherever sizes allow.
+
+    The largest fractional unit moves against all smaller ones, along the
+    vector of the constraints' null space that spreads the change over them:
+    sum(p) and sum(p * size) keep their values, and the two step lengths are
+    drawn so that each p keeps its expectation. Every step decides a unit. A
+    block that repeated rows have made large flies in slices first.
     """
-    p = p.copy()
-    active: list[int] = []
-    draws = iter(rng.random(len(p) + 8))
-    for k in range(len(p)):
-        if not SNAP < p[k] < 1 - SNAP:
-            p[k] = round(float(p[k]))
-            continue
-        active.append(k)
-        if len(active) < 3:
-            continue
-        a, b, c = active
-        if size[a] > 2 * size[c]:
-            move = (float(size[b]), -float(size[a]), 0.0)
+    p = np.where(p < SNAP, 0.0, np.where(p > 1 - SNAP, 1.0, p))
+    s = size.astype(float)
+    if len(p) > 2 * BLOCK_ROWS:
+        slices = -(-len(p) // BLOCK_ROWS)
+        for k in range(slices):
+            p[k::slices] = fly(p[k::slices], size[k::slices], rng)
+    left = np.flatnonzero((p > 0) & (p < 1))
+    if len(left) > 2 * BLOCK_ROWS:
+        p[left] = fly(p[left], size[left], rng)
+        left = np.flatnonzero((p > 0) & (p < 1))
+    while len(left) > 2:
+        k, rest = left[0], left[1:]
+        q, x = p[rest] * (1 - p[rest]), s[rest]
+        a, b, c = q.sum(), q @ x, q @ (x * x)
+        det = a * c - b * b
+        if det > SNAP * a * c:
+            against = ((c - b * s[k]) + (a * s[k] - b) * x) / det * q
+        elif b > 0:  # equal sizes: the totals of sizes come first
+            against = q * (s[k] / b)
         else:
-            move = (float(size[b] - size[c]), float(size[c] - size[a]), float(size[a] - size[b]))
-        if not any(move):
-            move = (1.0, -1.0, 0.0)
-        _step(p, active, move, next(draws))
-        active = [i for i in active if SNAP < p[i] < 1 - SNAP]
+            against = q / a
+        _step(p, left, np.concatenate([[1.0], -against]), float(rng.random()))
+        left = left[(p[left] > 0) & (p[left] < 1)]
     return p
 
 
-def _step(p: np.ndarray, units: Sequence[int], move: Sequence[float], draw: float) -> None:
-    up = min(((1 - p[i]) / m if m > 0 else -p[i] / m) for i, m in zip(units, move) if m)
-    down = min((p[i] / m if m > 0 else (p[i] - 1) / m) for i, m in zip(units, move) if m)
-    along = up if draw * (up + down) < down else -down
-    for i, m in zip(units, move):
-        x = p[i] + along * m
-        p[i] = 0.0 if x < SNAP else 1.0 if x > 1 - SNAP else x
+def _step(p: np.ndarray, units: np.ndarray, move: np.ndarray, draw: float) -> None:
+    """Move ``p`` of the units as far as it goes, forwards or backwards."""
+    at = p[units]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        up = np.where(move > 0, (1 - at) / move, np.where(move < 0, -at / move, np.inf)).min()
+        down = np.where(move > 0, at / move, np.where(move < 0, (at - 1) / move, np.inf)).min()
+    at = at + (up if draw * (up + down) < down else -down) * move
+    p[units] = np.where(at < SNAP, 0.0, np.where(at > 1 - SNAP, 1.0, at))
 
 
 def land(p: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Landing of at most two units: first keep the sizes, then draw the last."""
     p = p.copy()
-    active = [i for i in range(len(p)) if SNAP < p[i] < 1 - SNAP]
-    if len(active) == 2:
-        a, b = active
-        move = (float(size[b]), -float(size[a]))
-        _step(p, active, move if any(move) else (1.0, -1.0), float(rng.random()))
-    for i in active:
-        if SNAP < p[i] < 1 - SNAP:
+    left = np.flatnonzero((p > 0) & (p < 1))
+    if len(left) == 2:
+        move = np.array([float(size[left[1]]), -float(size[left[0]])])
+        _step(p, left, move if move.any() else np.array([1.0, -1.0]), float(rng.random()))
+    for i in left:
+        if 0 < p[i] < 1:
             p[i] = float(rng.random() < p[i])
-    return np.round(p)
+    return p
 
 
 def source_targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS,

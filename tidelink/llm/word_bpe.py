@@ -85,6 +85,8 @@ class WordBpe:
 
     def parts(self, word: str) -> list[str]:
         """Normalise and cut one white-space word; neither crosses white space."""
+        if word.isascii() and word.isalpha():
+            return [word.lower()]
         if not self.simple(word):
             return [p for p, _ in self.pre_tokenize(self.normalize(word))]
         low = word.lower()

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -72,9 +73,12 @@ class WordBpe:
             self.pair.setdefault(self.vocab[a] << 16 | self.vocab[b], rank << 16 | self.vocab[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(re.escape(s) for s in self.special) + ")")
-        self.token = {i: t for t, i in (self.vocab | self.special).items()}
-        if max(self.token) >= 1 << 16:
+        tokens = self.vocab | self.special
+        if max(tokens.values()) >= 1 << 16:
             raise ValueError("token ids over 16 bits")
+        self.spelling = np.empty(max(tokens.values()) + 1, object)
+        for token, i in tokens.items():
+            self.spelling[i] = token
         # Words of printable characters below U+0250 are cut here; the rest by
         # the library's own normalizer and splitter. Nothing composes there,
         # and lower() agrees but for U+0130.
@@ -99,19 +103,21 @@ class WordBpe:
         ids.append(self.last[part[-1]])
         if len(ids) > CACHE_LENGTH:
             return self.merge_long(ids)
-        pair, none = self.pair, 1 << 48
-        ranks = [pair.get(a << 16 | b, none) for a, b in zip(ids, ids[1:])]
-        while ranks:
+        get, none = self.pair.get, 1 << 48
+        ranks = [get(a << 16 | b, none) for a, b in zip(ids, ids[1:])]
+        left = len(ranks)
+        while left:
             best = min(ranks)
             if best == none:
                 break
             i = ranks.index(best)
-            ids[i:i + 2] = [best & 0xffff]
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = pair.get(ids[i] << 16 | ids[i + 1], none)
+            ids[i] = whole = best & 0xffff
+            del ids[i + 1], ranks[i]
+            left -= 1
+            if i < left:
+                ranks[i] = get(whole << 16 | ids[i + 1], none)
             if i:
-                ranks[i - 1] = pair.get(ids[i - 1] << 16 | ids[i], none)
+                ranks[i - 1] = get(ids[i - 1] << 16 | whole, none)
         return ids
 
     def merge_long(self, ids: list[int]) -> list[int]:
@@ -161,7 +167,8 @@ class Encoder(dict):
             ids: list[int] = []
             for part in self.bpe.parts(word):
                 known = self.lexicon.get(part.encode("utf-8"))
-                ids += self.bpe.merge(part) if known is None else known
+                part_ids = self.bpe.merge(part) if known is None else known
+                ids = ids + part_ids if ids else part_ids
             found = array("i", ids).tobytes()
         if len(word) <= CACHE_LENGTH:
             if len(self) >= CACHE_ENTRIES:
@@ -182,8 +189,7 @@ class Encoder(dict):
 
     def decode(self, ids: bytes) -> str:
         """The tokens joined by blanks: the vocabulary file has no decoder."""
-        token = self.bpe.token
-        return " ".join([token[i] for i in memoryview(ids).cast("i")])
+        return " ".join(self.bpe.spelling[np.frombuffer(ids, np.int32)].tolist())
 
 
 @lru_cache(maxsize=2)

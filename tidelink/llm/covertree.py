@@ -372,7 +372,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
               .select("key", "first_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
                       F.coalesce("root", "key").alias("root")))
     joined = materialize(joined)
-    smallest = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    smallest = materialize(joined.groupBy("root").agg(F.min("first_id").alias("component_id")))
     of_class = materialize(joined.join(smallest, "root").select(F.col("key").alias("_key"), "n_links", "component_id"))
     out = rows.join(of_class, F.col("key") == F.col("_key"), "left")
     component = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id"))

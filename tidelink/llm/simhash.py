@@ -141,7 +141,7 @@ def groups(marked: DataFrame, id_col: str, radius: int = MAX_BITS) -> DataFrame:
     blocks = materialize(blocks)
     roots = connected_components(forests(blocks, tile_pairs(directory, radius), radius))
     linked = materialize(classes.join(roots, F.col("fp") == F.col("vertex")).select("fp", "root", "first_id"))
-    smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    smallest = materialize(linked.groupBy("root").agg(F.min("first_id").alias("component_id")))
     joined = linked.join(smallest, "root").select("fp", "component_id")
     # written, so that the join below has a plain exchange on either side and
     # a fingerprint with a great many rows can be split

@@ -115,6 +115,7 @@ def deliver_sheets(sheets: dict[str, DataFrame], out_dir: str, fmt: str = "parqu
             layout = layout.withColumn("book", F.format_string("bg_%d_%02d", F.col("year"), F.col("month")))
         parts = [c for c in ("folder", "book") if c in layout.columns]
         path = f"{out_dir.rstrip('/')}/{name}"
-        layout.write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
+        # files of a folder are merged to the advised size, and a large one is split
+        layout.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
         paths[name] = path
     return paths

@@ -65,6 +65,26 @@ def contained_in(outer: DataFrame, inner: DataFrame, on: Sequence[str],
              .drop("_day"))
 
 
+def resolve_links(limits: DataFrame, recordings: DataFrame, session_windows: DataFrame,
+                  markers: DataFrame) -> DataFrame:
+    """(id_recording, id_mirage, id_participant, start, end) of the marker
+    windows inside a recording whose participant is named by one of the
+    windows of the recording's session.
+
+    ``limits`` (id_recording, t_min, t_max), ``recordings`` (id, id_session),
+    ``session_windows`` (id_session, participant), ``markers`` (id, mirage_pid,
+    start, end). A participant named by several windows of a session counts
+    once, so no link is repeated. Null ids and participants link with nothing.
+    """
+    named = session_windows.select("id_session", "participant").distinct()
+    may = recordings.select(F.col("id").alias("id_recording"), "id_session").distinct().join(named, "id_session")
+    outer = limits.select("id_recording", "t_min", "t_max").join(may.select("id_recording", "participant").distinct(),
+                                                                 "id_recording")
+    inner = markers.select(F.col("mirage_pid").alias("participant"), F.col("id").alias("id_mirage"), "start", "end")
+    return contained_in(outer, inner, ["participant"]).select(
+        "id_recording", "id_mirage", F.col("participant").alias("id_participant"), "start", "end")
+
+
 def _edge_records(edges: DataFrame, samples: DataFrame, key: str, t: str, payload: Sequence[str],
                   edge_id: Sequence[str], bucket_seconds: int) -> DataFrame:
     """As-of for ``edges`` (edge_id, key, _at, _back): the sample nearest to

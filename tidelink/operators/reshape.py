@@ -115,9 +115,8 @@ def explode_path(df: DataFrame, path_col: str, root: str | None = None,
     p = F.col(path_col)
     if root:
         p = F.replace(p, F.lit(root), F.lit(""))
-    parts = F.split(F.regexp_replace(p, "^/+", ""), "/")
+    parts = F.filter(F.split(p, "/"), lambda x: x != "")
     return (df.select("*", F.posexplode(parts).alias("_pos", out_col))
-              .where(F.col(out_col) != "")
               .withColumn(pos_col, (F.col("_pos") + 1).cast("int")).drop("_pos"))
 
 
@@ -133,10 +132,11 @@ def sample_by_hash(df: DataFrame, key: str, n: int, seed: int = 0xABBA) -> DataF
     """Deterministic seeded sample of ``n`` rows without replacement.
 
     A limit is the feature here (test mode). The top-n by a seeded hash is a
-    per-partition top-k followed by a merge of n rows per partition.
+    per-partition top-k followed by a merge of n rows per partition. The hash
+    is the MD5 of ``key#seed``; equal keys follow the other columns.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))
+    return df.orderBy(h, key, *[c for c in df.columns if c != key]).limit(n)
 
 
 def keep_known(df: DataFrame, known: DataFrame, on) -> DataFrame:

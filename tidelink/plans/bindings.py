@@ -167,7 +167,12 @@ def _ap(ts):
 
 
 def session_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One session folder per event: <root>/ecg/<category>/<type>/<yyyymmdd>/<code>/<label>.
+    """(id_session, path) of every event's session folder."""
+    return event_sessions(spark, sf_dir).select("id_session", "path")
+
+
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, id_session, path): one session folder per event: <root>/ecg/<category>/<type>/<yyyymmdd>/<code>/<label>.
 
     The window label is written from the event time and value (minutes),
     with one of twelve typing faults chosen by event id.
@@ -208,4 +213,4 @@ def session_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(cat.cast("string"), F.lit(". Wave ")))
     path = F.concat_ws("/", F.lit(STUDY_ROOT), F.lit("ecg"), folder, type_folder,
                        F.date_format(ts, "yyyyMMdd"), code, label)
-    return ev.select(F.col("event_id"), path.alias("path")).select(F.md5("path").alias("id_session"), "path")
+    return ev.select("event_id", path.alias("path")).select("event_id", F.md5("path").alias("id_session"), "path")

@@ -55,10 +55,10 @@ sp3 AS (
          ELSE 'Birth_follow_up_child' END AS type_folder,
     pid || CASE event_id % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'C' ELSE 'MC' END AS code
   FROM sp2),
-session_paths AS (
-  SELECT md5(path) AS id_session, path FROM (
-    SELECT concat_ws('/', '{B.STUDY_ROOT}', 'ecg', {_cat_folder_sql('cat')}, type_folder,
-                     strftime(ts, '%Y%m%d'), code, label) AS path FROM sp3))"""
+event_paths AS (
+  SELECT event_id, concat_ws('/', '{B.STUDY_ROOT}', 'ecg', {_cat_folder_sql('cat')}, type_folder,
+                             strftime(ts, '%Y%m%d'), code, label) AS path FROM sp3),
+session_paths AS (SELECT md5(path) AS id_session, path FROM event_paths)"""
 
 CLASSIFY_SQL = f"""
 comps AS (
@@ -95,19 +95,20 @@ def _split_sql() -> list[str]:
     n = len(P.SPLIT_RULES)
     any_f = " OR ".join(f"f{i}" for i in range(n))
     ctes.append(f"""split AS (
-  SELECT label, v AS value, {any_f} AS to_split FROM fl{n})""")
+  SELECT label, v AS value, {any_f} AS to_split,
+         regexp_matches(v, {_q(P.UNSPLIT_LABEL)}) AND NOT contains(v, chr(9)) AS split_error FROM fl{n})""")
     ctes.append("""pieces AS (
   SELECT label, unnest(string_split(value, chr(9))) AS value,
-         unnest(range(1, len(string_split(value, chr(9))) + 1)) AS id_win
+         unnest(range(1, len(string_split(value, chr(9))) + 1)) AS id_win, split_error
   FROM split WHERE to_split
-  UNION ALL SELECT label, value, 1 AS id_win FROM split WHERE NOT to_split)""")
+  UNION ALL SELECT label, value, 1 AS id_win, split_error FROM split WHERE NOT to_split)""")
     return ctes
 
 
 def _repair_sql() -> list[str]:
     a, b = P.LABEL_CHAR_MAP
-    ctes = [f"rp AS (SELECT label, CAST(id_win AS INTEGER) AS id_win, translate(value, {_q(a)}, {_q(b)}) AS value "
-            f"FROM pieces)"]
+    ctes = [f"rp AS (SELECT label, CAST(id_win AS INTEGER) AS id_win, translate(value, {_q(a)}, {_q(b)}) AS value, "
+            f"split_error FROM pieces)"]
     ctes += sql_stages("rp", "value", P.REPAIR_STAGES)
     last = f"rp_st{len(P.REPAIR_STAGES) - 1}"
     ctes.append(f"repaired AS (SELECT *, value IS NULL OR regexp_matches(value, {_q(P.LABEL_GRAMMAR)}) AS label_ok "
@@ -143,7 +144,8 @@ def rescued(spark, sf_dir):
 LABEL_CTES = [SESSION_PATHS_SQL, CLASSIFY_SQL]
 
 
-@query("split_multi_windows", with_ctes(*LABEL_CTES, *_split_sql(), final="SELECT * FROM pieces"))
+@query("split_multi_windows", with_ctes(*LABEL_CTES, *_split_sql(),
+                                        final="SELECT label, value, id_win FROM pieces"))
 def q_split_multi_windows(spark, sf_dir):
     """Upper-cased labels split into windows (id_win 1..n)."""
     c = comps(spark, sf_dir).where(F.col("attribute").isNull()).select(F.col("value").alias("label")).distinct()
@@ -188,13 +190,10 @@ SELECT DISTINCT value, regexp_replace(value, {_q(P.CODE_PARTICIPANT[0])}, {_q(P.
 FROM comps WHERE attribute = 'participant_str'"""))
 def q_repair_participant(spark, sf_dir):
     """Participant code folder -> participant and type (MC/CM -> B, D3)."""
-    from tidelink.functions.rules import java_replacement
     c = comps(spark, sf_dir).where(F.col("attribute") == "participant_str")
-    suf = F.regexp_extract(F.upper("value"), P.CODE_SUFFIX, 1)
-    return c.select("value",
-                    F.regexp_replace("value", P.CODE_PARTICIPANT[0], java_replacement(P.CODE_PARTICIPANT[1]))
-                    .alias("participant"),
-                    F.when(suf.isin(*P.BOTH_TYPES), "B").when(suf != "", suf).alias("participant_type")).distinct()
+    v = F.col("value")
+    return c.select("value", LB.code_participant(v).alias("participant"),
+                    LB.code_type(v).alias("participant_type")).distinct()
 
 
 @query("repair_date", with_ctes(*LABEL_CTES, final="""
@@ -209,13 +208,66 @@ def q_repair_date(spark, sf_dir):
                     F.dayofmonth(d).alias("day")).distinct()
 
 
-@query("session_windows")
+_CATEGORY_SQL = (f"TRY_CAST(replace(regexp_replace(value, {_q(P.CATEGORY_TEXT[0])}, {_q(P.CATEGORY_TEXT[1])}, 'g'), "
+                 "'_', '') AS INTEGER)")
+_SUFFIX_SQL = f"regexp_extract(upper(value), {_q(P.CODE_SUFFIX)}, 1)"
+
+# what each label window and each folder states, lower ranks first
+SESSION_WINDOWS_SQL = f"""
+sound AS (SELECT * FROM parsed WHERE label_ok AND parse_ok AND NOT split_error),
+lab AS (
+  SELECT c.id_session, c.pos, s.* FROM comps c JOIN sound s ON s.label = c.value WHERE c.attribute IS NULL),
+dated AS (
+  SELECT id_session, pos, TRY_CAST(strptime(value, '%Y%m%d') AS DATE) AS d FROM comps WHERE attribute = 'date_str'),
+said AS (
+  SELECT id_session, id_win, 'cat' AS a, CAST(respondent_cat AS VARCHAR) AS v, 0 AS rank, pos FROM lab
+  UNION ALL SELECT id_session, id_win, 'who', participant, 1, pos FROM lab
+  UNION ALL SELECT id_session, id_win, 'type', participant_type, 1, pos FROM lab
+  UNION ALL SELECT id_session, id_win, 'start', start, 1, pos FROM lab
+  UNION ALL SELECT id_session, id_win, 'end', "end", 1, pos FROM lab
+  UNION ALL SELECT id_session, 1, 'cat', CAST({_CATEGORY_SQL} AS VARCHAR), 2, pos FROM comps
+            WHERE attribute = 'respondent_cat'
+  UNION ALL SELECT id_session, 1, 'year', CAST(year(d) AS VARCHAR), 2, pos FROM dated
+  UNION ALL SELECT id_session, 1, 'month', CAST(month(d) AS VARCHAR), 2, pos FROM dated
+  UNION ALL SELECT id_session, 1, 'day', CAST(day(d) AS VARCHAR), 2, pos FROM dated
+  UNION ALL SELECT id_session, 1, 'type', value, 2, pos FROM comps WHERE attribute = 'participant_type'
+  UNION ALL SELECT id_session, 1, 'who',
+      regexp_replace(value, {_q(P.CODE_PARTICIPANT[0])}, {_q(P.CODE_PARTICIPANT[1])}, 'g'), 3, pos
+      FROM comps WHERE attribute = 'participant_str'
+  UNION ALL SELECT id_session, 1, 'type', CASE WHEN {_SUFFIX_SQL} IN ('MC', 'CM') THEN 'B'
+      WHEN {_SUFFIX_SQL} <> '' THEN {_SUFFIX_SQL} END, 3, pos FROM comps WHERE attribute = 'participant_str'),
+best AS (
+  SELECT id_session, id_win, a, arg_min(CASE WHEN a <> 'type' THEN v WHEN lower(v) LIKE '%child%' THEN 'C'
+                                             WHEN lower(v) LIKE '%mother%' THEN 'M' ELSE v END, (rank, pos)) AS v
+  FROM said WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+shared AS (
+  SELECT id_session, CAST(arg_min(v, id_win) FILTER (a = 'cat') AS INTEGER) AS respondent_cat,
+         CAST(arg_min(v, id_win) FILTER (a = 'year') AS INTEGER) AS year,
+         CAST(arg_min(v, id_win) FILTER (a = 'month') AS INTEGER) AS month,
+         CAST(arg_min(v, id_win) FILTER (a = 'day') AS INTEGER) AS day
+  FROM best GROUP BY 1),
+own AS (
+  SELECT id_session, id_win, max(v) FILTER (a = 'who') AS participant, max(v) FILTER (a = 'type') AS participant_type,
+         max(v) FILTER (a = 'start') AS start, max(v) FILTER (a = 'end') AS "end"
+  FROM best GROUP BY 1, 2),
+session_windows AS (
+  SELECT own.*, respondent_cat, year, month, day, row_number() OVER (ORDER BY id_session, id_win) AS id
+  FROM own JOIN shared USING (id_session) WHERE participant IS NOT NULL)"""
+
+
+def session_window_ctes() -> list[str]:
+    return [*LABEL_CTES, *_split_sql(), *_repair_sql(), _parse_sql(), SESSION_WINDOWS_SQL]
+
+
+@query("session_windows", with_ctes(*session_window_ctes(), final="SELECT * FROM session_windows"))
 def q_session_windows(spark, sf_dir):
     """Session folders -> one row per (session, window) with all facts."""
     return LB.session_windows(B.session_paths(spark, sf_dir), B.STUDY_ROOT + "/")
 
 
-@query("label_quarantine")
+@query("label_quarantine", with_ctes(*LABEL_CTES, *_split_sql(), *_repair_sql(), _parse_sql(), final="""
+SELECT label, id_win, value, label_ok, parse_ok, split_error FROM parsed
+WHERE NOT label_ok OR NOT parse_ok OR split_error"""))
 def q_label_quarantine(spark, sf_dir):
     """dq_label_split, dq_label_grammar, dq_label_parse: labels the packs cannot repair."""
     _, bad = LB.session_windows(B.session_paths(spark, sf_dir), B.STUDY_ROOT + "/", quarantine=True)
@@ -230,9 +282,7 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, component FROM (
 def q_explode_path(spark, sf_dir):
     """URL below the scheme root -> numbered components."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    rel = F.replace(F.col("url"), F.lit(URL_ROOT), F.lit(""))
-    return pages.select("page_id", F.posexplode(F.filter(F.split(rel, "/"), lambda x: x != "")).alias("p", "component")) \
-                .select("page_id", (F.col("p") + 1).cast("int").alias("pos"), "component")
+    return explode_path(pages, "url", URL_ROOT).select("page_id", "pos", "component")
 
 
 @query("relative_path", f"SELECT page_id, replace(url, '{URL_ROOT}', '') AS rel_path FROM pages")
@@ -256,7 +306,23 @@ def q_daytime_fix(spark, sf_dir):
     return LB.daytime_fix(rescued(spark, sf_dir).select("label", "id_win", "value"))
 
 
-@query("long_label_table")
+def _by_rules_sql(c: str, rules) -> str:
+    arms = " ".join(f"WHEN regexp_matches({c}, {_q(guard)}) THEN coalesce(nullif(regexp_extract({c}, {_q(capture)}, {group}), ''), {c})"
+                    for guard, capture, group in rules)
+    return f"CASE {arms} END"
+
+
+_WORDS_SQL = " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in P.PART_WORDS.items())
+
+
+@query("long_label_table", with_ctes(*LABEL_CTES, *_split_sql(), *_repair_sql(), final=f"""
+SELECT *, string_split("window", '-')[1] AS start, string_split("window", '-')[2] AS "end" FROM (
+  SELECT label, value, component, {_by_rules_sql('component', P.PART_DATES)} AS date,
+         {_by_rules_sql('component', P.PART_IDS)} AS mirage_id,
+         CASE regexp_extract(component, {_q(P.PART_LETTER)}, 1) {_WORDS_SQL} END AS participant,
+         {_by_rules_sql('component', P.PART_WINDOWS)} AS "window"
+  FROM (SELECT label, value, unnest(string_split(replace(value, ';', ':'), chr(9))) AS component
+        FROM repaired WHERE label_ok))"""))
 def q_long_label_table(spark, sf_dir):
     """R12 (optional): repaired labels as component rows."""
     r = rescued(spark, sf_dir).where("label_ok").select("label", "value")
@@ -270,8 +336,4 @@ FROM comps WHERE attribute = 'participant_type'"""))
 def q_repair_type(spark, sf_dir):
     """Free-text participant type folder -> C / M."""
     c = comps(spark, sf_dir).where(F.col("attribute") == "participant_type")
-    low = F.lower("value")
-    word = F.col("value")
-    for w, letter in reversed(P.TYPE_WORDS):
-        word = F.when(low.contains(w), F.lit(letter)).otherwise(word)
-    return c.select("value", word.alias("participant_type")).distinct()
+    return c.select("value", LB.type_letter(F.col("value")).alias("participant_type")).distinct()

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidelink.functions.timefn import add_seconds, day_of
+from tidelink.functions.timefn import day_of
+from tidelink.operators import composites as C
+from tidelink.operators import labels as LB
 from tidelink.operators import linkage as L
-from tidelink.operators.reshape import dense_ids, unpivot_non_null
 from tidelink.plans import bindings as B
 from tidelink.plans.q_events import windows
+from tidelink.plans.q_labels import session_window_ctes
 from tidelink.plans.registry import query, stage
 from tidelink.plans.sqlparts import marker_windows_ctes, with_ctes
 from tidelink.sources.tables import table
@@ -64,12 +66,7 @@ def links(spark, sf_dir):
 
 def linked(spark, sf_dir):
     """L4: links with the sample times/offsets at both window edges."""
-    out = stage(spark, sf_dir, "linked", lambda: L.asof_edges(
-        links(spark, sf_dir), samples_with_offset(spark, sf_dir), "id_recording",
-        "start", "end", "t", ["offset_secs"], ["id_recording", "id_mirage"]))
-    return out.select("id_recording", "id_mirage", "time_start", "time_end",
-                      F.col("offset_secs_start").alias("offset_start"),
-                      F.col("offset_secs_end").alias("offset_end"))
+    return stage(spark, sf_dir, "linked", lambda: C.edge_samples(links(spark, sf_dir), samples_with_offset(spark, sf_dir)))
 
 
 @query("recording_limits", with_ctes(B.SAMPLES_SQL, final="""
@@ -113,13 +110,49 @@ def q_link_recordings(spark, sf_dir):
 
 @query("asof_bucketed", with_ctes(*link_ctes(), final="SELECT * FROM linked"))
 def q_asof_bucketed(spark, sf_dir):
-    """L4 through the large-lookup path (bucketed as-of, no broadcast)."""
-    out = L.asof_edges(links(spark, sf_dir), samples_with_offset(spark, sf_dir), "id_recording",
-                       "start", "end", "t", ["offset_secs"], ["id_recording", "id_mirage"],
-                       bucket_seconds=3600)
-    return out.select("id_recording", "id_mirage", "time_start", "time_end",
-                      F.col("offset_secs_start").alias("offset_start"),
-                      F.col("offset_secs_end").alias("offset_end"))
+    """L4 with buckets of an hour."""
+    return C.edge_samples(links(spark, sf_dir), samples_with_offset(spark, sf_dir), bucket_seconds=3600)
+
+
+# a recording belongs to the session of its first sample's event
+RECORDING_SESSIONS_SQL = """
+recording_sessions AS (
+  SELECT r.id_recording, md5(p.path) AS id_session
+  FROM (SELECT id_recording, min(id) AS event_id FROM samples GROUP BY 1) r JOIN event_paths p USING (event_id))"""
+RESOLVED_SQL = """
+links AS (
+  SELECT DISTINCT l.id_recording, w.id AS id_mirage, w.mirage_pid AS id_participant, w.start, w."end"
+  FROM limits l, recording_sessions rs, session_windows sw, windows w
+  WHERE rs.id_recording = l.id_recording AND sw.id_session = rs.id_session AND w.mirage_pid = sw.participant
+    AND w.start >= l.t_min AND w."end" <= l.t_max)"""
+
+
+def resolved_ctes() -> list[str]:
+    return [*marker_windows_ctes(), B.SAMPLES_SQL, OFFSETS_SQL, LIMITS_SQL, *session_window_ctes(),
+            RECORDING_SESSIONS_SQL, RESOLVED_SQL]
+
+
+def session_tables(spark, sf_dir):
+    """Recordings with their sessions (id, id_session) and the session windows."""
+    events = B.event_sessions(spark, sf_dir)
+    first = B.samples(spark, sf_dir).groupBy(F.col("id_recording").alias("id")).agg(F.min("id").alias("event_id"))
+    return (first.join(events, "event_id").select("id", "id_session"),
+            LB.session_windows(events.select("id_session", "path"), B.STUDY_ROOT + "/"))
+
+
+@query("resolve_links", with_ctes(*resolved_ctes(), final="SELECT id_recording, id_mirage, id_participant FROM links"))
+def q_resolve_links(spark, sf_dir):
+    """Marker windows inside a recording, by the participants of its session."""
+    recordings, windows_of = session_tables(spark, sf_dir)
+    found = L.resolve_links(limits(spark, sf_dir), recordings, windows_of, windows(spark, sf_dir))
+    return found.select("id_recording", "id_mirage", "id_participant")
+
+
+@query("link_by_sessions", with_ctes(*resolved_ctes(), BACK_SQL, FWD_SQL, LINKED_SQL, final="SELECT * FROM linked"))
+def q_link_by_sessions(spark, sf_dir):
+    """L4 whole: limits, session windows (J5) and as-of at both edges."""
+    recordings, windows_of = session_tables(spark, sf_dir)
+    return C.link_recordings(B.samples(spark, sf_dir), recordings, windows_of, windows(spark, sf_dir))
 
 
 # --- second device: tolerance and nearest matches -------------------------
@@ -157,12 +190,7 @@ def q_tolerance_match(spark, sf_dir):
     """Click vs view intervals of one user-day within the tolerance."""
     e = _interval_events(spark, sf_dir, "click", "start_time", "end_time", "row_esense")
     m = _interval_events(spark, sf_dir, "view", "start", "end", "row_mirage")
-    j = L.tolerance_match(e, m, ["mirage_pid", "date"], TOLERANCE_MINUTES,
-                          ("start_time", "end_time"), ("start", "end"))
-    return j.select("mirage_pid", F.col("start_time").alias("start_esense"),
-                    F.col("end_time").alias("end_esense"), F.col("start").alias("start_mirage"),
-                    F.col("end").alias("end_mirage"), "date", "row_esense", "row_mirage",
-                    "diff_start", "diff_end").distinct()
+    return C.eda_marker_matches(e, m, TOLERANCE_MINUTES)
 
 
 EDA_LONG_SQL = """
@@ -174,12 +202,7 @@ eda_long AS (
 
 
 def eda_long(spark, sf_dir):
-    wide = B.eda_meta_wide(spark, sf_dir)
-    ids = ["path", "device", "mirage_pid", "rescat", "length_secs"]
-    zones = [c for c in wide.columns if c.startswith("start_time_")]
-    long = unpivot_non_null(wide, ids, zones, "tz", "start_time")
-    return (long.withColumn("tz", F.regexp_replace("tz", "start_time_", ""))
-                .withColumn("end_time", add_seconds(F.col("start_time"), F.col("length_secs"))))
+    return C.zone_candidates(B.eda_meta_wide(spark, sf_dir))
 
 
 @query("unpivot_timezones", with_ctes(B.EDA_WIDE_SQL, EDA_LONG_SQL, final="SELECT * FROM eda_long"))
@@ -196,8 +219,7 @@ eda_meta AS (
 
 def eda_meta(spark, sf_dir):
     """EDA candidates, deduplicated and numbered by (participant, start)."""
-    return dense_ids(eda_long(spark, sf_dir).distinct(), ["start_time", "tz", "path"],
-                     bucket=["mirage_pid"])
+    return C.eda_metadata(B.eda_meta_wide(spark, sf_dir))
 
 
 @query("eda_metadata", with_ctes(B.EDA_WIDE_SQL, EDA_LONG_SQL, EDA_META_SQL, final="SELECT * FROM eda_meta"))
@@ -222,17 +244,7 @@ me_merge_distinct AS (
 
 def me_merge_distinct(spark, sf_dir):
     """Marker windows vs EDA candidates at the day's smallest end gap."""
-    m = windows(spark, sf_dir).select("mirage_pid", day_of("start").alias("date"),
-                                      F.col("start").alias("start_m"), F.col("end").alias("end_m"),
-                                      F.col("id").alias("row_mirage"))
-    e = eda_meta(spark, sf_dir).select("mirage_pid", day_of("start_time").alias("date"),
-                                       F.col("start_time").alias("start_e"), F.col("end_time").alias("end_e"),
-                                       F.col("path").alias("file_esense"))
-    j = L.nearest_match(m, e, ["mirage_pid", "date"], "end_m", "end_e")
-    return stage(spark, sf_dir, "me_merge", lambda:
-        j.select("mirage_pid", "date", "start_m", "start_e", "end_m", "end_e", "file_esense",
-                 "row_mirage", F.col("diff").alias("diff_end"), F.col("diff").alias("min_diff_end"))
-         .distinct())
+    return stage(spark, sf_dir, "me_merge", lambda: C.nearest_marker_ends(windows(spark, sf_dir), eda_meta(spark, sf_dir)))
 
 
 @query("nearest_end_match", with_ctes(*marker_windows_ctes(), B.EDA_WIDE_SQL, EDA_LONG_SQL,

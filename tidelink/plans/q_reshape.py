@@ -82,16 +82,16 @@ def q_insert_by_name(spark, sf_dir):
     return R.insert_by_name(n, r)
 
 
-@query("sample_files")
+@query("sample_files", "SELECT page_id, url FROM pages ORDER BY md5(url || '#43962'), url, page_id LIMIT 20")
 def q_sample_files(spark, sf_dir):
     """Seeded sample of page paths without replacement (hash order)."""
     return R.sample_by_hash(table(spark, sf_dir, "pages").select("page_id", "url"), "url", 20)
 
 
-@query("sample_rows")
+@query("sample_rows", f"SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR) || '#7') LIMIT {TOP_N}")
 def q_sample_rows(spark, sf_dir):
     """P10: preview of random rows (seeded)."""
-    return table(spark, sf_dir, "orders").orderBy(F.rand(7)).limit(TOP_N)
+    return R.sample_by_hash(table(spark, sf_dir, "orders"), "o_orderkey", TOP_N, seed=7)
 
 
 @query("keep_known_sessions", """

@@ -185,10 +185,15 @@ def q_eda_length(spark, sf_dir):
     return lens.select(F.regexp_extract("path", r"/(\d{5})\.csv$", 1).alias("mirage_pid"), "length_secs")
 
 
-@query("file_manifest")
+@query("file_manifest", with_ctes(B.MARKER_EVENTS_SQL, """
+contents AS (
+  SELECT mirage_pid || 'utcmarker.csv' AS file, 'id,participantID,lang,marker,utc_app' || chr(10) ||
+         string_agg(concat_ws(',', id, mirage_pid, lang, event, timecode_utc) || chr(10), '' ORDER BY CAST(id AS BIGINT)) AS content
+  FROM marker_events GROUP BY mirage_pid)""", final="SELECT file, strlen(content) AS length, md5(content) AS md5 FROM contents"))
 def q_file_manifest(spark, sf_dir):
     """Content hash per marker file (change detection)."""
-    return S.file_manifest(spark, raw_root(spark, sf_dir) + "/mirage", "*utcmarker.csv")
+    m = S.file_manifest(spark, raw_root(spark, sf_dir) + "/mirage", "*utcmarker.csv")
+    return m.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "length", "md5")
 
 
 @query("month_partitions", """

@@ -36,6 +36,7 @@ EDA_TIME_FORMAT = "dd.MM.yy HH:mm:ss"
 MARKER_COLUMNS = {"id": "id", "participantID": "mirage_pid", "lang": "lang", "marker": "event",
                   "utc_app": "timecode_utc"}
 
+HASH_CHUNK = 1 << 20
 HEAD_SCHEMA = "path string, lineno int, line string"
 
 
@@ -234,9 +235,28 @@ def eda_lengths(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, md5 of content) for change detection."""
+    """(path, length, md5 of content) for change detection.
+
+    Tasks read each file in chunks, so no file is held as one value.
+    """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(root).select("path", "length", F.md5("content").alias("md5"))
+    return r.load(root).select("path", "length").mapInPandas(_content_hashes, "path string, length long, md5 string")
+
+
+def _content_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import hashlib
+
+    from pyarrow import fs as pafs
+    for b in batches:
+        found = []
+        for path in b["path"]:
+            fs, p = pafs.FileSystem.from_uri(path)
+            digest = hashlib.md5()
+            with fs.open_input_stream(p) as f:
+                while chunk := f.read(HASH_CHUNK):
+                    digest.update(chunk)
+            found.append(digest.hexdigest())
+        yield b.assign(md5=found)
 

@@ -28,13 +28,18 @@ def quarantine(df: DataFrame, checks: dict[str, Column], strict: bool = False,
     good = tagged.where(F.col("reason").isNull()).drop("reason")
     bad = tagged.where(F.col("reason").isNotNull())
     if strict:
-        n = bad.count()
-        if n:
-            ex = [r.asDict() for r in bad.limit(examples).collect()]
-            raise DataQualityError(f"{n} rows fail checks, e.g. {ex}")
+        refuse(bad, examples)
     return good, bad
 
 
+def refuse(bad: DataFrame, examples: int = 5) -> None:
+    """Strict mode: raise if a quarantine table has rows."""
+    n = bad.count()
+    if n:
+        ex = [r.asDict() for r in bad.limit(examples).collect()]
+        raise DataQualityError(f"{n} rows fail checks, e.g. {ex}")
+
+
 def flag_membership(df: DataFrame, key: str, **sets: DataFrame) -> DataFrame:
     """One boolean column per named set: is ``key`` in the set's column?
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from tidelink.functions.timefn import add_seconds
 from tidelink.operators.reshape import month_partitions, unpivot_non_null
 from tidelink.plans import bindings as B
-from tidelink.plans.rawfiles import ZONES, raw_root
+from tidelink.plans.rawfiles import ZONES, faulty_root, raw_root
 from tidelink.plans.registry import query
 from tidelink.plans.sqlparts import with_ctes
 from tidelink.session import scratch_dir
 from tidelink.sources import files as S
 from tidelink.sources import lake as LK
+from tidelink.sources.recordings import ingest_recordings
 from tidelink.sources.tables import table
 
 _TYPES = ", ".join(f"'{x}'" for x in B.SAMPLE_TYPES)
@@ -32,9 +33,8 @@ ecg_rows AS (
   FROM events WHERE event_type IN ({_TYPES}))"""
 
 
-def _rec_id():
+def _rec_id_of(p):
     # .../ecg/<cat>/<pid>/<week>_<n>-ecg.csv -> u<pid>/<week>
-    p = F.col("path")
     return F.concat(F.lit("u"), F.regexp_extract(p, r"/(\d{5})/[^/]*$", 1), F.lit("/"),
                     F.regexp_extract(p, r"/(\d{4}-\d{2}-\d{2})_\d+-ecg\.csv$", 1))
 
@@ -45,7 +45,7 @@ def listing(spark, sf_dir):
 
 def ecg_meta(spark, sf_dir):
     ecg = listing(spark, sf_dir).where(F.col("kind") == "ecg")
-    return S.recording_header_scan(ecg).withColumn("id", _rec_id())
+    return S.recording_header_scan(ecg).withColumn("id", _rec_id_of(F.col("path")))
 
 
 @query("discover_files", with_ctes(RAW_ECG_SQL, final=f"""
@@ -109,7 +109,7 @@ lake AS (
 def q_write_lake(spark, sf_dir):
     """S6 + W1: ingest all ECG files, write the year/month lake, read it back."""
     root = scratch_dir(spark, "lake")
-    LK.write_lake(samples_raw(spark, sf_dir).select("id_recording", "t", "ecg"), root)
+    LK.write_lake(samples_raw(spark, sf_dir), root)
     return spark.read.parquet(root).select("id_recording", "t", "ecg", "offset_secs", "year", "month")
 
 
@@ -118,7 +118,7 @@ SELECT id_recording, t, ecg, offset_secs FROM lake WHERE year = 2024 AND month =
 def q_read_lake_partition(spark, sf_dir):
     """One month of the lake; the month filter prunes partitions."""
     root = scratch_dir(spark, "lake")
-    LK.write_lake(samples_raw(spark, sf_dir).select("id_recording", "t", "ecg"), root)
+    LK.write_lake(samples_raw(spark, sf_dir), root)
     return LK.read_lake_partition(spark, root, 2024, 1).select("id_recording", "t", "ecg", "offset_secs")
 
 
@@ -223,24 +223,85 @@ def q_incremental_ingest_stream(spark, sf_dir):
     lake = scratch_dir(spark, "lake")
     ckpt = scratch_dir(spark, "stream-ckpt")
     q = stream_ecg_to_lake(spark, raw_root(spark, sf_dir) + "/ecg", lake, ckpt,
-                           recording_id=lambda p: _rec_id_of(p))
+                           recording_id=_rec_id_of)
     q.awaitTermination()
     return spark.read.parquet(lake).select("id_recording", "t", "ecg", "offset_secs", "year", "month")
 
 
-def _rec_id_of(p):
-    return F.concat(F.lit("u"), F.regexp_extract(p, r"/(\d{5})/[^/]*$", 1), F.lit("/"),
-                    F.regexp_extract(p, r"/(\d{4}-\d{2}-\d{2})_\d+-ecg\.csv$", 1))
-
-
 @query("recordings_with_lake", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="""
 SELECT f.id, l.year, l.month FROM
   (SELECT 'u' || lpad(CAST(user_id AS VARCHAR), 5, '0') || '/' || week AS id FROM ecg_files) f
 LEFT JOIN (SELECT DISTINCT id_recording, year, month FROM lake) l ON l.id_recording = f.id"""))
 def q_recordings_with_lake(spark, sf_dir):
     """Header meta left-joined with lake entries (rejected files keep null year)."""
+    out = ingest_recordings(spark, raw_root(spark, sf_dir), scratch_dir(spark, "lake"), recording_id=_rec_id_of)
+    return out["recordings"].select("id", "year", "month")
+
+
+@query("ingest_recordings", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="SELECT id_recording, t, ecg, year, month FROM lake"))
+def q_ingest_recordings(spark, sf_dir):
+    """The whole ingest run twice over the same files; the second run adds nothing."""
     lake = scratch_dir(spark, "lake")
-    meta = ecg_meta(spark, sf_dir)
-    LK.write_lake(S.ingest_samples(spark, meta), lake)
-    entries = LK.lake_ids(spark, lake).withColumnRenamed("id_recording", "id")
-    return meta.select("id").join(entries, "id", "left")
+    for _ in range(2):
+        ingest_recordings(spark, raw_root(spark, sf_dir), lake, recording_id=_rec_id_of)
+    return spark.read.parquet(lake).select("id_recording", "t", "ecg", "year", "month")
+
+
+# --- data-quality checks over faulty files and clocks --------------
+
+def _faulty_files(spark, sf_dir):
+    good, bad = S.recording_header_scan(
+        S.discover_files(spark, faulty_root(spark, sf_dir) + "/ecg"), quarantine=True)
+    return bad.select(F.regexp_extract("path", r"([^/]*)-ecg\.csv$", 1).alias("file"), "reason")
+
+
+@query("dq_readable", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS file, 'empty' AS reason FROM events WHERE user_id % 5 = 0")
+def q_dq_readable(spark, sf_dir):
+    """dq_readable: files without any data line are put aside."""
+    return _faulty_files(spark, sf_dir).where("reason = 'empty'")
+
+
+@query("dq_time_column", """
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS file, 'unknown time column' AS reason FROM events WHERE user_id % 5 = 1""")
+def q_dq_time_column(spark, sf_dir):
+    """dq_time_column: files whose header names no known time column are put aside."""
+    return _faulty_files(spark, sf_dir).where("reason = 'unknown time column'")
+
+
+@query("dq_eda_header", """
+SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 5, '0') AS mirage_pid,
+       CASE user_id % 5 WHEN 0 THEN 'no device' ELSE 'no SECOND header' END AS reason
+FROM events WHERE user_id % 5 < 2""")
+def q_dq_eda_header(spark, sf_dir):
+    """dq_eda_header: files without a device or a data header on its line are put aside."""
+    root = faulty_root(spark, sf_dir) + "/eda"
+    _, bad = S.eda_header_scan(S.discover_files(spark, root), root, quarantine=True)
+    return bad.select("mirage_pid", "reason")
+
+
+def _rejected(spark, sf_dir):
+    """Recordings by a clock 40 years late, without any time, and without a sample."""
+    user = F.col("participant").cast("long") % 7
+    rows = B.samples(spark, sf_dir)
+    late = F.timestamp_micros(F.unix_micros("t") - 40 * 365 * 86400 * 1000000)
+    rows = rows.withColumn("t", F.when(user == 0, late).when(user != 1, F.col("t")))
+    meta = rows.select(F.col("id_recording").alias("id")).distinct()
+    _, bad = LK.lake_layout(rows.where(user != 2), meta=meta)
+    return bad
+
+
+@query("dq_recording_year", with_ctes(B.SAMPLES_SQL, final="""
+SELECT id_recording, CAST(year(make_timestamp(min(epoch_us(t)) - 1261440000000000)) AS INTEGER) AS year,
+       'year before 2000' AS reason
+FROM samples WHERE CAST(participant AS BIGINT) % 7 = 0 GROUP BY 1"""))
+def q_dq_recording_year(spark, sf_dir):
+    """dq_recording_year: recordings that begin before 2000 are rejected."""
+    return _rejected(spark, sf_dir).where("reason = 'year before 2000'")
+
+
+@query("dq_nonempty_load", with_ctes(B.SAMPLES_SQL, final="""
+SELECT DISTINCT id_recording, CASE CAST(participant AS BIGINT) % 7 WHEN 1 THEN 'no sample has a time' ELSE 'no samples' END AS reason
+FROM samples WHERE CAST(participant AS BIGINT) % 7 IN (1, 2)"""))
+def q_dq_nonempty_load(spark, sf_dir):
+    """dq_nonempty_load: recordings that load no usable sample are rejected."""
+    return _rejected(spark, sf_dir).where("year is null").select("id_recording", "reason")

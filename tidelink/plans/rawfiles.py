@@ -142,3 +142,26 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
         _ROOTS[key] = root
     return _ROOTS[key]
 
+
+
+def faulty_root(spark: SparkSession, sf_dir: str) -> str:
+    """Heads of files, one ECG and one EDA file a user, of which every fifth
+    user's lack any data line (device), and the next ones' a known time column
+    (data header); return their root."""
+    key = (spark.sparkContext.applicationId, sf_dir, "faulty")
+    if key not in _ROOTS:
+        root = scratch_dir(spark, "faulty")
+        users = table(spark, sf_dir, "events").select("user_id").distinct()
+        kind = F.col("user_id") % 5
+        ecg = users.select(
+            F.concat(F.lit(root + "/ecg/"), F.col("user_id").cast("string"), F.lit("-ecg.csv")).alias("file"),
+            F.explode(F.array(_ln(1, "# Sampling: 1.0s (1000 Hz)"),
+                              _ln(2, F.when(kind == 0, "# end").when(kind == 1, "when,ecg").otherwise("timestamp,ecg")))).alias("l"))
+        eda = users.select(
+            F.concat(F.lit(root + "/eda/1.eda/"), _pid(), F.lit(".csv")).alias("file"),
+            F.explode(F.array(_ln(1, F.when(kind == 0, "ES0001;v2").otherwise("Device: ES0001;v2")),
+                              *[_ln(i, f"Param {i};0") for i in range(2, 28)],
+                              _ln(28, F.when(kind == 1, "0,01;1;0").otherwise("SECOND;SC;X")))).alias("l"))
+        write_text_files(ecg.unionByName(eda).select("file", "l.lineno", "l.line"))
+        _ROOTS[key] = root
+    return _ROOTS[key]

@@ -202,7 +202,7 @@ def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):
         F.max(F.when(no == 1, ln)).alias("_l1"), F.max(F.when(no == 4, ln)).alias("_l4"),
         F.min(F.when(no.isin(*EDA_DATA_HEADER_LINES) & (F.substring(ln, 1, 6) == EDA_DATA_HEADER), no))
          .alias("data_header_line"))
-    device = F.ltrim(F.split(F.split(F.col("_l1"), ";")[0], ":").getItem(1))
+    device = F.ltrim(F.get(F.split(F.get(F.split(F.col("_l1"), ";"), 0), ":"), 1))
     bare_root = root[5:] if root.startswith("file:") else root
     rel = F.replace(F.regexp_replace(F.col("path"), "^file:", ""), F.lit(bare_root.rstrip("/") + "/"), F.lit(""))
     first = F.split(rel, "/")[0]
@@ -210,7 +210,7 @@ def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):
     meta = agg.select(
         "path", device.alias("device"),
         F.regexp_replace(F.regexp_extract(F.col("path"), r"([^/]*)$", 1), r"\.csv$", "").alias("mirage_pid"),
-        rescat.alias("rescat"), F.split(F.col("_l4"), ";").getItem(1).alias("start_text"),
+        rescat.alias("rescat"), F.get(F.split(F.col("_l4"), ";"), 1).alias("start_text"),
         "data_header_line")
     bad_cond = F.col("device").isNull() | F.col("data_header_line").isNull()
     good = meta.where(~bad_cond)

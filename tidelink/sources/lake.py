@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelink.functions.timefn import offset_seconds
 
+LEDGER_MARGIN_SECONDS = 2
 MIN_YEAR = 2000   # fixed value from the reference: earlier recordings are clock errors
 
 
@@ -43,20 +46,50 @@ def write_lake(samples: DataFrame, root: str, mode: str = "append", key: str = "
     (rows.repartition("year", "month", key, F.to_date(t))
          .sortWithinPartitions("year", "month", key, t)
          .write.mode(mode).partitionBy("year", "month").parquet(root))
+    listed = 0 if mode == "overwrite" else _ledger_time(rows.sparkSession, root)
+    _ids_since(rows.sparkSession, root, key, listed).write.mode(mode).parquet(_ledger(root))
     return bad
 
 
+def _ledger(root: str) -> str:
+    return root.rstrip("/") + "-ledger"
+
+
+def _children(spark: SparkSession, path: str) -> list:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _ledger_time(spark: SparkSession, root: str) -> int:
+    """When the ledger was last written, in ms of the file system's clock; 0 if never."""
+    return max((x.getModificationTime() for x in _children(spark, _ledger(root))
+                if x.getPath().getName().endswith(".parquet")), default=0)
+
+
+def _ids_since(spark: SparkSession, root: str, key: str, ms: int) -> DataFrame:
+    """Ids of the lake files written after ``ms``, less a margin for clocks that count seconds."""
+    reader = spark.read.schema(f"{key} string, year int, month int")
+    if ms:
+        after = datetime.fromtimestamp(ms / 1000 - LEDGER_MARGIN_SECONDS, timezone.utc)
+        reader = reader.option("modifiedAfter", after.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+    return reader.parquet(root).select(key, "year", "month").distinct()
+
+
 def lake_ids(spark: SparkSession, root: str, key: str = "id_recording") -> DataFrame:
-    """Recording ids already in the lake with their partition (column-pruned scan).
+    """Recording ids already in the lake with their partition.
 
-    A root without any data file is an empty lake; a lake that cannot be read
-    raises, so that nothing is appended twice.
+    They come from the ledger that :func:`write_lake` keeps beside the lake,
+    and from those lake files that are newer than it (a write that ended
+    before its ledger entry); other files are not opened. One writer at a
+    time is assumed. A root without any data is an empty lake; a lake that
+    cannot be read raises, so that nothing is appended twice.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path) or not any(x.isDirectory() for x in fs.listStatus(path)):
+    if not any(x.isDirectory() for x in _children(spark, root)):
         return spark.createDataFrame([], f"{key} string, year int, month int")
-    return spark.read.parquet(root).select(key, "year", "month").distinct()
+    listed = _ledger_time(spark, root)
+    newer = _ids_since(spark, root, key, listed)
+    return newer.unionByName(spark.read.parquet(_ledger(root))).distinct() if listed else newer
 
 
 def incremental_candidates(spark: SparkSession, meta: DataFrame, root: str, id_col: str = "id",

@@ -14,22 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelink.sources import files as S
-from tidelink.sources import lake as LK
+from tidelink.sources.recordings import ingest_files
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 def _batch_writer(lake_root: str, recording_id, rejected_root: str | None):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        good, bad = S.recording_header_scan(batch.select("path").distinct(), quarantine=True)
-        meta = good.withColumn("id", recording_id(F.col("path")))
-        todo = LK.incremental_candidates(spark, meta, lake_root)
-        rejected = LK.write_lake(S.ingest_samples(spark, todo), lake_root, mode="append", meta=todo)
+        out = ingest_files(batch.sparkSession, batch, lake_root, recording_id)
         if rejected_root:
-            files = bad.select(F.col("path").alias("what"), "reason")
-            (files.unionByName(rejected.select(F.col("id_recording").alias("what"), "reason"))
+            files = out["bad_files"].select(F.col("path").alias("what"), "reason")
+            (files.unionByName(out["rejected"].select(F.col("id_recording").alias("what"), "reason"))
              .write.mode("append").parquet(rejected_root))
     return write
 

@@ -43,6 +43,10 @@ ROWS_OUT = 512
 # four separators \x1c-\x1f, which are ordinary characters there
 _SPACES = re.compile("[\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200b), 0x2028, 0x2029, 0x202f, 0x205f, 0x3000))) + "]+")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+# Up to U+024F nothing composes, and lower() does not depend on what is near
+# and agrees with the vocabulary's own but for U+0130.
+_BEYOND = re.compile(f"[^{chr(0)}-{chr(0x12f)}{chr(0x131)}-{chr(0x24f)}]")
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def split_words(text: str) -> list[str]:
@@ -51,6 +55,11 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
+def lowered(text: str) -> str:
+    """The text in lower case where that cannot change its ids."""
+    return text if _BEYOND.search(text) else text.lower()
+
+
 class WordBpe:
     """The merge rules of one vocabulary file."""
 
@@ -80,8 +89,7 @@ class WordBpe:
         for token, i in tokens.items():
             self.spelling[i] = token
         # Words of printable characters below U+0250 are cut here; the rest by
-        # the library's own normalizer and splitter. Nothing composes there,
-        # and lower() agrees but for U+0130.
+        # the library's own normalizer and splitter.
         self.simple = re.compile(f"[!-~{chr(0xa1)}-{chr(0x12f)}{chr(0x131)}-{chr(0x24f)}]+").fullmatch
         self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         low = {ord(x) for c in range(0xa1, 0x250) for x in chr(c).lower()}
@@ -89,8 +97,10 @@ class WordBpe:
 
     def parts(self, word: str) -> list[str]:
         """Normalise and cut one white-space word; neither crosses white space."""
-        if word.isascii() and word.isalpha():
-            return [word.lower()]
+        if word.isascii():
+            stem = word.rstrip(_PUNCTUATION)
+            if stem.isalpha():
+                return [stem.lower()] if stem == word else [stem.lower(), word[len(stem):]]
         if not self.simple(word):
             return [p for p, _ in self.pre_tokenize(self.normalize(word))]
         low = word.lower()
@@ -156,12 +166,19 @@ def rules(path: str) -> WordBpe:
 
 class Encoder(dict):
     """Words to ids (as int32 bytes); a missing word's parts are looked up in
-    the lexicon, or else merged. Keeps two bounded generations of words."""
+    the lexicon, or else merged. Keeps two bounded generations of words.
+
+    The splitter always cuts behind a run of letters, so a word of letters and
+    the punctuation at its end are looked up each, and only those are kept.
+    """
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon):
         self.bpe, self.lexicon, self.older = bpe, lexicon, {}
 
     def __missing__(self, word: str) -> bytes:
+        stem = word.rstrip(_PUNCTUATION)
+        if stem != word and stem.isalpha() and (stem.isascii() or not _BEYOND.search(stem)):
+            return self[stem] + self[word[len(stem):]]
         found = self.older.get(word)
         if found is None:
             ids: list[int] = []
@@ -184,7 +201,7 @@ class Encoder(dict):
             if k % 2:
                 found.append(array("i", [self.bpe.special[section]]).tobytes())
             else:
-                found += map(self.__getitem__, split_words(section))
+                found += map(self.__getitem__, split_words(lowered(section)))
         return b"".join(found)
 
     def decode(self, ids: bytes) -> str:
@@ -221,7 +238,7 @@ def frequent_words(docs: DataFrame, path: str, text_col: str = "text", limit: in
         for batch in batches:
             for text in batch.column(0):
                 for section in bpe.sections(text.as_py() or "")[::2]:
-                    counts.update(split_words(section))
+                    counts.update(split_words(lowered(section)))
                 if len(counts) >= COUNTED_WORDS:
                     yield flush()
         yield flush()

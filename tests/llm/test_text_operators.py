@@ -76,6 +76,31 @@ def test_encoding_is_the_librarys_with_any_lexicon(spark, odd, limit):
     assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
 
 
+def test_words_with_punctuation_encode_as_the_library_does(monkeypatch):
+    """Letters, punctuation, contractions, odd cases and white space, glued
+    together; two words a cache generation, so that every path is taken."""
+    from random import Random
+
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(word_bpe, "CACHE_ENTRIES", 2)
+    path = public_path("word_bpe_49k.json")
+    lib, bpe = Tokenizer.from_file(path), word_bpe.rules(path)
+    lib.no_truncation()
+    lib.no_padding()
+    known = Lexicon(bytearray(compile_lexicon((w.encode(), bpe.merge(w)) for w in ("the", "foo", "rean", ".", "'s"))))
+    coder, rng = word_bpe.Encoder(bpe, known), Random(11)
+    pieces = ["Rean", "\u00dcGEST", "e.", "'s", "'S", "it's", "$$$", "..'s", "_", "a_b", "\u00aa", "\u00bd", "\u03a3", "\u0391\u03a3.",
+              "\u0130", "e\u0301", "\u00df", "\u1e9e", "\u01c4", "\x85", "\xa0", "\x1c", "\n", "\u200b", "<|startoftext|>", "<|",
+              "|>", "23", "\u6f22", "\u5b57\u3002", "\U0001f600", "\u0345", "\ufb01", "\u212a", ".", ",", "!?", "(", "the", "foo",
+              "\u2013", "\x00", "\xad", "=\u0338", "\u0149", "\u01f0"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) + " " * (rng.random() < 0.3) for _ in range(rng.randint(0, 12)))
+        ids = lib.encode(text, add_special_tokens=False).ids
+        found = coder.encode(text)
+        assert np.frombuffer(found, np.int32).tolist() == ids, text
+        assert coder.decode(found) == lib.decode(ids, skip_special_tokens=False)
+
+
 def test_encoding_digests_on_the_table(spark):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(public_path("word_bpe_49k.json"))

@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from zlib import crc32
 
 import duckdb
 import numpy as np
@@ -213,6 +214,18 @@ def test_toxic_texts_score_higher(spark, odd):
     assert {r.severity for r in toxicity.score(odd, None).collect()} == {0.0}
 
 
+def test_long_letter_runs_count_to_their_end(spark):
+    workers_import(spark)
+    run = "abcdefghijklmnopqrstuvwxyz" * 12  # 312 letters without a space
+    assert set(toxicity.word_features(run + "vilest")) > {
+        crc32(w.encode()) % toxicity.BUCKETS for w in ("vile", "iles", "lest ", "vilest", "=" + run + "vilest")}
+    rows = [(i, run[:289 + i % 23] + ("vilest" if i % 4 == 0 else "kindly")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic")))
+    new = spark.createDataFrame([(0, "zq" * 150 + "vilest"), (1, "zq" * 150 + "kindly")], "doc_id long, text string")
+    assert {r.doc_id: r.toxic for r in toxicity.score(new, model).collect()} == {0: True, 1: False}
+
+
 # --- SimHash -----------------------------------------------------------------
 
 def brute_fingerprint(t):

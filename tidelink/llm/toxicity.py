@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -51,8 +52,8 @@ _WORDS = re.compile(r"[^\W\d_]+")
 def word_features(word: str) -> list[int]:
     """Buckets of a lower-cased word and of its character windows."""
     marked = f" {word} "
-    pieces = {"=" + word[:64], *(marked[i:i + n] for n in WINDOWS for i in range(min(len(marked), 256) - n + 1))}
-    return sorted({crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in pieces})
+    pieces = chain(["=" + word], (marked[i:i + n] for n in WINDOWS for i in range(len(marked) - n + 1)))
+    return sorted({crc32(p.encode("utf-8", "surrogatepass")) % BUCKETS for p in pieces})  # at most BUCKETS
 
 
 def text_words(text: str | None) -> set[str]:

@@ -226,6 +226,22 @@ def test_long_letter_runs_count_to_their_end(spark):
     assert {r.doc_id: r.toxic for r in toxicity.score(new, model).collect()} == {0: True, 1: False}
 
 
+def test_a_repeated_labelled_id_trains_as_one(spark, monkeypatch):
+    workers_import(spark)
+    rows = [(i, f"number {i} is " + ("vilest" if i % 4 == 0 else "kindly")) for i in range(200)]
+    copies = [(0, "vilest indeed" if k % 2 else "number 0") for k in range(5000)]
+    sizes, fit_ordinal = [], toxicity.fit_ordinal
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda x, *rest: sizes.append([len(x), *map(len, x)]) or fit_ordinal(x, *rest))
+    models = []
+    # the repeated id holds the features of all its rows, and none of them twice
+    for several in (copies, [(0, "number 0 is vilest vilest indeed")]):
+        docs = spark.createDataFrame(rows[1:] + several, "doc_id long, text string").repartition(5)
+        labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+        models.append(toxicity.fit(docs, labels))
+    assert sizes[0][0] == 200 and sizes[0] == sizes[1]
+    assert (models[0].buckets == models[1].buckets).all() and np.allclose(models[0].weights, models[1].weights)
+
+
 # --- SimHash -----------------------------------------------------------------
 
 def brute_fingerprint(t):

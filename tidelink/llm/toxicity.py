@@ -37,7 +37,7 @@ from tidelink.session import materialize
 
 BUCKETS = 1 << 20
 WINDOWS = (4, 5, 6)
-# At most this many labelled rows of either kind train the model.
+# At most this many labelled ids of either kind train the model.
 SAMPLE_ROWS = 4000
 MAX_FEATURES = 2000
 MIN_RATIO = 25.0  # log-likelihood ratio of a marking feature
@@ -114,8 +114,8 @@ def fit_ordinal(x: list[np.ndarray], grade: np.ndarray, n_features: int) -> tupl
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
         sample_rows: int = SAMPLE_ROWS) -> SeverityModel | None:
-    """Train on at most ``sample_rows`` toxic and as many other labelled rows,
-    those whose ids have the least hashes."""
+    """Train on at most ``sample_rows`` toxic and as many other labelled ids,
+    those of the least hashes; an id of several rows shows what any of them shows."""
     spark = docs.sparkSession
     known = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("_id")).agg((F.max(toxic_col) > 0).alias("toxic"))
@@ -127,13 +127,19 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = _features_of()
         for batch in batches:
-            found = [sorted(set().union(*(of[w] for w in text_words(t)))) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("toxic"),
-                                              pa.array(found, pa.list_(pa.int32()))], ["_id", "toxic", "features"])
+            found: dict = {}  # rows of one id in a batch are one
+            for i, toxic, t in zip(*(batch.column(c).to_pylist() for c in ("_id", "toxic", "text"))):
+                found.setdefault((i, toxic), set()).update(*(of[w] for w in text_words(t)))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], batch.schema.field("_id").type),
+                                              pa.array([y for _, y in found], pa.bool_()),
+                                              pa.array([sorted(f) for f in found.values()], pa.list_(pa.int32()))],
+                                             ["_id", "toxic", "features"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     sample = materialize(rows.mapInArrow(featured, f"_id {id_type}, toxic boolean, features array<int>"))
-    totals = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    # an id has the features of all its rows, each once: those of several rows meet as pairs
+    ids = materialize(sample.groupBy("_id", "toxic").agg((F.count("*") > 1).alias("several")))
+    totals = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
     if len(totals) < 2:
         return None
     # log-likelihood ratio of each feature's two-by-two table
@@ -142,7 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     term = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     s = (a + b) / (n1 + n0)
     ratio = 2 * (term(a, n1 * s) + term(b, n0 * s) + term(n1 - a, n1 * (1 - s)) + term(n0 - b, n0 * (1 - s)))
-    counted = sample.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(
+    rows_of = sample.join(F.broadcast(ids.select("_id", "several")), "_id")  # at most two samples of ids
+    pairs = lambda several: rows_of.where(F.col("several") == several).select(
+        "_id", "toxic", F.explode("features").alias("f"))
+    counted = pairs(False).unionByName(pairs(True).distinct()).groupBy("f").agg(
         F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
     marking = (counted.where(a / n1 > MIN_LIFT * b / n0).select("f", ratio.alias("g")).where(F.col("g") >= MIN_RATIO)
                .orderBy(F.desc("g"), "f").limit(MAX_FEATURES))
@@ -150,9 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not len(buckets):
         return None
     keep = spark.createDataFrame(pd.DataFrame({"f": buckets.astype(np.int32), "k": np.arange(len(buckets), dtype=np.int32)}))
-    hits = sample.select("_id", "toxic", F.explode("features").alias("f")).join(F.broadcast(keep), "f").groupBy("_id").agg(
-        F.sort_array(F.collect_list("k")).alias("k"))  # at most MAX_FEATURES of a row
-    table = sample.select("_id", "toxic").join(hits, "_id", "left").orderBy(F.xxhash64("_id"), "_id").collect()
+    hits = sample.select("_id", F.explode("features").alias("f")).join(F.broadcast(keep), "f").select("_id", "k").distinct()
+    hits = hits.groupBy("_id").agg(F.sort_array(F.collect_list("k")).alias("k"))  # at most MAX_FEATURES of an id
+    table = ids.select("_id", "toxic").join(hits, "_id", "left").orderBy(F.xxhash64("_id"), "_id").collect()
     x = [np.array(r["k"] or [], np.int64) for r in table]
     toxic = np.array([r["toxic"] for r in table])
     shown = np.array([len(f) for f in x])

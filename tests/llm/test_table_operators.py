@@ -260,6 +260,14 @@ def test_archive_oracle(spark):
     assert sorted(map(tuple, got)) == sorted(rel.fetchall())
 
 
+def test_archive_query_rebuilds_records(spark, monkeypatch):
+    read = warc.read_archive
+    cut = lambda *a: read(*a).withColumn("record", F.expr("substring(record, 1, octet_length(record) - 5)"))
+    monkeypatch.setattr(warc, "read_archive", cut)
+    with pytest.raises(Exception, match="record not rebuilt"):
+        queries.QUERIES["op10_warc_content_store"](spark, SF_SMALL).collect()
+
+
 # --- pipeline ----------------------------------------------------------------
 
 def test_pipeline_stages(spark):

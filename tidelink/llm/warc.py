@@ -140,3 +140,10 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
         "record_id", "record_type", F.when(F.col("record_type") == "revisit", F.col("refers_to")).alias("refers_to"),
         "target_uri", digest.alias("payload_digest"), "payload_bytes", "payload",
         F.concat(F.col("header"), F.lit(LINE.encode()), block, F.lit((LINE * 2).encode())).alias("record"))
+
+
+def block_of(record: Column) -> Column:
+    """The block of a record's exact bytes: what stands between its header and
+    the two line ends that close it."""
+    head = F.octet_length(F.substring_index(record.cast("string"), LINE * 2, 1)) + F.lit(len(LINE * 2))
+    return F.substring(record, head + 1, F.octet_length(record) - head - F.lit(len(LINE * 2)))

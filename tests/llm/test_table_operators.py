@@ -164,6 +164,20 @@ def test_small_blocks_fly_on(spark, monkeypatch):
         assert abs(taken[r.source] - r.target) <= 100
 
 
+def test_repeated_rows_are_dealt_over_blocks(spark, monkeypatch):
+    rows = [(1, "a", 50)] * 3000 + [(None, "a", 7)] * 2000 + [(i, "ab"[i % 2], i % 90) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long").repartition(4)
+    flight, largest = mixing._flight, []
+
+    def watched(flying, *rest):
+        largest.append(flying.groupBy("source", "block").count().agg(F.max("count")).first()[0])
+        return flight(flying, *rest)
+
+    monkeypatch.setattr(mixing, "_flight", watched)
+    assert mixing.mix(df).count() == len(rows)
+    assert max(largest) <= mixing.BLOCK_ROWS
+
+
 # --- sharding ----------------------------------------------------------------
 
 def brute_table(shards, slots, weights):

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelink.llm.common import without
+from tidelink.operators.scan import positioned
 from tidelink.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -151,10 +152,12 @@ def copies(sized: DataFrame, targets: DataFrame, block_rows: int = BLOCK_ROWS, f
     rate = targets.select(
         F.col("source").alias("_s"), "n", "source_size", "target", whole.cast("int").alias("whole"),
         F.greatest(ratio - whole, F.lit(0.0)).alias("p"))
-    rows = sized.join(rate, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    # a source's rows follow each other, so they are dealt evenly, equal ones too
+    dealt = positioned(sized, ["source", F.xxhash64("id", "source", "size"), "id", "size", "row"], "_place")
+    rows = dealt.join(rate, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     blocks = F.greatest(F.ceil(F.col("n") / block_rows), F.lit(1)).cast("long")
-    rows = materialize(rows.withColumn("block", F.pmod(F.xxhash64("id", "source", "size"), blocks))
-                       .withColumn("order", F.xxhash64(F.lit(1), "id", "source", "size")).drop("id"))
+    rows = materialize(rows.withColumn("block", F.pmod("_place", blocks))
+                       .withColumn("order", F.xxhash64(F.lit(1), "id", "source", "size")).drop("id", "_place"))
 
     largest = targets.agg(F.max("n")).first()[0] or 0
     n_blocks = max(1, -(-largest // block_rows))
@@ -178,8 +181,8 @@ def copies(sized: DataFrame, targets: DataFrame, block_rows: int = BLOCK_ROWS, f
 def _flight(flying: DataFrame, last: bool, round_no: int) -> DataFrame:
     """One flight of every (source, block); the last one also lands.
 
-    A block has about a thousand rows at any input size: the number of blocks
-    of a source follows its number of rows.
+    A block has at most a thousand rows at any input size: the number of blocks
+    of a source follows its number of rows, repeated rows or not.
     """
     def flown(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "order", "p", "row"], ascending=[False, True, True, True], kind="stable", ignore_index=True)

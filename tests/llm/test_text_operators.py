@@ -83,7 +83,7 @@ def test_words_with_punctuation_encode_as_the_library_does(monkeypatch):
     from random import Random
 
     from tokenizers import Tokenizer
-    monkeypatch.setattr(word_bpe, "CACHE_ENTRIES", 2)
+    monkeypatch.setattr(word_bpe, "CACHE_BYTES", 2 * word_bpe.ENTRY_BYTES)
     path = public_path("word_bpe_49k.json")
     lib, bpe = Tokenizer.from_file(path), word_bpe.rules(path)
     lib.no_truncation()
@@ -157,8 +157,96 @@ def test_host_rules_oracle_and_empty_table(spark, odd):
     assert host_rules.judge(host_rules.with_measures(odd.limit(0))).count() == 0
 
 
+def test_a_worker_keeps_one_encoder_of_bounded_size(spark, monkeypatch, tmp_path):
+    """Runs after the first have a lexicon file of their own."""
+    path = public_path("word_bpe_49k.json")
+    bpe = word_bpe.rules(path)
+    monkeypatch.setattr(word_bpe.SparkFiles, "get", lambda name: str(tmp_path / name))
+    monkeypatch.setattr(word_bpe, "CACHE_BYTES", 100_000)
+    made = []
+    for run in range(3):
+        (tmp_path / f"lexicon-{run}").write_bytes(compile_lexicon([(b"the", bpe.merge("the"))]))
+        coder = word_bpe.encoder(path, f"lexicon-{run}")
+        assert word_bpe.encoder(path, f"lexicon-{run}") is coder
+        coder.encode(" ".join(f"w{chr(97 + k % 26)}{k}x" for k in range(5000)))
+        assert sum(word_bpe.ENTRY_BYTES + len(w) + len(b) for kept in (coder, coder.older) for w, b in kept.items()) <= 200_000
+        assert not made or not made[-1] and not made[-1].older
+        made.append(coder)
+        assert list(word_bpe._ENCODERS.values()) == [coder]
+    word_bpe._ENCODERS.clear()
+
+
+def test_batches_of_results_are_bounded_by_their_ids(spark, odd, monkeypatch):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(public_path("word_bpe_49k.json"))
+    lib.no_truncation()
+    monkeypatch.setattr(word_bpe, "BATCH_BYTES", 40)
+    docs = odd.select("doc_id", "text").coalesce(1)
+    got = word_bpe.encode_decode(docs).select("doc_id", "n_tokens").collect()
+    assert Counter(map(tuple, got)) == Counter((r.doc_id, len(lib.encode(r.text or "", add_special_tokens=False).ids)) for r in docs.collect())
+
+
 # --- language ----------------------------------------------------------------
 
+def test_logits_are_the_average_of_subword_rows():
+    """Against windows taken one by one from each word."""
+    rng = np.random.default_rng(8)
+    model = langid.LanguageModel(["a", "b"], rng.normal(size=(64, 2)).astype(np.float32), np.array([0.5, -0.5]))
+
+    def bucket(window):
+        h = 2166136261 + len(window)
+        for c in window:
+            h = (h ^ c) * 16777619 % 2**32
+        return (h ^ h >> 15) % 64
+
+    for text in ("x", "Ab cd", "d\u00e9j\u00e0 vu 12 ok", "a b c", "word " * 50):
+        data, rows = langid.letters(text), []
+        for n in langid.SIZES:
+            for k in range(len(data) - n + 1):
+                w = data[k:k + n]
+                if b" " not in w[1:-1] and not (w[:1] == b" " == w[-1:]):
+                    rows.append(model.table[bucket(w)].astype(float))
+        assert np.allclose(model.logits([data])[0], np.mean(rows, axis=0) + model.bias)
+
+
+def test_language_sample_has_every_language_and_one_row_an_id(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(langid, "train", drawn.append)
+    monkeypatch.setattr(langid, "LANG_ROWS", 10)
+    docs = spark.createDataFrame(
+        [(1, "again", "aa")] * 3000 + [(k, f"text {k}", "aa") for k in range(2, 3000)]
+        + [(k, f"selten {k}", "zz") for k in range(5000, 5012)] + [(None, "no id", "aa"), (7000, None, "aa"), (7001, "x", None)],
+        "doc_id long, text string, lang string").repartition(3)
+    langid.fit(docs, sample_rows=200)
+    counts = Counter(lang for lang, _ in drawn[0])
+    trained = [k for k in range(5000, 5012) if crc32(str(k).encode()) % 4 != 2]
+    assert counts == {"aa": 100, "zz": len(trained)}
+
+
+def test_rejection_threshold_is_the_best_cut_of_held_back_samples():
+    rng = np.random.default_rng(9)
+    samples = []
+    for k in range(600):
+        lang, text = ("aa", "lala ") if k % 2 else ("bb", "momo ")
+        if rng.random() < 0.2:  # texts that tell nothing
+            text = "xuxu "
+        samples.append((lang, langid.bags([(" " + text * int(rng.integers(1, 4))).encode()])))
+    model = langid.train(samples)
+    held = [(lang, bags[0]) for i, (lang, bags) in enumerate(samples) if not i % 5]
+    z = np.array([n / n.sum() @ model.table[b] + model.bias for _, (b, n) in held]) / model.temperature
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    score, right = p.max(axis=1), np.array([model.langs[k] == lang for k, (lang, _) in zip(p.argmax(axis=1), held)])
+    e = langid.EDGE_ACCURACY
+
+    def gain(cut):
+        return (1 - e) * (right & (score >= cut - 1e-9)).sum() - e * (~right & (score >= cut - 1e-9)).sum()
+
+    assert gain(model.threshold) >= max(gain(c) for c in score) - 1e-6
+    accepted = score >= model.threshold - 1e-9
+    assert abs(model.held_accuracy - right[accepted].mean()) < 1e-9 and abs(model.held_accepted - accepted.mean()) < 1e-9
+    assert model.held_accuracy > 0.85
+
+
 def test_language_learns_and_rejects(spark, odd):
     docs = documents(spark, SF_SMALL)
     model = langid.fit(docs)

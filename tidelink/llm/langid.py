@@ -23,24 +23,30 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelink.llm.common import without
+from tidelink.session import materialize
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
 DIM = 16
 SIZES = (2, 3, 4)
-# At most this many labelled texts are drawn (those of least hash), and at
-# most this many languages are learned.
+# The languages learned are the most frequent ones, at most this many. The
+# texts drawn are shared out among them, but each language gets at least
+# LANG_ROWS (those of least hash), so at most MAX_LANGS * LANG_ROWS are drawn.
 SAMPLE_ROWS = 3000
+LANG_ROWS = 50
 MAX_LANGS = 200
 EPOCHS, RATE, SEED = 6, 2.0, 7
 # Words in the pieces that a sampled text is trained on, beside its whole.
 PIECE_WORDS = (3, 8, 25)
-# Validation accuracy that accepted texts must reach.
-TARGET_ACCURACY = 0.995
+# Texts are accepted down to the score at which this share of them is right: a
+# text is turned away where a wrong name is likelier than the right one. (An
+# accuracy asked of all accepted texts would follow the wrong labels among the
+# clear ones, which no score can tell, and turn away clean texts.)
+EDGE_ACCURACY = 0.5
 CHUNK_BYTES = 1 << 20
 
 _NOT_LETTERS = None
@@ -96,6 +102,9 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    # of the held-back samples: the share accepted, and of those the share named right
+    held_accepted: float = 1.0
+    held_accuracy: float = 1.0
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """One row per text; the averages are taken in chunks of whole texts."""
@@ -178,12 +187,17 @@ def train(samples: list[tuple[str, list[tuple[np.ndarray, np.ndarray]]]], bucket
         p = np.exp(q - q.max(axis=1, keepdims=True))
         score = p.max(axis=1) / p.sum(axis=1)
         order = np.argsort(-score, kind="stable")
-        right = np.cumsum((z.argmax(axis=1) == y)[order]) / np.arange(1, len(y) + 1)
-        enough = np.flatnonzero(right >= TARGET_ACCURACY)
-        # the lowest score down to which the accepted ones are right; between
-        # chance and one half, so that a clear text is never turned away
-        lowest = float(score[order[enough[-1]]]) if len(enough) else 0.5
-        model.threshold = min(max(lowest, 1.0 / len(langs)), 0.5)
+        right = (z.argmax(axis=1) == y)[order]
+        # a right one gains 1 - EDGE_ACCURACY, a wrong one costs EDGE_ACCURACY:
+        # the cut of the greatest sum, of equal ones the lowest score
+        gain = np.cumsum(np.where(right, 1 - EDGE_ACCURACY, -EDGE_ACCURACY))
+        last = np.append(np.diff(score[order]) != 0, True)  # equal scores stay together
+        gain[~last] = -np.inf
+        best = np.flatnonzero(gain >= gain.max() - 1e-9)[-1]
+        model.threshold = float(score[order[best]])
+        accepted = score >= model.threshold
+        model.held_accepted = float(accepted.mean())
+        model.held_accuracy = float((z.argmax(axis=1) == y)[accepted].mean())
     return model
 
 
@@ -194,20 +208,29 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         sample_rows: int = SAMPLE_ROWS) -> LanguageModel | None:
-    """Train on the ``sample_rows`` training texts of least hash.
+    """Train on about ``sample_rows`` training texts, as many of each language.
 
-    Tasks turn the sampled texts into hashed counts, of at most ``BUCKETS``
-    numbers each whatever the text's length; only those reach the driver.
+    A language's texts are those of least hash, one for each id, so neither a
+    frequent language nor a repeated row crowds out the others. Tasks turn the
+    sampled texts into hashed counts, of at most ``BUCKETS`` numbers each
+    whatever the text's length; only those reach the driver.
     """
     pick = F.xxhash64(F.col(id_col), F.lit(SEED))
     rows = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
             .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), pick.alias("_pick"),
                     F.xxhash64(text_col).alias("_tie")))
     # the ids are drawn first, without texts, then those rows are read
-    least = rows.select("_pick").orderBy("_pick").limit(sample_rows).agg(F.max("_pick")).first()[0]
-    if least is None:
+    ids = rows.groupBy("lang", "_pick").agg(F.min("_tie").alias("_tie"))
+    learned = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
+    langs = [r["lang"] for r in learned.select("lang").collect()]
+    if not langs:
         return None
-    chosen = rows.where(F.col("_pick") <= least).orderBy("_pick", "_tie").limit(2 * sample_rows)
+    each = max(LANG_ROWS, sample_rows // len(langs))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_pick"))  # tasks pass on their least ones only
+    drawn = (ids.where(F.col("lang").isin(langs)).select("*", place.alias("_place")).where(F.col("_place") <= each)
+             .drop("_place"))
+    chosen = (rows.join(F.broadcast(materialize(drawn)), ["lang", "_pick", "_tie"])  # bounded as stated above
+              .dropDuplicates(["lang", "_pick", "_tie"]).select("lang", "text", "_pick", "_tie"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,14 +257,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     if not table.num_rows:
         return None
     order = np.lexsort((table.column(2).to_numpy(), table.column(1).to_numpy()))
-    common = table.column(0).to_pandas().value_counts()
-    kept = set(sorted(common.index, key=lambda x: (-common[x], x))[:MAX_LANGS])
-    samples = []
-    for i in order:
-        lang = table.column(0)[int(i)].as_py()
-        if lang in kept:
-            samples.append((lang, [(x.values.to_numpy(), y.values.to_numpy()) for x, y in
-                                   zip(table.column(3)[int(i)], table.column(4)[int(i)])]))
+    samples = [(table.column(0)[i].as_py(), [(x.values.to_numpy(), y.values.to_numpy()) for x, y in
+                                             zip(table.column(3)[i], table.column(4)[i])]) for i in order.tolist()]
     return train(samples)
 
 

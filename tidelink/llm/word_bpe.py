@@ -34,10 +34,11 @@ from tidelink.llm.lexicon import Lexicon, compile_lexicon
 from tidelink.session import materialize, scratch_dir
 
 LEXICON_WORDS = 131_072
-CACHE_ENTRIES = 400_000
+CACHE_BYTES = 24 << 20  # of each of an encoder's two generations of words
 CACHE_LENGTH = 64
-COUNTED_WORDS = 500_000  # distinct words a counting task holds before it passes them on
-ROWS_OUT = 512
+ENTRY_BYTES = 200  # of a word, its ids and their place, beside their lengths
+COUNTED_WORDS = 200_000  # distinct words a counting task holds before it passes them on
+BATCH_BYTES = 8 << 20  # of the ids of one batch of results
 
 # white space of the vocabulary's own splitter; str.split() also cuts at the
 # four separators \x1c-\x1f, which are ordinary characters there
@@ -159,21 +160,22 @@ class WordBpe:
         return self.special_cut.split(text) if "<|" in text else [text]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def rules(path: str) -> WordBpe:
     return WordBpe(path)
 
 
 class Encoder(dict):
     """Words to ids (as int32 bytes); a missing word's parts are looked up in
-    the lexicon, or else merged. Keeps two bounded generations of words.
+    the lexicon, or else merged. Keeps two generations of words, of bounded
+    size in bytes.
 
     The splitter always cuts behind a run of letters, so a word of letters and
     the punctuation at its end are looked up each, and only those are kept.
     """
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon):
-        self.bpe, self.lexicon, self.older = bpe, lexicon, {}
+        self.bpe, self.lexicon, self.older, self.room = bpe, lexicon, {}, CACHE_BYTES
 
     def __missing__(self, word: str) -> bytes:
         stem = word.rstrip(_PUNCTUATION)
@@ -188,8 +190,9 @@ class Encoder(dict):
                 ids = ids + part_ids if ids else part_ids
             found = array("i", ids).tobytes()
         if len(word) <= CACHE_LENGTH:
-            if len(self) >= CACHE_ENTRIES:
-                self.older = dict(self)
+            self.room -= ENTRY_BYTES + 2 * len(word) + len(found)
+            if self.room < 0:
+                self.older, self.room = dict(self), CACHE_BYTES
                 self.clear()
             self[word] = found
         return found
@@ -209,10 +212,19 @@ class Encoder(dict):
         return " ".join(self.bpe.spelling[np.frombuffer(ids, np.int32)].tolist())
 
 
-@lru_cache(maxsize=2)
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+
+
 def encoder(path: str, lexicon_file: str) -> Encoder:
-    """One per Python worker; the file is this executor's fetched copy."""
-    return Encoder(rules(path), Lexicon.map_file(SparkFiles.get(lexicon_file)))
+    """A Python worker's one encoder; the file is this executor's fetched copy.
+    That of an earlier lexicon goes before the next one is made."""
+    if (path, lexicon_file) not in _ENCODERS:
+        for old in _ENCODERS.values():
+            old.clear()
+            old.older.clear()
+        _ENCODERS.clear()
+        _ENCODERS[path, lexicon_file] = Encoder(rules(path), Lexicon.map_file(SparkFiles.get(lexicon_file)))
+    return _ENCODERS[path, lexicon_file]
 
 
 def frequent_words(docs: DataFrame, path: str, text_col: str = "text", limit: int = LEXICON_WORDS) -> DataFrame:
@@ -285,17 +297,22 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, name)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(at, ROWS_OUT)
-                found = [coder.encode(t.as_py()) for t in part.column(1)]
-                sizes = pa.array([0, *(len(b) // 4 for b in found)], pa.int64())
-                offsets = pa.compute.cumulative_sum(sizes).cast(pa.int32())
-                flat = b"".join(found)
-                ids = pa.ListArray.from_arrays(offsets, pa.Array.from_buffers(
-                    pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), sizes.slice(1), ids, pa.array([coder.decode(b) for b in found], pa.string())],
-                    [id_col, "n_tokens", "ids", "decoded"])
+            found: list[bytes] = []
+            size, first = 0, 0
+            for k, text in enumerate(batch.column(1)):
+                found.append(coder.encode(text.as_py()))
+                size += len(found[-1])
+                if size >= BATCH_BYTES or k + 1 == batch.num_rows:
+                    yield filled(batch.column(0).slice(first, len(found)), found, coder)
+                    found, size, first = [], 0, k + 1
+
+    def filled(keys: pa.Array, found: list[bytes], coder: Encoder) -> pa.RecordBatch:
+        sizes = pa.array([0, *(len(b) // 4 for b in found)], pa.int64())
+        flat = b"".join(found)
+        ids = pa.ListArray.from_arrays(pa.compute.cumulative_sum(sizes).cast(pa.int32()), pa.Array.from_buffers(
+            pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]))
+        decoded = pa.array([coder.decode(b) for b in found], pa.string())
+        return pa.RecordBatch.from_arrays([keys, sizes.slice(1), ids, decoded], [id_col, "n_tokens", "ids", "decoded"])
 
     return rows.mapInArrow(encoded, f"`{id_col}` {id_type}, n_tokens long, ids array<int>, decoded string")
 

@@ -219,16 +219,19 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col))
             .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), pick.alias("_pick"),
                     F.xxhash64(text_col).alias("_tie")))
-    # the ids are drawn first, without texts, then those rows are read
-    ids = rows.groupBy("lang", "_pick").agg(F.min("_tie").alias("_tie"))
-    learned = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
-    langs = [r["lang"] for r in learned.select("lang").collect()]
-    if not langs:
+    # the ids are drawn first, without texts, then those rows are read; hashes
+    # are uniform, so about twice the rows wanted of a language lie below its
+    # cut, and no more than those are ordered
+    ids = materialize(rows.groupBy("lang", "_pick").agg(F.min("_tie").alias("_tie")))
+    learned = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    if not learned:
         return None
-    each = max(LANG_ROWS, sample_rows // len(langs))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("_pick"))  # tasks pass on their least ones only
-    drawn = (ids.where(F.col("lang").isin(langs)).select("*", place.alias("_place")).where(F.col("_place") <= each)
-             .drop("_place"))
+    each = max(LANG_ROWS, sample_rows // len(learned))
+    cuts = [(r["lang"], min((2 * each + 100 << 64) // r["count"], (1 << 64) - 1) - (1 << 63)) for r in learned]
+    cuts = docs.sparkSession.createDataFrame(cuts, "lang string, _cut long")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_pick"))
+    drawn = (ids.join(F.broadcast(cuts), "lang").where("_pick <= _cut").select("lang", "_pick", "_tie", place.alias("_place"))
+             .where(F.col("_place") <= each).drop("_place"))
     chosen = (rows.join(F.broadcast(materialize(drawn)), ["lang", "_pick", "_tie"])  # bounded as stated above
               .dropDuplicates(["lang", "_pick", "_tie"]).select("lang", "text", "_pick", "_tie"))
 

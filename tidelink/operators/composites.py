@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelink.functions.timefn import add_seconds, day_of
+from tidelink.functions.timefn import add_seconds, day_of, offset_seconds
 from tidelink.operators import linkage as L
 from tidelink.operators import quality as Q
 from tidelink.operators.reshape import dense_ids, unpivot_non_null
@@ -39,25 +39,37 @@ def eda_marker_matches(esense: DataFrame, mirage: DataFrame, minutes: int = 10)
                         "row_mirage", "diff_start", "diff_end").distinct()
 
 
-def edge_samples(links: DataFrame, samples: DataFrame, bucket_seconds: int = 60) -> DataFrame:
-    """J6 + P8d: the sample times and offsets at both edges of each link."""
-    out = L.asof_edges(links, samples, "id_recording", "start", "end", "t", ["offset_secs"],
-                       ["id_recording", "id_mirage"], bucket_seconds)
-    return out.select("id_recording", "id_mirage", "time_start", "time_end",
-                      F.col("offset_secs_start").alias("offset_start"), F.col("offset_secs_end").alias("offset_end"))
+def edge_samples(links: DataFrame, samples: DataFrame, index: DataFrame,
+                 bucket_seconds: int = L.BUCKET_SECONDS) -> DataFrame:
+    """J6 + P8d: the sample times and offsets at both edges of each link.
+
+    ``index`` is the samples' time index; offsets are taken from each
+    recording's first time in it, after the lookup.
+    """
+    out = L.asof_edges(links, samples, "id_recording", "start", "end", "t", [], ["id_recording", "id_mirage"],
+                       bucket_seconds, index)
+    first = L.index_limits(index, "id_recording").select("id_recording", "t_min")
+    return out.join(first, "id_recording").select(
+        "id_recording", "id_mirage", "time_start", "time_end",
+        offset_seconds(F.col("time_start"), F.col("t_min")).alias("offset_start"),
+        offset_seconds(F.col("time_end"), F.col("t_min")).alias("offset_end"))
 
 
 def link_recordings(samples: DataFrame, recordings: DataFrame, session_windows: DataFrame, markers: DataFrame,
-                    bucket_seconds: int = 60) -> DataFrame:
+                    bucket_seconds: int = L.BUCKET_SECONDS, index: DataFrame | None = None) -> DataFrame:
     """L4: marker windows linked to the recordings that hold them, by the
     participants of the recording's session (J5), with the samples at both
     window edges (J6).
 
     ``samples`` (id_recording, t), the other tables as in
-    :func:`tidelink.operators.linkage.resolve_links`.
+    :func:`tidelink.operators.linkage.resolve_links`. With the lake's time
+    ``index`` the samples are read once, for the edges that fall inside an
+    occupied minute; without it, once more to make the index.
     """
-    links = L.resolve_links(L.recording_limits(samples), recordings, session_windows, markers)
-    return edge_samples(links, L.offset_from_start(samples), bucket_seconds)
+    if index is None:
+        index = materialize(L.occupancy(samples, bucket_seconds=bucket_seconds))
+    links = L.resolve_links(L.index_limits(index, "id_recording"), recordings, session_windows, markers)
+    return edge_samples(links, samples, index, bucket_seconds)
 
 
 def nearest_marker_ends(markers: DataFrame, eda: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Design rules (100 TB scale):
 * samples are the only huge input; they are never put into time order.
-  Limits/offsets are aggregates joined back; as-of lookups ask for the one
-  or two time buckets that can hold their answer.
+  Limits and as-of lookups are answered from a time index of one row per
+  occupied minute; samples are opened only for edges inside a minute.
 * range conditions always ride on an equi key plus a time bucket, so no
   join ever degenerates into a cartesian product or all pairs of a group.
 """
@@ -12,15 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelink.functions.timefn import minute_boundary_diff, minute_index, offset_seconds
-from tidelink.operators.scan import carried_last
+from tidelink.operators.scan import surrounding
 from tidelink.session import materialize
 
 # Clocks before this are wrong (the lake rejects such recordings too).
 EARLIEST = "2000-01-01"
+BUCKET_SECONDS = 60  # of the time index
 
 
 def _cols(xs) -> list[str]:
@@ -85,71 +86,102 @@ def resolve_links(limits: DataFrame, recordings: DataFrame, session_windows: Dat
         "id_recording", "id_mirage", F.col("participant").alias("id_participant"), "start", "end")
 
 
+def occupancy(samples: DataFrame, key: str = "id_recording", t: str = "t", bucket_seconds: int = BUCKET_SECONDS,
+              constants: Sequence[str] = ()) -> DataFrame:
+    """The time index of a sample table: one row per (key, time bucket) that
+    holds samples, with its first and last time.
+
+    Thousands of samples fall into a bucket, and it takes one scan with a
+    partial aggregation to make; the lake keeps it beside the samples.
+    ``constants`` are columns that every sample of a key has alike.
+    """
+    rows = samples.where(F.col(t).isNotNull())
+    return rows.groupBy(key, bucket_of(F.col(t), bucket_seconds).alias("bucket")).agg(
+        F.min(t).alias("first_t"), F.max(t).alias("last_t"), F.count(F.lit(1)).alias("n_samples"),
+        *[F.max(c).alias(c) for c in constants])
+
+
+def bucket_of(t: Column, bucket_seconds: int = BUCKET_SECONDS) -> Column:
+    return F.floor(F.unix_micros(t) / int(bucket_seconds * 1_000_000))
+
+
+def index_limits(index: DataFrame, *by: str) -> DataFrame:
+    """A1 from the time index: the samples themselves are not read."""
+    return index.groupBy(*by).agg(F.min("first_t").alias("t_min"), F.max("last_t").alias("t_max"))
+
+
 def _edge_records(edges: DataFrame, samples: DataFrame, key: str, t: str, payload: Sequence[str],
-                  edge_id: Sequence[str], bucket_seconds: int) -> DataFrame:
+                  edge_id: Sequence[str], bucket_seconds: int, index: DataFrame | None) -> DataFrame:
     """As-of for ``edges`` (edge_id, key, _at, _back): the sample nearest to
     ``_at``, at or before it (``_back``) or at or after it, as struct ``_r``.
 
-    Time is cut into buckets. The answer lies in the edge's own bucket or,
-    failing that, at the end of the nearest occupied bucket on that side. The
-    occupied (key, bucket) pairs come from a hash aggregate over the samples;
-    each edge then asks for those two buckets, and the samples are joined to
-    the requests on (key, bucket): only samples of a bucket that holds or
-    borders an edge are aggregated, and a hot key is spread over its buckets.
+    The first and last times of the occupied buckets and the edges are put
+    into one order, in one pass. If the point beside a backward edge is the
+    last time of a bucket, that is the answer; if it is a first time, the edge
+    stands inside that bucket, and only then (or for a payload) are the
+    samples opened, joined on (key, bucket). Forward edges mirror this. A hot
+    key is spread over its buckets.
     """
-    micros = int(bucket_seconds * 1_000_000)
-    bucket = lambda c: F.floor(F.unix_micros(c) / micros)
-    rows = samples.select(key, t, *payload).withColumn("_bk", bucket(F.col(t)))
-    asked = edges.where(F.col("_at").isNotNull()).withColumn("_bk", bucket(F.col("_at")))
-    occupied = rows.select(key, "_bk").distinct()
-
-    def neighbours(back: bool) -> DataFrame:
-        """Edges with the nearest occupied bucket strictly before (after) theirs."""
-        mine = asked.where(F.col("_back") == back)
-        merged = occupied.withColumn("_edge", F.lit(False)).unionByName(
-            mine.withColumn("_edge", F.lit(True)), allowMissingColumns=True)
-        # an edge stands before its own bucket's row, so it never sees it
-        side = F.col("_bk") if back else -F.col("_bk")
-        scanned = carried_last(merged, [key], [side, (~F.col("_edge")).cast("int")],
-                               F.when(~F.col("_edge"), F.col("_bk")), "_near")
-        return scanned.where(F.col("_edge") & F.col("_near").isNotNull()).select(
-            *mine.columns[:-1], F.col("_near").alias("_bk"))
-
-    requests = asked.unionByName(neighbours(True)).unionByName(neighbours(False))
-    near = requests.join(rows, [key, "_bk"]).where(
-        F.when(F.col("_back"), F.col(t) <= F.col("_at")).otherwise(F.col(t) >= F.col("_at")))
-    record = F.struct(F.col(t).alias("_t"), *[F.col(p) for p in payload])
-    best = near.groupBy(*edge_id, "_back").agg(
-        F.max(F.when(F.col("_back"), record)).alias("_b"), F.min(F.when(~F.col("_back"), record)).alias("_f"))
-    return best.select(*edge_id, "_back", F.coalesce("_b", "_f").alias("_r"))
+    if index is None:
+        index = materialize(occupancy(samples, key, t, bucket_seconds))
+    # at equal times: forward edges, first times, last times, backward edges,
+    # so that every edge meets the point that answers it
+    ends = F.explode(F.array(
+        F.struct(F.col("first_t").alias("t"), "bucket", F.lit(True).alias("first"), F.lit(1).alias("rank")),
+        F.struct(F.col("last_t").alias("t"), "bucket", F.lit(False).alias("first"), F.lit(2).alias("rank")))).alias("_point")
+    points = index.where(F.col(key).isNotNull()).select(key, ends).select(
+        key, "_point", F.col("_point.t").alias("_at"), F.col("_point.rank").alias("_rank"))
+    asked = edges.where(F.col("_at").isNotNull() & F.col(key).isNotNull()).withColumn(
+        "_rank", F.when(F.col("_back"), 3).otherwise(0))
+    merged = points.unionByName(asked, allowMissingColumns=True)
+    scanned = surrounding(merged, [key], [F.col("_at"), F.col("_rank")], F.col("_point"), "_left", "_right")
+    hit = scanned.where(F.col("_point").isNull()).withColumn("_hit", F.when(F.col("_back"), F.col("_left")).otherwise(F.col("_right")))
+    hit = materialize(hit.where(F.col("_hit").isNotNull()).select(*dict.fromkeys([*edge_id, key]), "_at", "_back", "_hit"))
+
+    rows = samples.select(F.col(key).alias("_key"), F.col(t).alias("_t"), *payload, bucket_of(F.col(t), bucket_seconds).alias("_bk"))
+    record = F.struct("_t", *[F.col(p).alias(f"_p{k}") for k, p in enumerate(payload)])
+    settled = F.col("_hit.first") != F.col("_back")
+    open_ = hit if payload else hit.where(~settled)
+    requests = open_.select(*[F.col(c).alias(f"_e{k}") for k, c in enumerate(edge_id)], F.col(key).alias("_key"), "_at",
+                            "_back", F.col("_hit.bucket").alias("_bk"))
+    near = requests.join(rows, ["_key", "_bk"]).where(F.when(F.col("_back"), F.col("_t") <= F.col("_at")).otherwise(F.col("_t") >= F.col("_at")))
+    ids = [f"_e{k}" for k in range(len(edge_id))]
+    best = near.groupBy(*ids, "_back").agg(F.max(F.when(F.col("_back"), record)).alias("_b"),
+                                           F.min(F.when(~F.col("_back"), record)).alias("_f"))
+    found = best.select(*ids, "_back", F.coalesce("_b", "_f").alias("_r"))
+    if not payload:
+        found = found.unionByName(hit.where(settled).select(
+            *[F.col(c).alias(e) for c, e in zip(edge_id, ids)], "_back", F.struct(F.col("_hit.t").alias("_t")).alias("_r")).distinct())
+    return found.select(*[F.col(e).alias(c) for c, e in zip(edge_id, ids)], "_back", "_r")
 
 
 def asof_edges(lookups: DataFrame, samples: DataFrame, key: str, start: str, end: str,
-               t: str, payload: Sequence[str], pair: Sequence[str], bucket_seconds: int = 60) -> DataFrame:
+               t: str, payload: Sequence[str], pair: Sequence[str], bucket_seconds: int = BUCKET_SECONDS,
+               index: DataFrame | None = None) -> DataFrame:
     """J6a+J6b+U1+P8d: for each lookup window, the last sample at or before
     its start and the first sample at or after its end (same key).
 
     Returns ``pair`` + ``time_start, time_end`` + ``<payload>_start/_end``.
-    Both edges are answered in one pass; the samples are read twice, once for
-    their occupied buckets and once for the buckets that edges ask for.
+    Both edges are answered in one pass. With the samples' time ``index`` (of
+    the same bucket width) they are read once, and not at all for edges that
+    fall outside every bucket; without it, they are read once more to make it.
     """
     pair, payload = _cols(pair), _cols(payload)
-    windows = materialize(lookups.select(*dict.fromkeys([key, *pair, start, end])))
     both = F.explode(F.array(F.struct(F.lit(True).alias("back"), F.col(start).alias("at")),
                              F.struct(F.lit(False).alias("back"), F.col(end).alias("at"))))
-    edges = windows.select(*dict.fromkeys([*pair, key]), both.alias("_e")).select(
+    edges = lookups.select(*dict.fromkeys([*pair, key]), both.alias("_e")).select(
         *dict.fromkeys([*pair, key]), F.col("_e.at").alias("_at"), F.col("_e.back").alias("_back"))
-    found = _edge_records(edges, samples, key, t, payload, pair, bucket_seconds)
+    found = _edge_records(edges, samples, key, t, payload, pair, bucket_seconds, index)
     side = found.groupBy(*pair).agg(F.max(F.when(F.col("_back"), F.col("_r"))).alias("_b"),
                                     F.max(F.when(~F.col("_back"), F.col("_r"))).alias("_f"))
     return side.select(*pair, F.col("_b._t").alias("time_start"), F.col("_f._t").alias("time_end"),
-                       *[F.col(f"_b.{p}").alias(f"{p}_start") for p in payload],
-                       *[F.col(f"_f.{p}").alias(f"{p}_end") for p in payload])
+                       *[F.col(f"_b._p{k}").alias(f"{p}_start") for k, p in enumerate(payload)],
+                       *[F.col(f"_f._p{k}").alias(f"{p}_end") for k, p in enumerate(payload)])
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str,
          direction: str, payload: Sequence[str], left_id: Sequence[str],
-         bucket_seconds: int = 60) -> DataFrame:
+         bucket_seconds: int = BUCKET_SECONDS, index: DataFrame | None = None) -> DataFrame:
     """Exact inner as-of join.
 
     ``backward``: the right row with the greatest ``right_time <= left_time``;
@@ -159,8 +191,9 @@ def asof(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time
     payload, left_id = _cols(payload), _cols(left_id)
     edges = left.select(*dict.fromkeys([*left_id, key]), F.col(left_time).alias("_at"),
                         F.lit(direction == "backward").alias("_back"))
-    found = _edge_records(edges, right, key, right_time, payload, left_id, bucket_seconds)
-    return found.select(*left_id, F.col("_r._t").alias(right_time), *[F.col(f"_r.{p}").alias(p) for p in payload])
+    found = _edge_records(edges, right, key, right_time, payload, left_id, bucket_seconds, index)
+    return found.select(*left_id, F.col("_r._t").alias(right_time),
+                        *[F.col(f"_r._p{k}").alias(p) for k, p in enumerate(payload)])
 
 
 def tolerance_match(a: DataFrame, b: DataFrame, on: Sequence[str], minutes: int,
@@ -199,12 +232,11 @@ def nearest_match(left: DataFrame, right: DataFrame, on: Sequence[str], left_t:
     lm = left.withColumn("_m", minute_index(left_t))
     rm = right.withColumn("_m", minute_index(right_t))
     u = (lm.select(*on, "_m", F.lit(1).alias("_side"))
-           .unionByName(rm.select(*on, "_m", F.lit(0).alias("_side"))).withColumn("_row", F.monotonically_increasing_id()))
+           .unionByName(rm.select(*on, "_m", F.lit(0).alias("_side"))))
     rmin = F.when(F.col("_side") == 0, F.col("_m"))
     # nearest right minute at or before / at or after each left row (a
     # skew-safe running scan; right rows sort first within a minute)
-    prev = carried_last(u, on, [F.col("_m"), F.col("_side"), F.col("_row")], rmin, "_prev")
-    both = carried_last(prev, on, [-F.col("_m"), -F.col("_side"), -F.col("_row")], rmin, "_next")
+    both = surrounding(u, on, [F.col("_m"), F.col("_side")], rmin, "_prev", "_next")
     dist = (both.withColumn("_d", F.least(F.col("_m") - F.col("_prev"), F.col("_next") - F.col("_m")))
                 .where((F.col("_side") == 1) & F.col("_d").isNotNull()))
     gmin = dist.groupBy(*on).agg(F.min("_d").alias("_dmin"))

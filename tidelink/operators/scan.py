@@ -49,21 +49,18 @@ def positioned(df: DataFrame, order: Sequence, out: str = _POSITION) -> DataFram
     order), as a long.
 
     Rows are sorted inside their range part and numbered as they are written;
-    an earlier part's size is one entry of an array with one entry a part.
+    the sizes of earlier parts are a running sum over a table of one row a part.
     """
     keys = _keys(order)
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     rows = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()))
     part = F.shiftright("_mid", _ROW_BITS)
-    sizes = rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    listed = sizes.agg(F.collect_list(F.struct("p", "n")).alias("sizes"))
-    # entry k: the rows of all parts before part k
-    last = F.array_max(F.transform("sizes", lambda x: x["p"]))
-    before = F.transform(F.sequence(F.lit(0).cast("long"), last), lambda k: F.aggregate(
-        F.filter("sizes", lambda y: y["p"] < k), F.lit(0).cast("long"), lambda a, y: a + y["n"]))
-    offset = F.get(listed.select(before.alias("before")).scalar(), part.cast("int"))
+    sizes = rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy().orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return rows.withColumn(out, offset + row).drop("_mid")
+    return (rows.join(F.broadcast(offsets), part == F.col("_p"))  # as many rows as the exchange has parts
+            .withColumn(out, F.col("_before") + row).drop("_mid", "_p", "_before"))
 
 
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "_rank") -> DataFrame:
@@ -77,7 +74,6 @@ def ranked(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "_ra
     rows = positioned(df, [*group, *order])
     if not group:
         return rows.withColumn(out, F.col(_POSITION) + 1).drop(_POSITION)
-    rows = materialize(rows)
     names = [f"_g{i}" for i in range(len(group))]
     first = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)]).agg(F.min(_POSITION).alias("_first"))
     same = [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)]
@@ -129,21 +125,29 @@ def previous_in_level(df: DataFrame, group: Sequence[str], level: str, order: Se
                  .drop("_first", "_carry"))
 
 
-def carried_last(df: DataFrame, group: Sequence[str], keys: Sequence[Column], value: Column, out: str) -> DataFrame:
-    """``last(value, ignorenulls)`` over rows up to the current one, ordered
-    by ``keys`` within each group, carried across range parts.
-    For "next" semantics pass negated keys."""
+def surrounding(df: DataFrame, group: Sequence[str], keys: Sequence[Column], value: Column, before: str,
+                after: str) -> DataFrame:
+    """For every row, ordered by ``keys`` within its group: the last non-null
+    ``value`` up to it and the first non-null one from it on.
+
+    Both come from one range write; what a part needs from the parts on either
+    side is carried from a summary of one row per (group, part).
+    """
     group = list(group)
     names = [f"_k{i}" for i in range(len(keys))]
     d = df.withColumn("_v", value)
     for name, k in zip(names, keys):
         d = d.withColumn(name, k)
     parts = range_parts(d, group, names)
-    block = Window.partitionBy(*group, PART).orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
-    local = parts.withColumn(out, F.last("_v", ignorenulls=True).over(block))
-    summary = parts.groupBy(*group, PART).agg(
-        F.max_by(F.col("_v"), F.when(F.col("_v").isNotNull(), F.struct(*names))).alias("_plast"))
-    carry = _carried(summary, group, {"_carry": lambda w: F.last("_plast", ignorenulls=True).over(w)})
-    return (local.join(carry.select(*group, PART, "_carry"), [*group, PART], "left")
-                 .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
-                 .drop("_carry", "_v", PART, *names))
+    block = Window.partitionBy(*group, PART).orderBy(*names)
+    local = (parts.withColumn(before, F.last("_v", ignorenulls=True).over(block.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn(after, F.first("_v", ignorenulls=True).over(block.rowsBetween(0, Window.unboundedFollowing))))
+    place = F.when(F.col("_v").isNotNull(), F.struct(*names))
+    ends = parts.groupBy(*group, PART).agg(F.max_by("_v", place).alias("_plast"), F.min_by("_v", place).alias("_pfirst"))
+    over = Window.partitionBy(*group).orderBy(PART)
+    carry = ends.select(
+        *group, PART, F.last("_plast", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_b"),
+        F.first("_pfirst", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_a"))
+    return (local.join(carry, [*group, PART], "left")
+            .withColumn(before, F.coalesce(before, "_b")).withColumn(after, F.coalesce(after, "_a"))
+            .drop("_v", "_a", "_b", PART, *names))

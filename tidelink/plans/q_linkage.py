@@ -50,23 +50,29 @@ def samples_with_offset(spark, sf_dir):
     return L.offset_from_start(B.samples(spark, sf_dir))
 
 
-def limits(spark, sf_dir):
-    s = B.samples(spark, sf_dir)
-    return s.groupBy("id_recording", "participant").agg(F.min("t").alias("t_min"), F.max("t").alias("t_max"))
+def index(spark, sf_dir, bucket_seconds=L.BUCKET_SECONDS):
+    """The samples' time index, which the lake keeps beside them."""
+    return stage(spark, sf_dir, f"index-{bucket_seconds}", lambda: L.occupancy(
+        B.samples(spark, sf_dir), bucket_seconds=bucket_seconds, constants=["participant"]))
 
 
-def links(spark, sf_dir):
+def limits(spark, sf_dir, bucket_seconds=L.BUCKET_SECONDS):
+    return L.index_limits(index(spark, sf_dir, bucket_seconds), "id_recording", "participant")
+
+
+def links(spark, sf_dir, bucket_seconds=L.BUCKET_SECONDS):
     """(id_recording, id_mirage, id_participant, start, end) by containment."""
     w = windows(spark, sf_dir).select(F.col("mirage_pid").alias("participant"),
                                       F.col("id").alias("id_mirage"), "start", "end")
-    return (L.contained_in(limits(spark, sf_dir), w, ["participant"])
+    return (L.contained_in(limits(spark, sf_dir, bucket_seconds), w, ["participant"])
              .select("id_recording", "id_mirage", F.col("participant").alias("id_participant"),
                      "start", "end"))
 
 
-def linked(spark, sf_dir):
+def linked(spark, sf_dir, bucket_seconds=L.BUCKET_SECONDS):
     """L4: links with the sample times/offsets at both window edges."""
-    return stage(spark, sf_dir, "linked", lambda: C.edge_samples(links(spark, sf_dir), samples_with_offset(spark, sf_dir)))
+    return stage(spark, sf_dir, f"linked-{bucket_seconds}", lambda: C.edge_samples(
+        links(spark, sf_dir, bucket_seconds), B.samples(spark, sf_dir), index(spark, sf_dir, bucket_seconds), bucket_seconds))
 
 
 @query("recording_limits", with_ctes(B.SAMPLES_SQL, final="""
@@ -111,7 +117,7 @@ def q_link_recordings(spark, sf_dir):
 @query("asof_bucketed", with_ctes(*link_ctes(), final="SELECT * FROM linked"))
 def q_asof_bucketed(spark, sf_dir):
     """L4 with buckets of an hour."""
-    return C.edge_samples(links(spark, sf_dir), samples_with_offset(spark, sf_dir), bucket_seconds=3600)
+    return linked(spark, sf_dir, 3600)
 
 
 # a recording belongs to the session of its first sample's event
@@ -152,7 +158,8 @@ def q_resolve_links(spark, sf_dir):
 def q_link_by_sessions(spark, sf_dir):
     """L4 whole: limits, session windows (J5) and as-of at both edges."""
     recordings, windows_of = session_tables(spark, sf_dir)
-    return C.link_recordings(B.samples(spark, sf_dir), recordings, windows_of, windows(spark, sf_dir))
+    return C.link_recordings(B.samples(spark, sf_dir), recordings, windows_of, windows(spark, sf_dir),
+                             index=index(spark, sf_dir))
 
 
 # --- second device: tolerance and nearest matches -------------------------

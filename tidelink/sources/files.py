@@ -1,9 +1,10 @@
 """Raw-file sources: listing (S1), marker CSV (S2), header scans (S3, S9),
 sample ingest (S4, S5), EDA lengths (S10), manifests (S12).
 
-Only the header scan touches Python: a task reads the first few KB of each
-file (``pyarrow.fs``, so local, HDFS and object-store paths all work) and
-returns raw lines; every field is then parsed with native expressions.
+Files are opened inside tasks (``pyarrow.fs``, so local, HDFS and object-store
+paths all work): the header scan reads the first few KB of each, the sample
+and marker readers byte ranges (see ``splits``). What they return is text;
+every field is then parsed with native expressions.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelink.functions.timefn import epoch_auto, local_to_utc
+from tidelink.sources.splits import greatest_first_field, open_file, read_columns
 
 # Fixed values that must equal the reference's: file kinds, header lines.
 ECG_SUFFIX = r"ecg\.csv$"                 # case-sensitive; paths with ';' are skipped
@@ -37,7 +39,7 @@ MARKER_COLUMNS = {"id": "id", "participantID": "mirage_pid", "lang": "lang", "ma
                   "utc_app": "timecode_utc"}
 
 HASH_CHUNK = 1 << 20
-HEAD_SCHEMA = "path string, lineno int, line string"
+HEAD_SCHEMA = "path string, length long, lineno int, line string"
 
 
 def discover_files(spark: SparkSession, root: str) -> DataFrame:
@@ -54,28 +56,28 @@ def discover_files(spark: SparkSession, root: str) -> DataFrame:
 
 def _head_reader(n_lines: int, comment: str | None):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as pafs
         for b in batches:
             for path in b["path"]:
-                rows = []
+                rows, size = [], None
                 try:
-                    fs, p = pafs.FileSystem.from_uri(path)
-                    with fs.open_input_stream(p) as f:
+                    with open_file(path) as f:
+                        size = f.size()
                         for no, line in enumerate(io.TextIOWrapper(f, encoding="utf-8", errors="replace"), 1):
                             header = comment is not None and not line.startswith(comment)
                             if no <= n_lines or header:
-                                rows.append((path, no, line.rstrip("\r\n")))
+                                rows.append((path, size, no, line.rstrip("\r\n")))
                             if header or (comment is None and no >= n_lines):
                                 break
-                    rows = rows or [(path, 0, None)]       # empty
+                    rows = rows or [(path, size, 0, None)]       # empty
                 except (OSError, ValueError):
-                    rows = [(path, -1, None)]              # unreadable
-                yield pd.DataFrame(rows, columns=["path", "lineno", "line"])
+                    rows = [(path, size, -1, None)]              # unreadable
+                yield pd.DataFrame(rows, columns=["path", "length", "lineno", "line"])
     return read
 
 
 def head_lines(paths: DataFrame, n_lines: int, comment: str | None = None) -> DataFrame:
-    """The first ``n_lines`` lines of every file in ``paths.path``.
+    """The first ``n_lines`` lines of every file in ``paths.path``, with the
+    file's length.
 
     With ``comment``, the first line that does not start with it (the column
     header) is returned too, however far down, and nothing after it is read.
@@ -87,35 +89,12 @@ def _columns(header: Column) -> Column:
     return F.transform(F.split(header, ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
 
 
-def read_by_name(spark: SparkSession, heads: DataFrame, names: dict[str, str], comment: str | None = None) -> DataFrame:
-    """Rows of the CSV files in ``heads`` (path, columns) with the named
-    columns as text, plus the path: {name in the file: name in the result}.
-
-    Each file's own header says where its columns are, so files may order
-    them differently and have others. Only the files in ``heads`` are opened.
-    """
-    files = heads.select("path", F.size("columns").alias("n")).distinct().collect()  # a row a file, as in the listing
-    if not files:
-        return spark.createDataFrame([], ", ".join(["path string", *[f"{n} string" for n in names.values()]]))
-    width = max(r["n"] for r in files)
-    reader = spark.read.schema(", ".join(f"c{k} string" for k in range(width))).option("header", True)
-    # a row shorter or longer than the widest file's keeps its place: missing fields are null
-    reader = reader.option("mode", "PERMISSIVE").option("enforceSchema", True)
-    if comment:
-        reader = reader.option("comment", comment)
-    raw = reader.csv([r["path"] for r in files]).withColumn("path", F.col("_metadata.file_path"))
-    cells = F.array(*[F.col(f"c{k}") for k in range(width)])
-    joined = raw.join(heads.select("path", "columns"), "path")
-    return joined.select("path", *[
-        F.get(cells, F.array_position("columns", F.lit(src)).cast("int") - 1).alias(dst) for src, dst in names.items()])
-
-
 def _dirname(p: Column) -> Column:
     return F.regexp_replace(p, "/[^/]*$", "")
 
 
 def recording_header_scan(paths: DataFrame, quarantine: bool = False):
-    """S3: header facts per ECG file: id, id_session, path, sequence,
+    """S3: header facts per ECG file: id, id_session, path, length, sequence,
     device_id, time_col, tz, sampling_rate, columns. Unreadable/empty files and
     files without a known time column go to quarantine (with a reason)."""
     heads = head_lines(paths, ECG_HEADER_LINES, comment="#")
@@ -123,6 +102,7 @@ def recording_header_scan(paths: DataFrame, quarantine: bool = False):
     pre = ln.startswith(HEADER_PREFIX) & (F.col("lineno") <= ECG_HEADER_LINES)
     data_line = ln.isNotNull() & ~ln.startswith("#")
     agg = heads.groupBy("path").agg(
+        F.max("length").alias("length"),
         F.max(F.when(pre & ln.rlike("^# Sampling"), F.regexp_extract(ln, SAMPLING, 1))).alias("_rate"),
         F.max(F.when(pre & ln.rlike("^# Export timezone:"), F.regexp_extract(ln, EXPORT_TZ, 1))).alias("tz"),
         F.max(F.when(pre & ln.rlike(DEVICE_LINE),
@@ -136,7 +116,7 @@ def recording_header_scan(paths: DataFrame, quarantine: bool = False):
         time_col = F.when(F.array_contains(cols, c), F.lit(c)).otherwise(time_col)
     seq = F.regexp_extract(F.col("path"), SEQUENCE, 1)
     meta = agg.select(
-        F.md5("path").alias("id"), F.md5(_dirname(F.col("path"))).alias("id_session"), "path",
+        F.md5("path").alias("id"), F.md5(_dirname(F.col("path"))).alias("id_session"), "path", "length",
         F.when(seq != "", seq.cast("int")).otherwise(F.lit(1)).alias("sequence"),
         "device_id", time_col.alias("time_col"), F.nullif(F.col("tz"), F.lit("")).alias("tz"),
         F.col("_rate").try_cast("int").alias("sampling_rate"), cols.alias("columns"),
@@ -153,10 +133,9 @@ def read_marker_events(spark: SparkSession, root: str, quarantine: bool = False)
     The ms epoch is read as long (text order = numeric order, N1). Rows whose
     epoch is no whole number go to quarantine.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
                   .where(F.col("path").rlike(MARKER_SUFFIX)))
-    heads = head_lines(files, 1).where("lineno = 1").select("path", _columns(F.col("line")).alias("columns"))
-    rows = read_by_name(spark, heads, MARKER_COLUMNS)
+    rows = read_columns(files, MARKER_COLUMNS)
     epoch = F.col("timecode_utc").try_cast("long")
     good = rows.where(epoch.isNotNull()).withColumn("timecode_utc", epoch).drop("path")
     if not quarantine:
@@ -165,29 +144,29 @@ def read_marker_events(spark: SparkSession, root: str, quarantine: bool = False)
 
 
 def ingest_samples(spark: SparkSession, meta: DataFrame, id_col: str = "id", quarantine: bool = False):
-    """S4 + S5: read the ECG files of ``meta`` and return (id_recording, t UTC,
-    ecg, ecg_mV). Files not in ``meta`` are not opened.
-
-    Each file's header (from the header scan) names its columns:
-    ``local_time`` is wall clock in the file's zone, ``timestamp`` is epoch
-    seconds or ms decided per row (year > 3000 as seconds means ms). A row
-    whose time cannot be read goes to quarantine; a value that cannot be read
-    is null.
+    """S4 + S5: read the ECG files of ``meta`` and return (id_recording, id,
+    t UTC, ecg, ecg_mV). Files not in ``meta`` are not opened; each byte range
+    of the others is opened once, head and rows.
+
+    Each file's header names its columns: ``local_time`` is wall clock in the
+    file's zone, ``timestamp`` is epoch seconds or ms decided per row (year >
+    3000 as seconds means ms). ``id`` numbers the rows of a recording's file.
+    A row whose time cannot be read goes to quarantine; a value that cannot be
+    read is null.
     """
     names = {"timestamp": "_epoch", "local_time": "_local", "ecg": "ecg", "ecg_mV": "ecg_mV"}
-    raw = read_by_name(spark, meta.select("path", "columns"), names, comment="#")
-    facts = meta.select(F.col(id_col).alias("id_recording"), "path", "time_col", "tz")
-    rows = raw.join(facts, "path")
+    files = meta.select(F.col(id_col).alias("id_recording"), "path", "length", "time_col", "tz")
+    rows = read_columns(files, names, comment="#", row_number="id")
     t = (F.when(F.col("time_col") == "local_time",
                 local_to_utc(F.try_to_timestamp(F.col("_local")), F.coalesce(F.col("tz"), F.lit("UTC"))))
           .otherwise(epoch_auto(F.col("_epoch").try_cast("double"))))
-    rows = rows.select("id_recording", t.alias("t"), F.col("ecg").try_cast("double").alias("ecg"),
+    rows = rows.select("id_recording", "id", t.alias("t"), F.col("ecg").try_cast("double").alias("ecg"),
                        F.col("ecg_mV").try_cast("double").alias("ecg_mV"), "path",
                        F.coalesce("_local", "_epoch").alias("time_text"))
     good = rows.where(F.col("t").isNotNull()).drop("path", "time_text")
     if not quarantine:
         return good
-    bad = rows.where(F.col("t").isNull()).select("id_recording", "path", "time_text", F.lit("unreadable time").alias("reason"))
+    bad = rows.where(F.col("t").isNull()).select("id_recording", "id", "path", "time_text", F.lit("unreadable time").alias("reason"))
     return good, bad
 
 
@@ -199,6 +178,7 @@ def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):
     heads = head_lines(paths, EDA_HEADER_LINES)
     ln, no = F.col("line"), F.col("lineno")
     agg = heads.groupBy("path").agg(
+        F.max("length").alias("length"),
         F.max(F.when(no == 1, ln)).alias("_l1"), F.max(F.when(no == 4, ln)).alias("_l4"),
         F.min(F.when(no.isin(*EDA_DATA_HEADER_LINES) & (F.substring(ln, 1, 6) == EDA_DATA_HEADER), no))
          .alias("data_header_line"))
@@ -208,7 +188,7 @@ def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):
     first = F.split(rel, "/")[0]
     rescat = F.regexp_replace(F.regexp_replace(first, r"^([0-9_]+)\..*", "$1"), "_", "").try_cast("int")
     meta = agg.select(
-        "path", device.alias("device"),
+        "path", "length", device.alias("device"),
         F.regexp_replace(F.regexp_extract(F.col("path"), r"([^/]*)$", 1), r"\.csv$", "").alias("mirage_pid"),
         rescat.alias("rescat"), F.get(F.split(F.col("_l4"), ";"), 1).alias("start_text"),
         "data_header_line")
@@ -221,17 +201,11 @@ def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):
     return good, bad
 
 
-def eda_lengths(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Greatest SECOND value per file; ';'-delimited, first decimal
-    comma becomes a point. Data rows are the number-like first fields."""
-    r = spark.read
-    if isinstance(paths, str):
-        r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
-    txt = r.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
-    first = F.regexp_replace(F.split(F.col("value"), ";")[0], "^([^,]*),", "$1.")
-    secs = first.try_cast("float")
-    return txt.select("path", secs.alias("_s")).where(F.col("_s").isNotNull()) \
-              .groupBy("path").agg(F.max("_s").alias("length_secs"))
+def eda_lengths(heads: DataFrame) -> DataFrame:
+    """Greatest SECOND value of each file of an EDA header scan (path,
+    length, data_header_line): of the rows behind the data header only, so a
+    number in the preamble is no length."""
+    return greatest_first_field(heads, "data_header_line", out="length_secs")
 
 
 def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:

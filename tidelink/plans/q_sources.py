@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from tidelink.functions.timefn import add_seconds
 from tidelink.operators.reshape import month_partitions, unpivot_non_null
 from tidelink.plans import bindings as B
+from tidelink.plans.q_events import windows
 from tidelink.plans.rawfiles import ZONES, faulty_root, raw_root
-from tidelink.plans.registry import query
-from tidelink.plans.sqlparts import with_ctes
+from tidelink.plans.registry import query, stage
+from tidelink.plans.sqlparts import marker_windows_ctes, with_ctes
 from tidelink.session import scratch_dir
 from tidelink.sources import files as S
 from tidelink.sources import lake as LK
@@ -29,7 +30,8 @@ ecg_rows AS (
            CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS id_recording,
          CASE WHEN user_id % 2 = 0 OR event_id % 2 = 0 THEN ts
               ELSE make_timestamp((epoch_us(ts) // 1000) * 1000) END AS t,
-         value AS ecg, user_id
+         CAST(row_number() OVER (PARTITION BY user_id, date_trunc('week', ts) ORDER BY ts, event_id) AS BIGINT) AS id,
+         value AS ecg, value / 1000 AS "ecg_mV", user_id
   FROM events WHERE event_type IN ({_TYPES}))"""
 
 
@@ -44,8 +46,11 @@ def listing(spark, sf_dir):
 
 
 def ecg_meta(spark, sf_dir):
-    ecg = listing(spark, sf_dir).where(F.col("kind") == "ecg")
-    return S.recording_header_scan(ecg).withColumn("id", _rec_id_of(F.col("path")))
+    """Header facts of all ECG files, scanned once for all that a query reads."""
+    def scan():
+        ecg = listing(spark, sf_dir).where(F.col("kind") == "ecg")
+        return S.recording_header_scan(ecg).withColumn("id", _rec_id_of(F.col("path")))
+    return stage(spark, sf_dir, "ecg_meta", scan)
 
 
 @query("discover_files", with_ctes(RAW_ECG_SQL, final=f"""
@@ -79,26 +84,25 @@ def samples_raw(spark, sf_dir):
 
 
 @query("ingest_local_time", with_ctes(RAW_ECG_SQL, final="""
-SELECT id_recording, t, ecg FROM ecg_rows WHERE user_id % 2 = 0"""))
+SELECT id_recording, id, t, ecg, "ecg_mV" FROM ecg_rows WHERE user_id % 2 = 0"""))
 def q_ingest_local_time(spark, sf_dir):
     """Wall-clock files converted to UTC with each file's zone."""
     m = ecg_meta(spark, sf_dir)
-    s = S.ingest_samples(spark, m.where(F.col("time_col") == "local_time"))
-    return s.select("id_recording", "t", "ecg")
+    return S.ingest_samples(spark, m.where(F.col("time_col") == "local_time"))
 
 
 @query("ingest_epoch", with_ctes(RAW_ECG_SQL, final="""
-SELECT id_recording, t, ecg FROM ecg_rows WHERE user_id % 2 = 1"""))
+SELECT id_recording, id, t, ecg, "ecg_mV" FROM ecg_rows WHERE user_id % 2 = 1"""))
 def q_ingest_epoch(spark, sf_dir):
     """Epoch files; seconds or milliseconds decided per row."""
     m = ecg_meta(spark, sf_dir)
-    s = S.ingest_samples(spark, m.where(F.col("time_col") == "timestamp"))
-    return s.select("id_recording", "t", "ecg")
+    return S.ingest_samples(spark, m.where(F.col("time_col") == "timestamp"))
 
 
+LAKE_COLUMNS = ("id_recording", "id", "t", "ecg", "ecg_mV", "offset_secs")
 LAKE_SQL = """
 lake AS (
-  SELECT id_recording, t, ecg,
+  SELECT id_recording, id, t, ecg, "ecg_mV",
          (epoch_us(t) - min(epoch_us(t)) OVER (PARTITION BY id_recording)) // 1000 / 1000 AS offset_secs,
          CAST(year(min(t) OVER (PARTITION BY id_recording)) AS INTEGER) AS year,
          CAST(month(min(t) OVER (PARTITION BY id_recording)) AS INTEGER) AS month
@@ -110,16 +114,16 @@ def q_write_lake(spark, sf_dir):
     """S6 + W1: ingest all ECG files, write the year/month lake, read it back."""
     root = scratch_dir(spark, "lake")
     LK.write_lake(samples_raw(spark, sf_dir), root)
-    return spark.read.parquet(root).select("id_recording", "t", "ecg", "offset_secs", "year", "month")
+    return spark.read.parquet(root).select(*LAKE_COLUMNS, "year", "month")
 
 
 @query("read_lake_partition", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="""
-SELECT id_recording, t, ecg, offset_secs FROM lake WHERE year = 2024 AND month = 1"""))
+SELECT id_recording, id, t, ecg, "ecg_mV", offset_secs FROM lake WHERE year = 2024 AND month = 1"""))
 def q_read_lake_partition(spark, sf_dir):
     """One month of the lake; the month filter prunes partitions."""
     root = scratch_dir(spark, "lake")
     LK.write_lake(samples_raw(spark, sf_dir), root)
-    return LK.read_lake_partition(spark, root, 2024, 1).select("id_recording", "t", "ecg", "offset_secs")
+    return LK.read_lake_partition(spark, root, 2024, 1).select(*LAKE_COLUMNS)
 
 
 @query("incremental_ingest", with_ctes(RAW_ECG_SQL, final="""
@@ -154,9 +158,8 @@ def eda_read(spark, sf_dir):
     """S9 + S10 + P8a: EDA header facts, lengths and zone candidates."""
     root = raw_root(spark, sf_dir) + "/eda"
     files = listing(spark, sf_dir).where(F.col("kind") == "csv")
-    heads = S.eda_header_scan(files, root)
-    lens = S.eda_lengths(spark, root)
-    meta = heads.join(lens, "path")
+    heads = stage(spark, sf_dir, "eda_heads", lambda: S.eda_header_scan(files, root))
+    meta = heads.join(S.eda_lengths(heads), "path")
     local = F.to_timestamp(F.col("start_text"), S.EDA_TIME_FORMAT)
     wide = meta.select("path", "device", "mirage_pid", "rescat", "length_secs",
                        *[F.to_utc_timestamp(local, z).alias(f"start_time_{k}") for k, z in B.EDA_ZONES.items()])
@@ -180,8 +183,8 @@ def q_read_eda_meta(spark, sf_dir):
 @query("eda_length", with_ctes(RAW_EDA_SQL, final="SELECT mirage_pid, length_secs FROM eda_expect"))
 def q_eda_length(spark, sf_dir):
     """Greatest SECOND value per EDA file."""
-    root = raw_root(spark, sf_dir) + "/eda"
-    lens = S.eda_lengths(spark, root)
+    files = listing(spark, sf_dir).where(F.col("kind") == "csv")
+    lens = S.eda_lengths(S.eda_header_scan(files, raw_root(spark, sf_dir) + "/eda"))
     return lens.select(F.regexp_extract("path", r"/(\d{5})\.csv$", 1).alias("mirage_pid"), "length_secs")
 
 
@@ -196,6 +199,36 @@ def q_file_manifest(spark, sf_dir):
     return m.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "length", "md5")
 
 
+@query("lake_time_index", with_ctes(RAW_ECG_SQL, final="""
+SELECT id_recording, epoch_us(t) // 60000000 AS bucket, min(t) AS first_t, max(t) AS last_t
+FROM ecg_rows GROUP BY 1, 2"""))
+def q_lake_time_index(spark, sf_dir):
+    """The first and last time of every occupied minute of a recording, kept beside the lake."""
+    root = scratch_dir(spark, "lake")
+    LK.write_lake(samples_raw(spark, sf_dir), root)
+    return LK.lake_index(spark, root).select("id_recording", "bucket", "first_t", "last_t")
+
+
+@query("month_filter", with_ctes(*marker_windows_ctes(), final=f"""
+SELECT id, mirage_pid, start, "end" FROM windows
+WHERE date_trunc('month', timezone('{LK.STUDY_ZONE}', timezone('UTC', start))) = DATE '2024-01-01'"""))
+def q_month_filter(spark, sf_dir):
+    """P3d: marker windows that start in January 2024 by the study's calendar."""
+    found = LK.month_filter(windows(spark, sf_dir), "start", 2024, 1)
+    return found.select("id", "mirage_pid", "start", "end")
+
+
+@query("read_lake_month", with_ctes(RAW_ECG_SQL, LAKE_SQL, f"""
+begins AS (
+  SELECT id_recording, timezone('{LK.STUDY_ZONE}', timezone('UTC', min(t))) AS wall FROM ecg_rows GROUP BY 1)""", final="""
+SELECT lake.* FROM lake JOIN begins USING (id_recording) WHERE year(wall) = 2024 AND month(wall) = 1"""))
+def q_read_lake_month(spark, sf_dir):
+    """P3d + S8: recordings that begin in January 2024 by the study's calendar."""
+    root = scratch_dir(spark, "lake")
+    LK.write_lake(samples_raw(spark, sf_dir), root)
+    return LK.read_lake_month(spark, root, 2024, 1).select(*LAKE_COLUMNS, "year", "month")
+
+
 @query("month_partitions", """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
        count(DISTINCT o_orderkey) AS n_ids, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id
@@ -225,7 +258,7 @@ def q_incremental_ingest_stream(spark, sf_dir):
     q = stream_ecg_to_lake(spark, raw_root(spark, sf_dir) + "/ecg", lake, ckpt,
                            recording_id=_rec_id_of)
     q.awaitTermination()
-    return spark.read.parquet(lake).select("id_recording", "t", "ecg", "offset_secs", "year", "month")
+    return spark.read.parquet(lake).select(*LAKE_COLUMNS, "year", "month")
 
 
 @query("recordings_with_lake", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="""
@@ -238,13 +271,13 @@ def q_recordings_with_lake(spark, sf_dir):
     return out["recordings"].select("id", "year", "month")
 
 
-@query("ingest_recordings", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="SELECT id_recording, t, ecg, year, month FROM lake"))
+@query("ingest_recordings", with_ctes(RAW_ECG_SQL, LAKE_SQL, final="SELECT * FROM lake"))
 def q_ingest_recordings(spark, sf_dir):
     """The whole ingest run twice over the same files; the second run adds nothing."""
     lake = scratch_dir(spark, "lake")
     for _ in range(2):
         ingest_recordings(spark, raw_root(spark, sf_dir), lake, recording_id=_rec_id_of)
-    return spark.read.parquet(lake).select("id_recording", "t", "ecg", "year", "month")
+    return spark.read.parquet(lake).select(*LAKE_COLUMNS, "year", "month")
 
 
 # --- data-quality checks over faulty files and clocks --------------

@@ -1,8 +1,7 @@
 """Raw study-shaped files derived from the tables (inputs of S1-S12).
 
 A distributed writer: lines are shuffled by file name, sorted, and each
-task writes its files whole with ``pyarrow.fs`` (exact names, any file
-system). The root is a fresh folder under the shared checkpoint folder.
+task streams its files with ``pyarrow.fs`` (exact names, any file system). The root is a fresh folder under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelink.plans import bindings as B
@@ -25,28 +24,33 @@ def _write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import os
 
     from pyarrow import fs as pafs
-    out = []
+    name, out, n = None, None, 0
     for b in batches:
+        # a file's lines follow each other, over as many batches as they take
         for f, g in b.groupby("file", sort=False):
-            fs, p = pafs.FileSystem.from_uri(f)
-            fs.create_dir(os.path.dirname(p), recursive=True)
-            data = ("\n".join(g["line"].tolist()) + "\n").encode()
-            # a file's lines are contiguous in the sorted partition; a file
-            # split across two Arrow batches is appended to
-            mode = "a" if out and out[-1][0] == f else "w"
-            if mode == "a":
-                with fs.open_input_stream(p) as r:
-                    data = r.read() + data
-            with fs.open_output_stream(p) as w:
-                w.write(data)
-            out.append((f, len(g)))
-    yield pd.DataFrame(out, columns=["file", "n_lines"])
+            if f != name:
+                if out:
+                    out.close()
+                    yield pd.DataFrame([(name, n)], columns=["file", "n_lines"])
+                fs, p = pafs.FileSystem.from_uri(f)
+                fs.create_dir(os.path.dirname(p), recursive=True)
+                name, out, n = f, fs.open_output_stream(p), 0
+            out.write(("\n".join(g["line"].tolist()) + "\n").encode())
+            n += len(g)
+    if out:
+        out.close()
+        yield pd.DataFrame([(name, n)], columns=["file", "n_lines"])
 
 
 def write_text_files(lines: DataFrame, parts: int | None = None) -> int:
-    """Write (file, lineno, line) rows as text files; returns the line count."""
+    """Write (file, lineno, line) rows as text files; returns the line count.
+
+    Rows of one line number follow in the order of ``at`` and ``seq``, where
+    given. Each file is streamed by one task.
+    """
     n = parts or lines.sparkSession.sparkContext.defaultParallelism
-    res = (lines.repartition(n, "file").sortWithinPartitions("file", "lineno")
+    order = ["file", "lineno", *[c for c in ("at", "seq") if c in lines.columns]]
+    res = (lines.repartition(n, "file").sortWithinPartitions(*order)
                 .select("file", "line").mapInPandas(_write, "file string, n_lines long"))
     return res.agg(F.sum("n_lines")).first()[0] or 0
 
@@ -79,8 +83,7 @@ def ecg_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
                      F.concat_ws(",", tval, F.col("value").cast("string"),
                                  (F.col("value") / 1000).cast("string")).alias("line"),
                      F.col("ts"), F.col("event_id"))
-    data = rows.select("file", (F.lit(10) + F.row_number().over(
-        Window.partitionBy("file").orderBy("ts", "event_id"))).cast("long").alias("lineno"), "line")
+    data = rows.select("file", F.lit(10).cast("long").alias("lineno"), "line", F.col("ts").alias("at"), F.col("event_id").alias("seq"))
     heads = rows.select("file", "tz", "local", "user_id").distinct()
     pre = heads.select("file", F.explode(F.array(
         _ln(1, "# Sampling: 1.0s (1000 Hz)"),
@@ -88,7 +91,7 @@ def ecg_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
         _ln(3, F.concat(F.lit("# Device: BG"), F.lpad(F.col("user_id").cast("string"), 8, "0"))),
         _ln(4, F.when(F.col("local"), F.lit("local_time,ecg,ecg_mV")).otherwise(F.lit("timestamp,ecg,ecg_mV")))
     )).alias("l")).select("file", "l.lineno", "l.line")
-    return pre.unionByName(data)
+    return pre.unionByName(data, allowMissingColumns=True)
 
 
 def marker_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
@@ -111,24 +114,23 @@ def eda_lines(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     f = F.concat_ws("/", F.lit(root), F.lit("eda"), F.concat(B.category_of().cast("string"), F.lit(".eda")),
                     week, F.concat(_pid(), F.lit(".csv")))
     e = ev.select(f.alias("file"), "user_id", "ts", "event_id")
-    w = Window.partitionBy("file")
-    e = e.withColumn("_t0", F.min("ts").over(w))
+    heads = e.groupBy("file", "user_id").agg(F.min("ts").alias("_t0"))
+    e = e.join(heads.select("file", "_t0"), "file")
     cs = F.floor((F.unix_micros("ts") - F.unix_micros("_t0")) / 10000)   # whole centiseconds
     el_text = F.concat(F.floor(cs / 100).cast("string"), F.lit(","), F.lpad((cs % 100).cast("string"), 2, "0"))
     hdr = F.lit(28) + F.col("user_id") % 2
-    data = e.select("file", (hdr + F.row_number().over(w.orderBy("ts", "event_id"))).cast("long").alias("lineno"),
-                    F.concat(el_text, F.lit(";1;0")).alias("line"))
-    heads = e.groupBy("file", "user_id").agg(F.min("ts").alias("_t0"))
+    data = e.select("file", (hdr + 1).cast("long").alias("lineno"), F.concat(el_text, F.lit(";1;0")).alias("line"),
+                    F.col("ts").alias("at"), F.col("event_id").alias("seq"))
     fixed = [_ln(1, F.concat(F.lit("Device: ES"), F.lpad((F.col("user_id") % 7).cast("string"), 4, "0"),
                              F.lit(";v2"))),
              _ln(4, F.concat(F.lit("Start;"), F.date_format("_t0", "dd.MM.yy HH:mm:ss")))]
-    filler = [_ln(i, f"Param {i};0") for i in list(range(2, 4)) + list(range(5, 28))]
+    filler = [_ln(i, "999999;Hz" if i == 9 else f"Param {i};0") for i in list(range(2, 4)) + list(range(5, 28))]
     pre = heads.select("file", "user_id", "_t0", F.explode(F.array(*fixed, *filler)).alias("l")).select(
         "file", "user_id", "l.lineno", "l.line")
     extra = heads.where(F.col("user_id") % 2 == 1).select("file", F.lit(28).cast("long").alias("lineno"),
                                                           F.lit("Param 28;0").alias("line"))
     head = heads.select("file", hdr.cast("long").alias("lineno"), F.lit("SECOND;SC;X").alias("line"))
-    return pre.drop("user_id").unionByName(extra).unionByName(head).unionByName(data)
+    return pre.drop("user_id").unionByName(extra).unionByName(head).unionByName(data, allowMissingColumns=True)
 
 
 def raw_root(spark: SparkSession, sf_dir: str) -> str:
@@ -136,8 +138,8 @@ def raw_root(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ROOTS:
         root = scratch_dir(spark, "raw")
-        lines = (ecg_lines(spark, sf_dir, root).unionByName(marker_lines(spark, sf_dir, root))
-                 .unionByName(eda_lines(spark, sf_dir, root)))
+        lines = (ecg_lines(spark, sf_dir, root).unionByName(marker_lines(spark, sf_dir, root), allowMissingColumns=True)
+                 .unionByName(eda_lines(spark, sf_dir, root), allowMissingColumns=True))
         write_text_files(lines)
         _ROOTS[key] = root
     return _ROOTS[key]

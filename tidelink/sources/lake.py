@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelink.functions.timefn import offset_seconds
-from tidelink.operators.linkage import bucket_of
+from tidelink.operators.linkage import bucket_of, index_limits
 
 LEDGER_MARGIN_SECONDS = 2
 STUDY_ZONE = "Asia/Dhaka"   # fixed value from the reference: months are those of its calendar
@@ -149,15 +149,18 @@ def month_filter(df: DataFrame, t: str, year: int, month: int, zone: str = STUDY
     return df.where((F.col(t) >= first) & (F.col(t) < after))
 
 
-def read_lake_month(spark: SparkSession, root: str, year: int, month: int, zone: str = STUDY_ZONE, t: str = "t") -> DataFrame:
+def read_lake_month(spark: SparkSession, root: str, year: int, month: int, zone: str = STUDY_ZONE,
+                    key: str = "id_recording", t: str = "t") -> DataFrame:
     """P3d + S8: the recordings that begin in a month of the zone's calendar.
 
     The lake is laid out by the UTC month of a recording's first sample, so
-    only the one or two months that the zone's month touches are read.
+    only the one or two months that the zone's month touches are read; the
+    ledger's time index says when each recording begins.
     """
     first, after = month_bounds(year, month, zone)
     touched = sorted({(x.year, x.month) for x in (first, after - timedelta(microseconds=1))})
     layout = [(F.col("year") == y) & (F.col("month") == m) for y, m in touched]
-    rows = spark.read.parquet(root).where(layout[0] if len(layout) == 1 else layout[0] | layout[1])
-    begins = F.timestamp_micros(F.unix_micros(t) - F.round(F.col("offset_secs") * 1_000_000).cast("long"))
-    return month_filter(rows.withColumn("_begins", begins), "_begins", year, month, zone).drop("_begins")
+    layout = layout[0] if len(layout) == 1 else layout[0] | layout[1]
+    begins = index_limits(lake_index(spark, root, key, t).where(layout), key)
+    chosen = month_filter(begins, "t_min", year, month, zone).select(key)
+    return spark.read.parquet(root).where(layout).join(chosen, key, "left_semi")

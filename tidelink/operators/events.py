@@ -50,7 +50,8 @@ def _stack_levels(df: DataFrame, by: Sequence[str], root: str, kind: str, time:
 
 def pair_start_stop(df: DataFrame, by: Sequence[str], root: str, kind: str, time: str,
                     tiebreak: Sequence[str] = (), strict: bool = False,
-                    start_col: str = "start_t", end_col: str = "end_t") -> DataFrame:
+                    start_col: str = "start_t", end_col: str = "end_t",
+                    max_length: int | None = None) -> DataFrame:
     """LIFO pairing of start/stop events per (by, root), without a UDF.
 
     ``kind`` holds 'start' or 'stop'. Each stop closes the most recent open
@@ -58,26 +59,46 @@ def pair_start_stop(df: DataFrame, by: Sequence[str], root: str, kind: str, time
     (``strict=True`` raises instead, like the reference). At a given stack
     level starts and stops alternate, so a stop's partner is the previous
     event of its level (carried across range parts for hot participants).
+
+    With ``max_length`` (in units of ``time``) an open start expires when it
+    gets older than that; a stop that finds only expired starts is an orphan.
+    Starts expire from the bottom of the stack, so a stop's partner is the
+    same start with and without expiry unless that one has expired, and then
+    all below it have: the pairing is the plain one without its long pairs,
+    and range parts need not pass on their stacks.
     """
     keys = list(by) + [root]
     lv = _stack_levels(df, by, root, kind, time, tiebreak)
+    paired = _paired_stops(lv, keys, kind, time, tiebreak)
+    expired = F.lit(False) if max_length is None else F.col(time) - F.col("_prev") > max_length
     if strict:
-        n_orphans = lv.where("_orphan").count()
+        lost = lv.where("_orphan").select(*keys, time)
+        if max_length is not None:
+            lost = lost.unionByName(paired.where(expired).select(*keys, time))
+        lost = materialize(lost)
+        n_orphans = lost.count()
         if n_orphans:
-            ex = [r.asDict() for r in lv.where("_orphan").select(*keys, time).limit(5).collect()]
+            ex = [r.asDict() for r in lost.limit(5).collect()]
             raise OrphanStopError(f"{n_orphans} stop markers without an open start, e.g. {ex}")
-    ok = lv.where(~F.col("_orphan"))
-    paired = previous_in_level(ok, keys, "_level", _order(time, tiebreak), time, "_prev") \
-        .where(F.col(kind) == "stop")
-    return paired.select(*keys, F.col("_prev").alias(start_col), F.col(time).alias(end_col))
+    return paired.where(~expired).select(*keys, F.col("_prev").alias(start_col), F.col(time).alias(end_col))
+
+
+def _paired_stops(levels: DataFrame, keys: Sequence[str], kind: str, time: str, tiebreak: Sequence[str]) -> DataFrame:
+    """Stops that close a start, with its time as ``_prev``."""
+    ok = levels.where(~F.col("_orphan"))
+    return previous_in_level(ok, keys, "_level", _order(time, tiebreak), time, "_prev").where(F.col(kind) == "stop")
 
 
 def orphan_stops(df: DataFrame, by: Sequence[str], root: str, kind: str, time: str,
-                 tiebreak: Sequence[str] = ()) -> DataFrame:
-    """dq_orphan_stop: the stops the reference would abort on (quarantine)."""
+                 tiebreak: Sequence[str] = (), max_length: int | None = None) -> DataFrame:
+    """dq_orphan_stop: the stops the reference would abort on (quarantine);
+    with ``max_length`` also those whose start has expired."""
     lv = _stack_levels(df, by, root, kind, time, tiebreak)
-    return (lv.where("_orphan").drop("_s", "_m", "_m_prev", "_delta", "_part", "_orphan", "_level")
-              .withColumn("reason", F.lit("stop without open start")))
+    found = lv.where("_orphan").select(*df.columns, F.lit("stop without open start").alias("reason"))
+    if max_length is None:
+        return found
+    late = _paired_stops(lv, [*by, root], kind, time, tiebreak).where(F.col(time) - F.col("_prev") > max_length)
+    return found.unionByName(late.select(*df.columns, F.lit("open start has expired").alias("reason")))
 
 
 def split_marker(df: DataFrame, event: str = "event") -> DataFrame:
@@ -96,11 +117,11 @@ def prepare_marker_events(raw: DataFrame, pid: str = "mirage_pid") -> DataFrame:
 
 def windows_from_events(events: DataFrame, pid: str = "mirage_pid", event: str = "event",
                         time_ms: str = "timecode_utc", tiebreak: Sequence[str] = ("id",),
-                        strict: bool = False) -> DataFrame:
+                        strict: bool = False, max_seconds: float | None = None) -> DataFrame:
     """W9 on marker events: (pid, event root, start, end, length seconds)."""
     ev = split_marker(events.select(pid, event, time_ms, *tiebreak), event)
     pairs = pair_start_stop(ev, [pid], "root", "kind", time_ms, tiebreak, strict,
-                            "_start_ms", "_end_ms")
+                            "_start_ms", "_end_ms", None if max_seconds is None else int(max_seconds * 1000))
     return pairs.select(
         F.col(pid).alias("mirage_pid"), F.col("root").alias("event"),
         F.timestamp_millis("_start_ms").alias("start"),
@@ -125,14 +146,15 @@ def exclude_period(windows: DataFrame, event_name: str = BASELINE_EVENT,
 
 def marker_windows(raw_events: DataFrame, min_seconds: float = MIN_WINDOW_SECONDS,
                    exclude: tuple[str, str, str] | None = (BASELINE_EVENT, BASELINE_FROM, BASELINE_TO),
-                   strict: bool = False) -> DataFrame:
+                   strict: bool = False, max_seconds: float | None = None) -> DataFrame:
     """L1: raw marker rows -> numbered windows (mirage_pid, event, start, end, length, id).
 
     Ids follow (mirage_pid, start, end, event) and are assigned before the
-    exclusion, so excluded windows leave gaps, as in the reference.
+    exclusion, so excluded windows leave gaps, as in the reference. A start
+    stays open for ever, as there, unless ``max_seconds`` is given.
     """
     ev = prepare_marker_events(raw_events)
-    win = min_duration(windows_from_events(ev, strict=strict), min_seconds).distinct()
+    win = min_duration(windows_from_events(ev, strict=strict, max_seconds=max_seconds), min_seconds).distinct()
     # stage boundary: numbering reads the table twice (bucket sizes, rows)
     win = materialize(win.withColumn("_day", F.date_trunc("day", "start")))
     win = dense_ids(win, ["start", "end", "event"], bucket=["mirage_pid", "_day"]).drop("_day")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,34 @@ def refuse(bad: DataFrame, examples: int = 5) -> None:
         raise DataQualityError(f"{n} rows fail checks, e.g. {ex}")
 
 
+class Observed:
+    """Counts and one example of every failed check, collected while the rows
+    that are checked are written: strict mode without a second pass."""
+
+    def __init__(self, *reasons: str):
+        self.reasons, self._seen = reasons, Observation()
+
+    def on(self, df: DataFrame, reason: Column, example: Column) -> DataFrame:
+        """``df``, watched; ``reason`` is null for rows that are sound."""
+        metrics = []
+        for k, name in enumerate(self.reasons):
+            hit = reason == name
+            metrics += [F.count_if(hit).alias(f"n{k}"), F.min(F.when(hit, example.cast("string"))).alias(f"x{k}")]
+        return df.observe(self._seen, *metrics)
+
+    def counts(self) -> dict[str, int]:
+        """Failed rows by reason; waits for the write."""
+        got = self._seen.get
+        return {name: got[f"n{k}"] for k, name in enumerate(self.reasons)}
+
+    def refuse(self) -> None:
+        """Raise if a check has failed."""
+        got = self._seen.get
+        bad = [f"{got[f'n{k}']} x {name}, e.g. {got[f'x{k}']!r}" for k, name in enumerate(self.reasons) if got[f"n{k}"]]
+        if bad:
+            raise DataQualityError("rows fail checks: " + "; ".join(bad))
+
+
 def flag_membership(df: DataFrame, key: str, **sets: DataFrame) -> DataFrame:
     """One boolean column per named set: is ``key`` in the set's column?
 

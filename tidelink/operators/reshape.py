@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelink.operators.scan import ranked
+
 
 def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
@@ -22,7 +24,6 @@ def dense_ids(df: DataFrame, order: Sequence, bucket: Sequence[str] | None = Non
     id is a row's number in its part plus the sizes of the earlier parts. No
     window holds the table or a group of it, whatever their sizes.
     """
-    from tidelink.operators.scan import ranked
     return ranked(df, [], [*(bucket or []), *order], out=id_col)
 
 
@@ -163,3 +164,33 @@ def month_members(df: DataFrame, year: str = "year", month: str = "month",
     """The (year, month, id) membership in long form."""
     return (df.where(F.col(year).isNotNull() & F.col(month).isNotNull())
               .select(year, month, id_col).distinct())
+
+
+def first_by_priority(rows: DataFrame, by: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
+    """Per group the non-null ``value`` that comes first in ``order``;
+    groups without one are left out. A partial aggregation, no group is held."""
+    return rows.where(F.col(value).isNotNull()).groupBy(*by).agg(F.min_by(value, F.struct(*order)).alias(value))
+
+
+def fill_groups(df: DataFrame, by: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """In every row, ``columns`` become their group's first non-null value
+    in ``order``: an aggregate joined back, not a window over the group."""
+    first = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)]).agg(*[
+        F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_f{i}") for i, c in enumerate(columns)])
+    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(by)]
+    filled = {c: F.col(f"_f{i}") for i, c in enumerate(columns)}
+    return df.join(first, same, "left").select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+
+
+def first_seen_values(df: DataFrame, by: Sequence[str], columns: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The distinct non-null values of one or more columns of each group,
+    in the order in which they are first seen: by ``order`` (a total order of
+    a group's rows), then from the first column to the last.
+
+    A long table (by, position from 1, value): a group with any number of
+    values is rows, not one string.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).cast("string").alias("v")) for k, c in enumerate(columns)]))
+    seen = (df.select(*by, F.struct(*order).alias("_at"), cells.alias("_c")).where(F.col("_c.v").isNotNull())
+            .groupBy(*by, F.col("_c.v").alias("value")).agg(F.min(F.struct("_at", "_c.k")).alias("_at")))
+    return ranked(seen, by, ["_at"], "position").drop("_at")

@@ -62,6 +62,38 @@ def q_orphan_stops(spark, sf_dir):
              .select("mirage_pid", "root", "id", "timecode_utc"))
 
 
+OPEN_SECONDS = 2 * 86400  # how long a start stays open in the two keys below
+# a stop closes the latest start from which the starts and stops up to it balance
+BALANCED_SQL = f"""
+counted AS (
+  SELECT *, row_number() OVER w AS place, sum(CASE kind WHEN 'start' THEN 1 ELSE -1 END) OVER w AS height
+  FROM mk WINDOW w AS (PARTITION BY mirage_pid, root ORDER BY t, id)),
+opened AS (SELECT mirage_pid, root, height, place, t AS t0 FROM counted WHERE kind = 'start'),
+closed AS (SELECT mirage_pid, root, id, height + 1 AS height, place, t FROM counted WHERE kind = 'stop'),
+matched AS (
+  SELECT closed.*, t0, t - t0 <= {OPEN_SECONDS * 1000} AS open
+  FROM closed ASOF LEFT JOIN opened USING (mirage_pid, root, height, place))"""
+MARKS_SQL = PAIRS_SQL.split("run AS")[0].rstrip().rstrip(",")
+
+
+@query("pair_max_length", with_ctes(MARKER_EVENTS_SQL, PREPARED_SQL, MARKS_SQL, BALANCED_SQL, final="""
+SELECT mirage_pid, root AS event, epoch_ms(t0) AS start, epoch_ms(t) AS "end", (t - t0) / 1000.0 AS length
+FROM matched WHERE open"""))
+def q_pair_max_length(spark, sf_dir):
+    """W9 with an expiry (D10): a start stays open for two days at most."""
+    return E.windows_from_events(E.prepare_marker_events(B.marker_events(spark, sf_dir)), max_seconds=OPEN_SECONDS)
+
+
+@query("expired_stops", with_ctes(MARKER_EVENTS_SQL, PREPARED_SQL, MARKS_SQL, BALANCED_SQL, final="""
+SELECT mirage_pid, root, id, CASE WHEN t0 IS NULL THEN 'stop without open start' ELSE 'open start has expired' END AS reason
+FROM matched WHERE open IS NOT TRUE"""))
+def q_expired_stops(spark, sf_dir):
+    """dq_orphan_stop with an expiry: stops that find no start, or only expired ones."""
+    ev = E.split_marker(E.prepare_marker_events(B.marker_events(spark, sf_dir)))
+    found = E.orphan_stops(ev, ["mirage_pid"], "root", "kind", "timecode_utc", ["id"], OPEN_SECONDS * 1000)
+    return found.select("mirage_pid", "root", "id", "reason")
+
+
 @query("marker_sessions", with_ctes(*marker_windows_ctes(), SESSIONS_SQL,
                                     final="SELECT * FROM sessions"))
 def q_marker_sessions(spark, sf_dir):

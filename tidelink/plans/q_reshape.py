@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidelink.operators import reshape as R
@@ -167,8 +166,7 @@ best AS (
 def first_by_priority(spark, sf_dir):
     rows = _attr_rows(spark, sf_dir)
     keys = rows.select("p_brand", "attribute").distinct()
-    best = (rows.where(F.col("value").isNotNull()).groupBy("p_brand", "attribute")
-                .agg(F.min_by("value", F.struct("priority", "p_partkey")).alias("value")))
+    best = R.first_by_priority(rows, ["p_brand", "attribute"], "value", ["priority", "p_partkey"])
     return keys.join(best, ["p_brand", "attribute"], "left")
 
 
@@ -193,11 +191,8 @@ SELECT p_partkey, p_brand,
 FROM part""")
 def q_fill_across_windows(spark, sf_dir):
     """First non-null over the whole group written to every row."""
-    p = table(spark, sf_dir, "part")
-    w = Window.partitionBy("p_brand").orderBy("p_partkey").rowsBetween(Window.unboundedPreceding,
-                                                                       Window.unboundedFollowing)
-    return p.select("p_partkey", "p_brand",
-                    F.first(F.when(F.col("p_size") > 45, F.col("p_type")), ignorenulls=True).over(w).alias("filled"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.when(F.col("p_size") > 45, F.col("p_type")).alias("filled"))
+    return R.fill_groups(p, ["p_brand"], ["p_partkey"], ["filled"])
 
 
 @query("mode_with_ties", """
@@ -216,6 +211,19 @@ def q_unique_values(spark, sf_dir):
     return ST.unique_values(table(spark, sf_dir, "part"), ["p_size"], ["p_brand"])
 
 
+@query("first_seen_values", """
+WITH cells AS (
+  SELECT user_id, unnest([{'v': event_type, 'k': 0}, {'v': CAST(floor(value) AS VARCHAR), 'k': 1}]) AS c, ts, event_id FROM events),
+seen AS (
+  SELECT user_id, c.v AS value, row_number() OVER (PARTITION BY user_id, c.v ORDER BY ts, event_id, c.k) AS nth, ts, event_id, c.k AS k
+  FROM cells WHERE c.v IS NOT NULL)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id, k) AS position, value FROM seen WHERE nth = 1""")
+def q_first_seen_values(spark, sf_dir):
+    """Distinct values of two columns per user, in the order first seen."""
+    ev = table(spark, sf_dir, "events").withColumn("floor", F.floor("value").cast("double"))
+    return R.first_seen_values(ev, ["user_id"], ["event_type", "floor"], ["ts", "event_id"])
+
+
 @query("flatten_values", r"""
 SELECT event_id, value FROM (
   SELECT event_id, unnest([event_type, props, CAST(user_id AS VARCHAR)]) AS value FROM events)

@@ -35,6 +35,21 @@ ecg_rows AS (
   FROM events WHERE event_type IN ({_TYPES}))"""
 
 
+# every raw file by its path below the root
+FILES_SQL = f"""
+users AS (
+  SELECT DISTINCT user_id, lpad(CAST(user_id AS VARCHAR), 5, '0') AS pid, event_type,
+         CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week, CAST(user_id % 12 + 1 AS VARCHAR) AS cat FROM events),
+files AS (
+  SELECT DISTINCT 'ecg/' || cat || '/' || pid || '/' || week || '_' || (user_id % 13) || '-ecg.csv' AS file, 'ecg' AS kind, pid
+  FROM users WHERE event_type IN ({_TYPES})
+  UNION ALL
+  SELECT 'eda/' || cat || '.eda/' || week || '/' || pid || '.csv', 'eda', pid FROM users WHERE event_type = '{B.EDA_TYPE}'
+  UNION ALL
+  SELECT DISTINCT 'mirage/PID' || pid || 'utcmarker.csv', 'mirage', pid FROM users)"""
+LONG_NAME = r"/((?:ecg|eda|mirage|moved)/.*)$"
+
+
 def _rec_id_of(p):
     # .../ecg/<cat>/<pid>/<week>_<n>-ecg.csv -> u<pid>/<week>
     return F.concat(F.lit("u"), F.regexp_extract(p, r"/(\d{5})/[^/]*$", 1), F.lit("/"),
@@ -192,11 +207,50 @@ def q_eda_length(spark, sf_dir):
 contents AS (
   SELECT mirage_pid || 'utcmarker.csv' AS file, 'id,participantID,lang,marker,utc_app' || chr(10) ||
          string_agg(concat_ws(',', id, mirage_pid, lang, event, timecode_utc) || chr(10), '' ORDER BY CAST(id AS BIGINT)) AS content
-  FROM marker_events GROUP BY mirage_pid)""", final="SELECT file, strlen(content) AS length, md5(content) AS md5 FROM contents"))
+  FROM marker_events GROUP BY mirage_pid)""", RAW_ECG_SQL, FILES_SQL, final="""
+SELECT files.file, strlen(content) AS length, md5(content) AS md5
+FROM files LEFT JOIN contents ON files.file = 'mirage/' || contents.file"""))
 def q_file_manifest(spark, sf_dir):
-    """Content hash per marker file (change detection)."""
-    m = S.file_manifest(spark, raw_root(spark, sf_dir) + "/mirage", "*utcmarker.csv")
-    return m.select(F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "length", "md5")
+    """Content hash of every ECG, EDA and marker file; the hashes of the
+    marker files, whose bytes SQL can spell, are returned."""
+    m = S.file_manifest(spark, raw_root(spark, sf_dir))
+    known = F.col("path").endswith("utcmarker.csv")
+    sound = F.when((F.length("md5") == 32) & (F.col("length") > 0), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("no hash of "), "path")))
+    m = m.where(sound)
+    return m.select(F.regexp_extract("path", LONG_NAME, 1).alias("file"), F.when(known, F.col("length")).alias("length"),
+                    F.when(known, F.col("md5")).alias("md5"))
+
+
+def _next_version(old, users):
+    """A later state of the files: every 7th user's ECG files are gone, every
+    7th + 1 user's EDA files have another content, marker files of every 7th + 2
+    user are in another folder, and those of every 7th + 3 user are there twice."""
+    kind = F.regexp_extract("path", r"/(ecg|eda|mirage)/", 1)
+    moved = F.replace(F.col("path"), F.lit("/mirage/"), F.lit("/moved/"))
+    left = old.select("*", kind.alias("kind"), users.alias("user")).where(~((F.col("kind") == "ecg") & (F.col("user") == 0)))
+    changed = (F.col("kind") == "eda") & (F.col("user") == 1)
+    path = F.when((F.col("kind") == "mirage") & (F.col("user") == 2), F.array(moved)).when(
+        (F.col("kind") == "mirage") & (F.col("user") == 3), F.array("path", moved)).otherwise(F.array("path"))
+    return left.select(F.explode(path).alias("path"), "length", "modified",
+                       F.when(changed, F.md5("md5")).otherwise(F.col("md5")).alias("md5"))
+
+
+@query("manifest_changes", with_ctes(RAW_ECG_SQL, FILES_SQL, """
+later AS (
+  SELECT file, kind, CAST(pid AS BIGINT) % 7 AS k, replace(file, 'mirage/', 'moved/') AS other FROM files)""", final="""
+SELECT CASE WHEN kind = 'mirage' AND k = 2 THEN other WHEN NOT (kind = 'ecg' AND k = 0) THEN file END AS file,
+       file AS old_file, CASE WHEN kind = 'ecg' AND k = 0 THEN 'removed' WHEN kind = 'eda' AND k = 1 THEN 'changed'
+         WHEN kind = 'mirage' AND k = 2 THEN 'moved' ELSE 'same' END AS status
+FROM later
+UNION ALL SELECT other, NULL, 'added' FROM later WHERE kind = 'mirage' AND k = 3"""))
+def q_manifest_changes(spark, sf_dir):
+    """Two versions of the manifest of all raw files compared."""
+    old = stage(spark, sf_dir, "manifest", lambda: S.file_manifest(spark, raw_root(spark, sf_dir)))
+    pid = F.regexp_extract("path", r"/(?:PID)?(\d{5})(?:/[^/]*-ecg|utcmarker|)\.csv$", 1)
+    found = S.manifest_changes(old, _next_version(old, pid.cast("long") % 7))
+    name = lambda c: F.regexp_extract(c, LONG_NAME, 1)
+    return found.select(F.when(F.col("path").isNotNull(), name("path")).alias("file"),
+                        F.when(F.col("old_path").isNotNull(), name("old_path")).alias("old_file"), "status")
 
 
 @query("lake_time_index", with_ctes(RAW_ECG_SQL, final="""

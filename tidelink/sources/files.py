@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelink.functions.timefn import epoch_auto, local_to_utc
+from tidelink.operators.quality import Observed
+from tidelink.operators.scan import ranked
+from tidelink.session import materialize
 from tidelink.sources.splits import greatest_first_field, open_file, read_columns
 
 # Fixed values that must equal the reference's: file kinds, header lines.
@@ -38,6 +41,7 @@ EDA_TIME_FORMAT = "dd.MM.yy HH:mm:ss"
 MARKER_COLUMNS = {"id": "id", "participantID": "mirage_pid", "lang": "lang", "marker": "event",
                   "utc_app": "timecode_utc"}
 
+EDA_REASONS = ("no device", "no SECOND header")
 HASH_CHUNK = 1 << 20
 HEAD_SCHEMA = "path string, length long, lineno int, line string"
 
@@ -170,11 +174,12 @@ def ingest_samples(spark: SparkSession, meta: DataFrame, id_col: str = "id", qua
     return good, bad
 
 
-def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):
+def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False, strict: bool = False):
     """EDA header facts: device (line 1, after ':' before ';'),
     participant (file name), category (first folder below root), start time
     text (line 4, field 2) parsed in three candidate zones later, data
-    header line (28 or 29). Malformed files go to quarantine with their lines."""
+    header line (28 or 29). Malformed files go to quarantine with a reason;
+    ``strict`` raises where there are any, as the reference does."""
     heads = head_lines(paths, EDA_HEADER_LINES)
     ln, no = F.col("line"), F.col("lineno")
     agg = heads.groupBy("path").agg(
@@ -192,13 +197,14 @@ def eda_header_scan(paths: DataFrame, root: str, quarantine: bool = False):
         F.regexp_replace(F.regexp_extract(F.col("path"), r"([^/]*)$", 1), r"\.csv$", "").alias("mirage_pid"),
         rescat.alias("rescat"), F.get(F.split(F.col("_l4"), ";"), 1).alias("start_text"),
         "data_header_line")
-    bad_cond = F.col("device").isNull() | F.col("data_header_line").isNull()
-    good = meta.where(~bad_cond)
-    if not quarantine:
-        return good
-    bad = meta.where(bad_cond).withColumn(
-        "reason", F.when(F.col("device").isNull(), "no device").otherwise("no SECOND header"))
-    return good, bad
+    meta = meta.withColumn("reason", F.when(F.col("device").isNull(), EDA_REASONS[0])
+                           .when(F.col("data_header_line").isNull(), EDA_REASONS[1]))
+    if strict:
+        seen = Observed(*EDA_REASONS)
+        meta = materialize(seen.on(meta, F.col("reason"), F.col("path")))
+        seen.refuse()
+    good = meta.where(F.col("reason").isNull()).drop("reason")
+    return (good, meta.where(F.col("reason").isNotNull())) if quarantine else good
 
 
 def eda_lengths(heads: DataFrame) -> DataFrame:
@@ -208,27 +214,89 @@ def eda_lengths(heads: DataFrame) -> DataFrame:
     return greatest_first_field(heads, "data_header_line", out="length_secs")
 
 
-def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, length, md5 of content) for change detection.
+def file_manifest(spark: SparkSession, root: str, glob: str | None = None, previous: DataFrame | None = None) -> DataFrame:
+    """(path, length, modified, md5 of content) of every file.
 
-    Tasks read each file in chunks, so no file is held as one value.
+    Tasks read each file in chunks, so no file is held as one value. With the
+    ``previous`` manifest only files that are new, or whose length or time has
+    changed, are opened; the others keep the hash that they had.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    return r.load(root).select("path", "length").mapInPandas(_content_hashes, "path string, length long, md5 string")
+    found = r.load(root).select("path", "length", F.col("modificationTime").alias("modified"))
+    hashed = "path string, length long, modified timestamp, md5 string"
+    if previous is None:
+        return found.mapInPandas(_content_hashes, hashed)
+    before = previous.select("path", F.col("length").alias("_l"), F.col("modified").alias("_t"), "md5")
+    both = materialize(found.join(before, "path", "left"))
+    known = (F.col("length") == F.col("_l")) & (F.col("modified") == F.col("_t")) & F.col("md5").isNotNull()
+    same = F.coalesce(known, F.lit(False))
+    anew = both.where(~same).select("path", "length", "modified").mapInPandas(_content_hashes, hashed)
+    return anew.unionByName(both.where(same).select("path", "length", "modified", "md5"))
+
+
+def record_manifest(spark: SparkSession, root: str, store: str, glob: str | None = None) -> DataFrame:
+    """Write the next version of a folder's manifest below ``store`` and return
+    what has changed since the last one (see :func:`manifest_changes`)."""
+    old = manifest_version(spark, store)
+    last = _versions(spark, store)
+    new = file_manifest(spark, root, glob, old)
+    number = last[-1] + 1 if last else 1
+    new.write.mode("overwrite").parquet(f"{store.rstrip('/')}/version={number}")
+    new = manifest_version(spark, store, number)
+    return manifest_changes(new.limit(0) if old is None else old, new)
+
+
+def _versions(spark: SparkSession, store: str) -> list[int]:
+    """The versions whose write has ended, in order."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path(path, "version=*/_SUCCESS")
+    return sorted(int(x.getPath().getParent().getName().partition("=")[2]) for x in fs.globStatus(done))
+
+
+def manifest_version(spark: SparkSession, store: str, number: int | None = None) -> DataFrame | None:
+    """A stored manifest, by default the latest; None if there is none."""
+    known = _versions(spark, store)
+    number = number or (known[-1] if known else None)
+    if number not in known:
+        return None
+    return spark.read.parquet(f"{store.rstrip('/')}/version={number}")
+
+
+def manifest_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What became of every path of two manifests: (path, old_path, status).
+
+    ``same``, ``changed`` (other content), ``added``, ``removed`` or ``moved``:
+    a path that appears with the content of one that is gone. Where several
+    appear and vanish with one content, they are matched in order of their
+    paths, and what is left over is added or removed.
+    """
+    o = old.select(F.col("path").alias("old_path"), F.col("md5").alias("old_md5"), F.col("length").alias("old_length"))
+    n = new.select("path", "md5", "length")
+    both = materialize(n.join(o, F.col("path") == F.col("old_path"), "full_outer"))
+    kept = both.where(F.col("path").isNotNull() & F.col("old_path").isNotNull())
+    alike = F.col("md5").eqNullSafe(F.col("old_md5")) & F.col("length").eqNullSafe(F.col("old_length"))
+    status = F.when(alike, "same").otherwise("changed")
+    come = ranked(both.where(F.col("old_path").isNull()).select("path", "md5", "length"), ["md5", "length"], ["path"], "_k")
+    gone = ranked(both.where(F.col("path").isNull()).select("old_path", F.col("old_md5").alias("md5"), F.col("old_length").alias("length")),
+                  ["md5", "length"], ["old_path"], "_k")
+    moved = come.join(gone, ["md5", "length", "_k"], "full_outer").select("path", "old_path", F.when(
+        F.col("old_path").isNull(), "added").when(F.col("path").isNull(), "removed").otherwise("moved").alias("status"))
+    return kept.select("path", "old_path", status.alias("status")).unionByName(moved)
 
 
 def _content_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import hashlib
 
-    from pyarrow import fs as pafs
     for b in batches:
         found = []
         for path in b["path"]:
-            fs, p = pafs.FileSystem.from_uri(path)
             digest = hashlib.md5()
-            with fs.open_input_stream(p) as f:
+            with open_file(path) as f:
                 while chunk := f.read(HASH_CHUNK):
                     digest.update(chunk)
             found.append(digest.hexdigest())

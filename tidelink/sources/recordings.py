@@ -16,14 +16,16 @@ RecordingId = Callable[[Column], Column]
 
 
 def ingest_files(spark: SparkSession, paths: DataFrame, lake_root: str, recording_id: RecordingId = F.md5,
-                 strict: bool = False) -> dict[str, DataFrame]:
+                 strict: bool = False, before_append: Callable[[dict[str, DataFrame]], None] | None = None,
+                 ) -> dict[str, DataFrame]:
     """Header scan, leave out what the lake has, read, write.
 
     ``paths`` lists ECG files; files of recordings that the lake has are not
     opened beyond their header. Returns ``meta`` (the files' header facts) and
     the quarantine tables ``bad_files`` (dq_readable, dq_time_column),
     ``bad_rows`` (unreadable times) and ``rejected`` (dq_recording_year,
-    dq_nonempty_load). ``strict`` raises where one of them has rows: for files
+    dq_nonempty_load); ``before_append`` is called with these three before
+    anything is added to the lake. ``strict`` raises where one of them has rows: for files
     before anything is written, for recordings after the good ones are.
     """
     good, bad = S.recording_header_scan(paths.select("path").distinct(), quarantine=True)
@@ -33,6 +35,8 @@ def ingest_files(spark: SparkSession, paths: DataFrame, lake_root: str, recordin
     meta = materialize(good.withColumn("id", recording_id(F.col("path"))))
     todo = materialize(LK.incremental_candidates(spark, meta, lake_root))
     samples, unreadable = S.ingest_samples(spark, todo, quarantine=True)
+    if before_append:
+        before_append({"bad_files": bad, "bad_rows": unreadable, "rejected": LK.lake_layout(samples, meta=todo)[1]})
     rejected = LK.write_lake(samples, lake_root, meta=todo)
     if strict:
         refuse(unreadable)

@@ -23,15 +23,17 @@ from pyspark.sql import functions as F
 
 SPLIT_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
+OPEN_BYTES = 1 << 20  # what opening a file costs, in bytes read
 MAX_TASKS = 20_000
 SPLIT_ROW_BITS = 36  # a row's number: its range above, its place in the range below
 
 
 def file_splits(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """(path, length, ...) -> one row per byte range: adds ``_split`` and
-    ``_lo``, ``_hi``; dealt to as many tasks as there are ranges."""
+    ``_lo``, ``_hi``; a task gets about ``split_bytes``, small files together."""
     n = F.greatest(F.ceil(F.col("length") / split_bytes), F.lit(1)).cast("long")
-    tasks = files.agg(F.sum(n)).first()[0] or 1
+    cost = files.agg(F.sum(F.col("length") + n * OPEN_BYTES)).first()[0] or 1
+    tasks = max(-(-cost // split_bytes), files.sparkSession.sparkContext.defaultParallelism)
     cut = files.withColumn("_split", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
     return (cut.withColumn("_lo", F.col("_split") * split_bytes).withColumn("_hi", F.col("_lo") + split_bytes)
             .repartition(int(min(tasks, MAX_TASKS))))

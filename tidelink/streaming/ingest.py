@@ -10,6 +10,8 @@ which files were seen.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,13 +21,37 @@ from tidelink.sources.recordings import ingest_files
 LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _batch_writer(lake_root: str, recording_id, rejected_root: str | None):
+def set_aside(tables: dict[str, DataFrame]) -> DataFrame:
+    """The quarantine tables of an ingest as one: (kind, what, row, text,
+    reason) of every bad file, bad row and rejected recording."""
+    none = {"row": F.lit(None).cast("long"), "text": F.lit(None).cast("string")}
+
+    def shaped(kind: str, what: str, **cols) -> DataFrame:
+        cols = none | cols
+        return tables[kind].select(F.lit(kind).alias("kind"), F.col(what).alias("what"),
+                                   *[c.alias(n) for n, c in cols.items()], "reason")
+
+    return (shaped("bad_files", "path").unionByName(shaped("rejected", "id_recording"))
+            .unionByName(shaped("bad_rows", "path", row=F.col("id"), text=F.col("time_text"))))
+
+
+def _committed(spark: SparkSession, folder: str) -> bool:
+    done = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
+
+
+def _batch_writer(lake_root: str, recording_id, rejected_root: str, query_key: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        out = ingest_files(batch.sparkSession, batch, lake_root, recording_id)
-        if rejected_root:
-            files = out["bad_files"].select(F.col("path").alias("what"), "reason")
-            (files.unionByName(out["rejected"].select(F.col("id_recording").alias("what"), "reason"))
-             .write.mode("append").parquet(rejected_root))
+        spark = batch.sparkSession
+        folder = f"{rejected_root.rstrip('/')}/query={query_key}/batch={epoch_id}"
+
+        def quarantine(tables: dict[str, DataFrame]) -> None:
+            # written whole before the lake is touched; once it is there, a
+            # retry may find the lake filled, and must not write it anew
+            if not _committed(spark, folder):
+                set_aside(tables).write.mode("overwrite").parquet(folder)
+
+        ingest_files(spark, batch, lake_root, recording_id, before_append=quarantine)
     return write
 
 
@@ -34,13 +60,20 @@ def stream_ecg_to_lake(spark: SparkSession, ecg_root: str, lake_root: str, check
                        max_files_per_trigger: int | None = None,
                        rejected_root: str | None = None) -> StreamingQuery:
     """Start the ingest stream; ``available_now`` processes what is there and
-    stops. Files and recordings that are turned away go to ``rejected_root``."""
+    stops.
+
+    Files, rows and recordings that are turned away go to ``rejected_root``
+    (by default the folder ``<lake>-rejected``), each once: a batch has a
+    folder of its own, named by the stream (its checkpoint) and the batch.
+    """
     rid = recording_id or (lambda p: F.md5(p))
+    rejected_root = rejected_root or lake_root.rstrip("/") + "-rejected"
+    query_key = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
     reader = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
                    .option("recursiveFileLookup", "true").option("pathGlobFilter", "*ecg.csv"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     writer = (reader.load(ecg_root).select("path").writeStream
-              .foreachBatch(_batch_writer(lake_root, rid, rejected_root)).option("checkpointLocation", checkpoint))
+              .foreachBatch(_batch_writer(lake_root, rid, rejected_root, query_key)).option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidelink.operators.events import OrphanStopError, pair_start_stop, session_roots
+from tidelink.operators.events import OrphanStopError, orphan_stops, pair_start_stop, session_roots
 
 
 def stack_pairs(events):
@@ -148,3 +148,33 @@ def test_no_window_over_a_single_partition(spark):
     with contextlib.redirect_stdout(out):
         dense_ids(df, ["x"], bucket=["g"]).explain("formatted")
     assert "Window" not in out.getvalue()
+
+
+def expiring_stack(ev, limit):
+    """Pairs and orphans where an open start expires at an age above ``limit``."""
+    pairs, orphans, stacks = [], [], {}
+    for pid, root, kind, t, i in sorted(ev, key=lambda e: (e[0], e[1], e[3], e[4])):
+        st = stacks.setdefault((pid, root), [])
+        while st and t - st[0] > limit:
+            st.pop(0)
+        if kind == "start":
+            st.append(t)
+        elif st:
+            pairs.append((pid, root, st.pop(), t))
+        else:
+            orphans.append((pid, root, i))
+    return sorted(pairs), sorted(orphans)
+
+
+@pytest.mark.parametrize("seed,limit", [(0, 0), (1, 3), (2, 15)])
+def test_expiring_starts_match_a_stack(spark, seed, limit):
+    ev = random_events(random.Random(100 + seed), n_pid=4, n=120)
+    df = spark.createDataFrame(ev, "pid string, root string, kind string, t long, i long")
+    pairs, orphans = expiring_stack(ev, limit)
+    got = pair_start_stop(df, ["pid"], "root", "kind", "t", ["i"], max_length=limit).collect()
+    assert sorted(tuple(r) for r in got) == pairs
+    lost = orphan_stops(df, ["pid"], "root", "kind", "t", ["i"], max_length=limit).collect()
+    assert sorted((r.pid, r.root, r.i) for r in lost) == orphans
+    if orphans:
+        with pytest.raises(OrphanStopError):
+            pair_start_stop(df, ["pid"], "root", "kind", "t", ["i"], strict=True, max_length=limit)

@@ -53,11 +53,9 @@ def weak_hashes(block, salt):
     return block_names.block_hashes(block, salt)
 
 
-@pytest.mark.parametrize("size,hashes", [(1, block_names.block_hashes), (16, weak_hashes), (2048, block_names.block_hashes)])
+@pytest.mark.parametrize("size,hashes", [(16, weak_hashes), (2048, block_names.block_hashes)])
 def test_exact_duplicates_match_brute_force(spark, size, hashes):
     rows = texts()
-    if size == 1:
-        rows = [r for r in rows if len(r[1] or "") < 1000]
     docs = spark.createDataFrame([(i, t, "clash", 1, 2) for i, t in rows],
                                  "doc_id long, text string, name string, row int, h1 int").repartition(3)
     got = block_names.exact_duplicates(docs, block_bytes=size, hashes=hashes)
@@ -147,7 +145,7 @@ def test_manifest_matches_brute_force(spark, tmp_path):
     assert {v for *_, v in got} == {True, False}
 
 
-@pytest.mark.parametrize("rows", [[], manifest_rows()[:1], manifest_rows()[:2]])
+@pytest.mark.parametrize("rows", [[], manifest_rows()[:1]])
 def test_small_manifests(spark, tmp_path, rows):
     assert Counter(map(tuple, proven(spark, rows, tmp_path).collect())) == brute_manifest(rows)
 
@@ -157,7 +155,7 @@ def test_blocks_of_any_size_give_the_same_proofs(spark):
     rows = spark.range(77).select("id", F.when(F.col("id") < 60, F.lit("hot")).otherwise((F.col("id") % 9).cast("string")).alias("g"),
                                   F.sha2(F.col("id").cast("string"), 256).alias("d"))
     found = []
-    for levels in (1, 2, 5, 12):
+    for levels in (2, 12):
         made = merkle.build(rows, "g", "id", "d", block_levels=levels)
         found.append({r.row.id: (r.subroot, r.root, tuple(r.proof), r.folded_root)
                       for r in merkle.prove(made, block_levels=levels).collect()})

@@ -34,10 +34,10 @@ from tidelink.llm.lexicon import Lexicon, compile_lexicon
 from tidelink.session import materialize, scratch_dir
 
 LEXICON_WORDS = 131_072
-CACHE_BYTES = 24 << 20  # of each of an encoder's two generations of words
+CACHE_BYTES = 56 << 20  # of each of an encoder's two generations of words
 CACHE_LENGTH = 64
 ENTRY_BYTES = 200  # of a word, its ids and their place, beside their lengths
-COUNTED_WORDS = 200_000  # distinct words a counting task holds before it passes them on
+COUNTED_WORDS = 300_000  # distinct words a counting task holds before it passes them on
 BATCH_BYTES = 8 << 20  # of the ids of one batch of results
 
 # white space of the vocabulary's own splitter; str.split() also cuts at the

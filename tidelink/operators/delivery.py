@@ -6,10 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelink.operators.quality import pct_linked
+from tidelink.operators.scan import ranked
+from tidelink.sources.workbooks import MAX_ROWS, cell, write_workbooks
 
 SHEETS = ("uniquely_linked", "multiply_linked", "unlinked_recordings", "unlinked_markers",
           "all_markers", "meta")
 
+# Fixed values that must equal the reference's: titles of a workbook's sheets.
+SHEET_TITLES = {
+    "uniquely_linked": "BG Uniquely Linked to Mirage",
+    "multiply_linked": "BG Multiply Linked to Mirage",
+    "unlinked_recordings": "BG Not Linked to Mirage",
+    "unlinked_markers": "Unlinked Mirage (all rescats)",
+    "all_markers": "Mirage",
+    "meta": "meta",
+}
+
+# What the rows of a sheet are ordered by, before their other cells.
+SHEET_ORDER = {
+    "uniquely_linked": ("time_start", "id_mirage"),
+    "multiply_linked": ("id_mirage", "offset_start"),
+    "unlinked_recordings": ("time_start", "time_end"),
+    "unlinked_markers": ("start_event", "id_event"),
+    "all_markers": ("start_event", "id_event"),
+    "meta": ("year", "month"),
+}
+
 # Fixed values that must equal the reference's: category folder labels
 # (categories without a label use their number).
 CATEGORY_FOLDERS = {
@@ -104,7 +126,7 @@ def deliver_sheets(sheets: dict[str, DataFrame], out_dir: str, fmt: str = "parqu
     """Write each sheet as a dataset partitioned by category folder and
     ``bg_<year>_<MM>`` (month zero-padded). Returns sheet -> path.
 
-    .xlsx encoding is not available; any Spark file format works.
+    Any Spark file format works; ``deliver_workbooks`` writes spreadsheets.
     """
     paths = {}
     for name, df in sheets.items():
@@ -119,3 +141,36 @@ def deliver_sheets(sheets: dict[str, DataFrame], out_dir: str, fmt: str = "parqu
         layout.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).format(fmt).save(path)
         paths[name] = path
     return paths
+
+
+def deliver_workbooks(sheets: dict[str, DataFrame], out_dir: str, max_rows: int = MAX_ROWS) -> None:
+    """One workbook of six sheets a (category, year, month) of the
+    ``meta`` sheet, as ``<category folder>/bg_<year>_<MM>.xlsx``.
+
+    Sheets without a category (markers) go into the workbook of each category
+    of their month; markers of months without recordings are in no workbook.
+    A null category has the folder ``NA``. Rows are ordered by
+    ``SHEET_ORDER``, nulls first, then by their cells. A sheet of more than
+    ``max_rows`` rows goes on in ``bg_<year>_<MM>_2.xlsx`` and so on, so a task
+    streams a bounded file however large a month is.
+    """
+    layout = ["respondent_cat", "year", "month"]
+    cells = sheets["meta"].select(*[F.col(c).alias(f"_{c}") for c in layout]).distinct()
+    rows, headers = None, []
+    for number, (name, title) in enumerate(SHEET_TITLES.items()):
+        df = sheets[name]
+        headers.append([c for c in df.columns if name == "meta" or c not in layout])
+        types = {f.name: f.dataType for f in df.schema.fields}
+        shared = [c for c in layout if c in types]
+        first, second = (F.col(c) if types[c].typeName() != "timestamp" else F.unix_micros(c) for c in SHEET_ORDER[name])
+        long = (df.join(cells, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in shared])
+                .select(F.coalesce(category_folder("_respondent_cat"), F.lit("NA")).alias("folder"),
+                        F.format_string("bg_%d_%02d", "_year", "_month").alias("book"), F.lit(number).alias("sheet"),
+                        first.cast("double").alias("_o1"), second.cast("double").alias("_o2"),
+                        F.array(*[cell(c, types[c]) for c in headers[-1]]).alias("cells")))
+        rows = long if rows is None else rows.unionByName(long)
+    placed = ranked(rows, ["folder", "book", "sheet"], ["_o1", "_o2", "cells"], "place")
+    part = F.floor((F.col("place") - 1) / max_rows) + 1
+    name = F.concat_ws("_", "book", F.when(part > 1, part.cast("string")))
+    write_workbooks(placed.withColumn("file", F.concat("folder", F.lit("/"), name, F.lit(".xlsx"))),
+                    out_dir, list(SHEET_TITLES.values()), headers)

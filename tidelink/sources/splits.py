@@ -16,6 +16,7 @@ from __future__ import annotations
 import io
 import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,9 +40,16 @@ def file_splits(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
             .repartition(int(min(tasks, MAX_TASKS))))
 
 
-def open_file(path: str):
+def filesystem(path: str):
+    """The file system of a path as Spark spells it (blanks and % as they are),
+    and the path within it."""
     from pyarrow import fs as pafs
-    fs, p = pafs.FileSystem.from_uri(path)
+    has_scheme = re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", path)
+    return pafs.FileSystem.from_uri(quote(path, safe="/:@") if has_scheme else path)
+
+
+def open_file(path: str):
+    fs, p = filesystem(path)
     return fs.open_input_file(p)
 
 

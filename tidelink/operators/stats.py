@@ -1,8 +1,11 @@
-"""Exact rank statistics without gathering groups: median, MAD, leave-one-out MAD.
-
-Medians are taken from row numbers inside each group (a sort that spills),
-never from an in-memory buffer of the group's values, so a group of any
-size is fine. Only the two or three rows around the middle are aggregated.
+"""Exact rank statistics without sorting or gathering groups: order statistics
+by distributed selection, median, MAD, leave-one-out MAD.
+
+A group's wanted places are found by refining value histograms: a cell (a
+range of values of a group) is cut into ``BINS`` bins by one partial
+aggregation, bins that hold a wanted place become the next cells, and a cell
+of one value or of at most ``CELL`` rows is read off. No rows are ranked or
+written in order, and a group of any size is only ever counted.
 """
 
 from __future__ import annotations
@@ -12,42 +15,101 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelink.operators.scan import ranked as skew_ranked
+from tidelink.session import materialize
+
+BINS = 512  # of one cell in one pass
+CELL = 1024  # rows of a cell that are sorted in memory
+_INF = float("inf")
+
 
+def _facts() -> list[Column]:
+    """Rows, ends and finite ends of a cell."""
+    x = F.col("_x")
+    finite = F.when((x > -_INF) & (x < _INF), x)
+    return [F.count(F.lit(1)).alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"),
+            F.min(finite).alias("_flo"), F.max(finite).alias("_fhi")]
 
-def _middle_stats(ranked: DataFrame, keys: Sequence[str], rank: str, val: str, n: str) -> DataFrame:
-    """Per group: values at positions n//2, n//2+1, n//2+2 (1-based)."""
-    p1 = F.floor(F.col(n) / 2)
-    near = ranked.where((F.col(rank) >= p1) & (F.col(rank) <= p1 + 2))
-    return near.groupBy(*keys).agg(
-        F.max(F.when(F.col(rank) == p1, F.col(val))).alias("_q1"),
-        F.max(F.when(F.col(rank) == p1 + 1, F.col(val))).alias("_q2"),
-        F.max(F.when(F.col(rank) == p1 + 2, F.col(val))).alias("_q3"))
 
+def _bin() -> Column:
+    """The bin of a value: never falls as values rise, and a cell's least and
+    greatest values fall apart. Halves keep wide ranges from overflowing."""
+    x, lo, hi = F.col("_x"), F.col("_flo"), F.col("_fhi")
+    share = F.try_divide(x / 2 - lo / 2, hi / 2 - lo / 2)
+    inner = F.least(F.lit(BINS - 2), F.coalesce(F.floor(share * (BINS - 1)), F.lit(0)))
+    return (F.when(F.isnan(x), F.lit(BINS + 1)).when(x == _INF, F.lit(BINS)).when(x == -_INF, F.lit(-1))
+            .when(x == hi, F.lit(BINS - 1)).otherwise(inner).cast("int"))
 
-def _loo_median(rank: Column, n: Column) -> Column:
-    """Median of the group without the row at ``rank`` (uses _q1.._q3).
 
-    Removing rank r shifts positions >= r down by one; the middle of the
-    remaining n-1 values sits at n//2 (and n//2+1 when n-1 is even).
+def order_statistics(df: DataFrame, by: Sequence[str], value: str, places: dict[str, Column]) -> DataFrame:
+    """Per group of non-null values: the value (double) at each place.
+
+    ``places`` names 1-based places as expressions over ``_n``, the group's
+    number of values; a place outside 1.._n is null. Null keys form groups;
+    NaN is the greatest value. Each pass narrows a cell to a bin, so the
+    passes depend on the spread of the values, not on the rows.
+    """
+    by, names = list(by), list(places)
+    data = materialize(df.where(F.col(value).isNotNull())
+                       .select(F.struct(*by).alias("_g"), F.col(value).cast("double").alias("_x")))
+    whole = data.groupBy("_g").agg(*_facts()).withColumn("_places", F.array(*[p.cast("long") for p in places.values()]))
+    groups = cells = materialize(whole.withColumn("_before", F.lit(0).cast("long")))
+    shut = (F.col("_lo") == F.col("_hi")) | (F.col("_n") <= CELL)
+    closed = cells.where(shut)
+    inside = F.col("_x").between(F.col("_lo"), F.col("_hi"))
+    while not (wide := cells.where(~shut)).isEmpty():
+        bins = (data.join(wide.drop("_n"), "_g").where(inside)
+                .groupBy("_g", "_places", "_before", _bin().alias("_bin")).agg(*_facts()))
+        earlier = Window.partitionBy("_g", "_before").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # BINS + 3 rows
+        bins = bins.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_bin")
+        wanted = F.exists("_places", lambda p: (p > F.col("_before")) & (p <= F.col("_before") + F.col("_n")))
+        cells = materialize(bins.where(wanted))
+        closed = closed.unionByName(cells.where(shut))
+    few = closed.where("_lo != _hi").select("_g", "_before", "_lo", "_hi")
+    listed = (data.join(few, "_g").where(inside).groupBy("_g", "_before")
+              .agg(F.sort_array(F.collect_list("_x")).alias("_values")))  # at most CELL values
+    found = (closed.join(listed, ["_g", "_before"], "left")
+             .select("_g", "_before", "_n", "_lo", "_values", F.posexplode("_places").alias("_k", "_p"))
+             .where("_p > _before and _p <= _before + _n")
+             .select("_g", "_k", F.coalesce(F.get("_values", (F.col("_p") - F.col("_before") - 1).cast("int")),
+                                            F.col("_lo")).alias("_v")))
+    wide_rows = found.groupBy("_g").agg(*[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(n) for k, n in enumerate(names)])
+    return (groups.select("_g", "_n").join(wide_rows, "_g", "left")
+            .select(*[F.col("_g")[c].alias(c) for c in by], "_n", *names))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys, nulls as values; the left keys stay."""
+    named = right.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)]
+    return left.join(named, on, how).drop(*[f"_r{i}" for i in range(len(keys))])
+
+
+# The values around a group's middle; leaving a row out shifts the middle by one.
+_MIDDLE = ("_q1", "_q2", "_q3")
+
+
+def _middle(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    return order_statistics(df, by, value, {q: F.floor(F.col("_n") / 2) + k for k, q in enumerate(_MIDDLE)})
+
+
+def _loo_median(x: Column) -> Column:
+    """Median of the group without one row of value ``x`` (uses _n, _q1.._q3).
+
+    The middle of the other n - 1 values sits at n // 2 (and n // 2 + 1 when
+    n - 1 is even); places at and behind the row move down by one. Where
+    ``x`` equals a middle value, leaving out either gives the same values.
     """
-    p1 = F.floor(n / 2)
-    first = F.when(p1 < rank, F.col("_q1")).otherwise(F.col("_q2"))
-    second = F.when(p1 + 1 < rank, F.col("_q2")).otherwise(F.col("_q3"))
-    return (F.when(n <= 1, F.lit(None).cast("double"))
-             .when(n % 2 == 0, first.cast("double"))
-             .otherwise((first.cast("double") + second.cast("double")) / 2))
+    first = F.when(x > F.col("_q1"), F.col("_q1")).otherwise(F.col("_q2"))
+    second = F.when(x > F.col("_q2"), F.col("_q2")).otherwise(F.col("_q3"))
+    return (F.when(F.col("_n") <= 1, F.lit(None).cast("double"))
+             .when(F.col("_n") % 2 == 0, first).otherwise((first + second) / 2))
 
 
 def _median(df: DataFrame, keys: Sequence[str], val: str, out: str) -> DataFrame:
     """Exact (interpolated) median per group; null values ignored."""
-    nn = df.where(F.col(val).isNotNull())
-    n = nn.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = skew_ranked(nn, list(keys), [F.col(val)], "_r").join(n, list(keys))
-    lo = F.floor((F.col("_n") + 1) / 2)
-    hi = F.floor(F.col("_n") / 2) + 1
-    mid = ranked.where((F.col("_r") == lo) | (F.col("_r") == hi))
-    return mid.groupBy(*keys).agg(F.avg(F.col(val).cast("double")).alias(out))
+    n = F.col("_n")
+    ends = order_statistics(df, keys, val, {"_a": F.floor((n + 1) / 2), "_b": F.floor(n / 2) + 1})
+    return ends.select(*keys, ((F.col("_a") + F.col("_b")) / 2).alias(out))
 
 
 def mad(df: DataFrame, by: Sequence[str], x: str, out: str = "mad") -> DataFrame:
@@ -55,9 +117,9 @@ def mad(df: DataFrame, by: Sequence[str], x: str, out: str = "mad") -> DataFrame
     by = list(by)
     groups = df.select(*by).distinct()
     med = _median(df, by, x, "_med")
-    dev = (df.where(F.col(x).isNotNull()).join(med, by)
-             .select(*by, F.abs(F.col(x).cast("double") - F.col("_med")).alias("_dev")))
-    return groups.join(_median(dev, by, "_dev", out), by, "left")
+    dev = (_same(df.where(F.col(x).isNotNull()), med, by)
+           .select(*by, F.abs(F.col(x).cast("double") - F.col("_med")).alias("_dev")))
+    return _same(groups, _median(dev, by, "_dev", out), by, "left").select(*by, out)
 
 
 def leave_one_out_mad(df: DataFrame, by: Sequence[str], id_col: str, x: str,
@@ -66,27 +128,22 @@ def leave_one_out_mad(df: DataFrame, by: Sequence[str], id_col: str, x: str,
 
     Step 1: the leave-one-out median ``c`` of each row from three order
     statistics of the group (so at most three distinct ``c`` per group).
-    Step 2: for each distinct ``c`` rank all deviations |x - c| and read the
-    leave-one-out median of the deviations at the row's own rank.
-    Groups are sorted, never gathered; output has one row per input row.
+    Step 2: for each distinct ``c`` the same three statistics of all
+    deviations |x - c|, read at the row's own deviation.
+    Output has one row per input row; a null ``x`` is no other row of any
+    and its own value is null, as is that of a group's only row.
     """
     by = list(by)
     base = df.select(*by, id_col, x)
-    n = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = skew_ranked(base, by, [F.col(x), F.col(id_col)], "_r").join(n, by)
-    centred = (ranked.join(_middle_stats(ranked, by, "_r", x, "_n"), by)
-                     .withColumn("_c", _loo_median(F.col("_r"), F.col("_n")))
-                     .drop("_q1", "_q2", "_q3"))
+    value = F.col(x).cast("double")
+    centred = (_same(base, _middle(base, by, x), by, "left")
+               .withColumn("_c", F.when(value.isNotNull(), _loo_median(value))).drop("_n", *_MIDDLE))
+    centred = materialize(centred)
     centres = centred.where(F.col("_c").isNotNull()).select(*by, "_c").distinct()
-    dev = (ranked.select(*by, id_col, x, "_n").join(centres, by)
-                 .withColumn("_d", F.abs(F.col(x).cast("double") - F.col("_c"))))
-    dev = skew_ranked(dev, by + ["_c"], [F.col("_d"), F.col(id_col)], "_t")
-    stats = _middle_stats(dev, by + ["_c"], "_t", "_d", "_n")
-    own = (dev.join(centred.select(*by, id_col, "_c"), by + [id_col, "_c"])
-              .join(stats, by + ["_c"])
-              .select(*by, id_col, _loo_median(F.col("_t"), F.col("_n")).alias(out)))
-    # singletons have no "other" rows: their value is null
-    return centred.select(*by, id_col, x).join(own, by + [id_col], "left")
+    dev = F.abs(value - F.col("_c"))
+    stats = _middle(_same(base, centres, by).select(*by, "_c", dev.alias("_d")), by + ["_c"], "_d")
+    return (_same(centred.withColumn("_d", dev), stats, by + ["_c"], "left")
+            .select(*by, id_col, x, _loo_median(F.col("_d")).alias(out)))
 
 
 def mode_with_ties(df: DataFrame, by: Sequence[str], value: str, out: str = "mode",

@@ -55,6 +55,12 @@ def test_ranges_of_any_size_give_every_row_once(spark, tmp_path, size, end, monk
         assert [n for n, _ in mine] == list(range(1, len(rows) + 1))
 
 
+def test_folders_with_blanks_and_percent_signs_are_opened(spark, tmp_path):
+    put(tmp_path, "1. Re cruit/50%20 of+it/a b.csv", "v\n1\n2\n")
+    got = SP.read_columns(listed(spark, tmp_path), {"v": "v"}, "#").collect()
+    assert sorted(r.v for r in got) == ["1", "2"]
+
+
 def test_facts_of_a_file_travel_with_its_rows(spark, tmp_path):
     put(tmp_path, "a.csv", "v\n1\n2\n")
     put(tmp_path, "b.csv", "w,v\n9,3\n")

@@ -15,6 +15,7 @@ a part number holds only once it is stored.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,19 +49,19 @@ def positioned(df: DataFrame, order: Sequence, out: str = _POSITION) -> DataFram
     """0-based position of each row in the whole table's ``order`` (a total
     order), as a long.
 
-    Rows are sorted inside their range part and numbered as they are written;
-    the sizes of earlier parts are a running sum over a table of one row a part.
+    Rows are sorted inside their range part and numbered as they are written.
+    The sizes of the parts, one number a part of the exchange, are added up on
+    the driver and go back as a constant, so no row meets a window or a join.
     """
     keys = _keys(order)
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     rows = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()))
-    part = F.shiftright("_mid", _ROW_BITS)
-    sizes = rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy().orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
-    offsets = sizes.select("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    part = F.shiftright("_mid", _ROW_BITS).cast("int")
+    sizes = dict(rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect())
+    before = [0, *accumulate(sizes.get(p, 0) for p in range(max(sizes, default=0)))]
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<long>")
     row = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (rows.join(F.broadcast(offsets), part == F.col("_p"))  # as many rows as the exchange has parts
-            .withColumn(out, F.col("_before") + row).drop("_mid", "_p", "_before"))
+    return rows.withColumn(out, F.get(offsets, part) + row).drop("_mid")
 
 
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence, out: str = "_rank") -> DataFrame:

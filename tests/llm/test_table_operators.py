@@ -72,7 +72,34 @@ def test_cover_tree_matches_brute_force(spark, monkeypatch, block):
     assert covertree.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_cover_tree_levels_and_traversal():
+def test_pivots_follow_the_classes_of_every_label(spark, monkeypatch):
+    workers_import(spark)
+    monkeypatch.setattr(covertree, "BLOCK", 4)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 16))
+    rows = [(f"k{i}", lab, [float(x) for x in centres[i % 20] + rng.normal(size=16) * 0.01], 1, 16)
+            for lab, n in (("a", 300), ("b", 60), ("c", 3)) for i in range(n)]
+    classes = spark.createDataFrame(rows, "key string, label string, vector array<double>, weight long, dim int")
+    classes = classes.withColumn("key", F.concat("label", "key"))
+    blocks, pairs = covertree._blocks(classes, 0.98)
+    blocks, pairs = blocks.collect(), pairs.collect()
+    assert sorted(k for b in blocks for k in b["keys"]) == sorted(r.key for r in classes.collect())
+    cells = Counter(label for label, _ in {(b["label"], b["cell"]) for b in blocks})
+    assert cells["a"] == math.ceil(math.sqrt(300)) and cells["b"] == math.ceil(math.sqrt(60)) and cells["c"] == 1
+    for b in blocks:  # in the order of the tree, whose root covers them
+        rows = np.array(b["flat"]).reshape(-1, 16)
+        unit = rows / np.linalg.norm(rows, axis=1)[:, None]
+        assert covertree.distances(unit, unit[b["centre"][0]]).max() <= b["radius"][0] + 1e-7
+        assert (b["low"][0], b["high"][0]) == (0, len(rows)) == (0, len(b["keys"]))
+    # tight clusters: a cell meets itself and cells of its own clusters only
+    many = Counter(p["label"] for p in pairs)
+    assert many["a"] < 3 * cells["a"] and many["c"] == 1
+    assert len({(p["label"], p["cell_a"], p["cell_b"]) for p in pairs}) == len(pairs)
+
+
+@pytest.mark.parametrize("matrix_from", [1, 256, 1 << 40])
+def test_cover_tree_levels_and_traversal(monkeypatch, matrix_from):
+    monkeypatch.setattr(covertree, "MATRIX_FROM", matrix_from)
     rng = np.random.default_rng(4)
     x = np.vstack([rng.normal(size=(150, 5)), np.repeat(rng.normal(size=(3, 5)), 30, 0) + rng.normal(size=(90, 5)) * 0.02])
     unit = x / np.linalg.norm(x, axis=1)[:, None]

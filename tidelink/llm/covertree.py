@@ -4,14 +4,17 @@ Vectors link when their labels are equal and the cosine of the two, in double
 precision, reaches the threshold; on unit vectors that is a largest distance.
 
 Equal vectors are one class with a count. Classes are cut into blocks, by the
-nearest of a few far-apart pivots where a label has many vectors, so that
-pairs of cells further apart than their radii allow are never compared. Each
-remaining pair of blocks is one row of work: a cover tree is built over each
-block (nested levels of halving radii), and node pairs are descended
-together. A pair is dropped when even its nearest points are too far apart,
-and taken whole when even its farthest points are near enough. A block pair
-returns link counts and a spanning forest, never its links; counts are
-summed and forests meet in distributed connected components.
+nearest of far-apart pivots where a label has more classes than a block, so
+that pairs of cells further apart than their radii allow are never compared.
+A label has a pivot for each block's worth of its classes, at most the square
+root of their number; pivots are chosen label by label inside tasks and reach
+the classes by joins, so nothing of them passes the driver. A cover tree is
+built once over each block (nested levels of halving radii) and travels with
+it. Each remaining pair of blocks is one row of work, whose node pairs are
+descended together. A pair is dropped when even its nearest points are too
+far apart, and taken whole when even its farthest points are near enough. A
+block pair returns link counts and a spanning forest, never its links; counts
+are summed and forests meet in distributed connected components.
 
 Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component, and vectors without a label, link with nothing; so do
@@ -35,10 +38,13 @@ from tidelink.session import materialize
 
 THRESHOLD = 0.98
 BLOCK = 1024  # classes of one block
-PIVOT_SAMPLE = 2048  # vectors drawn, over all labels, to choose pivots from
-MAX_PIVOTS = 32  # of one label
-SLACK = 1e-9  # bounds keep this far from the threshold; cosines decide there
+CANDIDATES = 4  # classes drawn for each pivot of a label
+PIVOT_ROWS = 256  # pivots compared with all pivots of their label in one row
+SLACK = 1e-7  # bounds keep this far from the threshold; cosines decide there
 PAIRS_AT_ONCE = 1 << 16
+MATRIX_FROM = 256  # child pairs from which one product finds the near ones
+
+NODES = {"centre": "int", "radius": "double", "low": "int", "high": "int", "first": "int", "children": "int"}
 
 
 @dataclass
@@ -122,6 +128,22 @@ class BlockLinks:
         self.label = np.arange(n + m)
 
 
+def below(tree: CoverTree, at: int) -> np.ndarray:
+    """Children of a node; a leaf stands for itself."""
+    many = int(tree.children[at])
+    return tree.first[at] + np.arange(many) if many else np.array([at])
+
+
+def near_children(a: CoverTree, b: CoverTree, x: int, y: int, reach: float, itself: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of children of two nodes that their radii do not rule out."""
+    i, j = below(a, x), below(b, y)
+    cosine = a.unit[a.centre[i]] @ b.unit[b.centre[j]].T
+    apart = np.sqrt(np.maximum(2 - 2 * cosine, 0))
+    near = apart <= a.radius[i][:, None] + b.radius[j][None, :] + reach + SLACK
+    p, q = np.nonzero(np.triu(near) if itself else near)
+    return i[p], j[q]
+
+
 def dual_traversal(a: CoverTree, b: CoverTree, weight_a: np.ndarray, weight_b: np.ndarray,
                    threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Linked weight of each point of a and of b (tree order), and a component
@@ -174,6 +196,11 @@ def dual_traversal(a: CoverTree, b: CoverTree, weight_a: np.ndarray, weight_b: n
         # one more level of both trees; a leaf stands for itself
         down_x, down_y = np.maximum(a.children[x], 1), np.maximum(b.children[y], 1)
         many = down_x * down_y
+        large = many >= MATRIX_FROM
+        if large.any():
+            met = [near_children(a, b, int(i), int(j), reach, bool(k)) for i, j, k in zip(x[large], y[large], itself[large])]
+            todo.append((np.concatenate([i for i, _ in met]), np.concatenate([j for _, j in met])))
+            x, y, itself, many, down_y = x[~large], y[~large], itself[~large], many[~large], down_y[~large]
         ends = np.cumsum(many)
         start = 0
         while start < len(x):
@@ -204,23 +231,25 @@ def compare_blocks(a: np.ndarray, b: np.ndarray | None, weight_a: np.ndarray, we
     same = b is None
     tree_a = build_tree(a)
     tree_b = tree_a if same else build_tree(b)
-    w_a = weight_a[tree_a.order]
-    w_b = w_a if same else weight_b[tree_b.order]
-    count_a, count_b, label = dual_traversal(tree_a, tree_b, w_a, w_b, threshold, same)
-    n = len(a)
-    if same:
-        count, rows, order = count_a, n, tree_a.order
-    else:
-        count, rows = np.concatenate([count_a, count_b]), n + len(b)
-        order = np.concatenate([tree_a.order, tree_b.order + n])
-    label = label[:rows]
-    out_count, out_label = np.empty(rows), np.empty(rows, np.int64)
-    out_count[order] = count
-    # a label is a place in tree order; with itself, places of the copy fold back
-    out_label[order] = order[label % n] if same else order[label]
+    order = tree_a.order if same else np.concatenate([tree_a.order, tree_b.order + len(a)])
+    count, label = compare_trees(tree_a, None if same else tree_b, weight_a[tree_a.order],
+                                 None if same else weight_b[tree_b.order], threshold)
+    out_count, out_label = np.empty(len(order)), np.empty(len(order), np.int64)
+    out_count[order], out_label[order] = count, order[label]
     return out_count, out_label
 
 
+def compare_trees(a: CoverTree, b: CoverTree | None, weight_a: np.ndarray, weight_b: np.ndarray | None,
+                  threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`compare_blocks`, of rows in the order of their trees."""
+    if b is not None:
+        count_a, count_b, label = dual_traversal(a, b, weight_a, weight_b, threshold, False)
+        return np.concatenate([count_a, count_b]), label
+    n = len(a.unit)
+    count, _, label = dual_traversal(a, a, weight_a, weight_a, threshold, True)
+    return count, label[:n] % n  # places of the copy fold back
+
+
 def choose_pivots(units: np.ndarray, count: int) -> np.ndarray:
     """Farthest-first rows: a prefix is a net at each halving of the radius."""
     chosen = [0]
@@ -257,83 +286,163 @@ def _classes(vectors: DataFrame, vec_col: str) -> tuple[DataFrame, DataFrame]:
     return rows.select("id", "key"), classes.withColumn("dim", F.size("vector"))
 
 
-def _pivots(classes: DataFrame) -> dict[tuple, np.ndarray]:
-    """Pivots by (label, dim), from a bounded sample of classes; a label gets
-    one for each block's worth of its classes, at most ``MAX_PIVOTS``."""
-    sample = classes.select("label", "dim", "vector", F.col("key")).orderBy(F.xxhash64("key"), "key").limit(PIVOT_SAMPLE)
-    sample = materialize(sample)
-    sizes = classes.groupBy("label", "dim").count().join(
-        F.broadcast(sample.select("label", "dim").distinct()), ["label", "dim"]).collect()  # at most the sample's labels
-    blocks = {(r["label"], r["dim"]): -(-r["count"] // BLOCK) for r in sizes}
-    drawn: dict[tuple, list] = {}
-    for r in sample.orderBy("key").collect():
-        drawn.setdefault((r["label"], r["dim"]), []).append(r["vector"])
-    found = {}
-    for group, rows in drawn.items():
-        if blocks[group] > 1:
-            units = unit_rows(pa.array(rows, pa.list_(pa.float64())))
-            found[group] = choose_pivots(units, min(MAX_PIVOTS, blocks[group]))
-    return found
-
-
-def _blocks(classes: DataFrame, pivots: dict[tuple, np.ndarray]) -> tuple[DataFrame, DataFrame]:
-    """Blocks of classes, and the pairs of blocks to compare."""
-    spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast(pivots)
-    label_type = classes.schema["label"].dataType.simpleString()
+def _lists(rows: np.ndarray, width: int, type_: pa.DataType) -> pa.Array:
+    """Rows of ``width`` values each as a list column."""
+    flat = pa.array(rows.reshape(-1)).cast(type_)
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, width), pa.int32()), flat)
+
+
+def _pivots(sized: DataFrame, label_type: str) -> DataFrame:
+    """(label, dim, pivots): the pivots of each label of more than a block,
+    one after another. Candidates are drawn by a hash of the class, a few for
+    each pivot, so that a task sees at most a multiple of the square root of a
+    label's classes."""
+    wanted = F.least(F.ceil(F.col("n") / BLOCK), F.ceil(F.sqrt("n"))).cast("int")
+    draw = F.pmod(F.xxhash64("key", F.lit("pivot")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = (sized.where(F.col("n") > BLOCK).withColumn("wanted", wanted)
+             .where(draw < F.col("wanted") * CANDIDATES / F.col("n"))
+             .groupBy("label", "dim").agg(F.first("wanted").alias("wanted"),
+                                          F.sort_array(F.collect_list(F.struct("key", "vector"))).alias("drawn"))
+             .select("label", "dim", "wanted", F.flatten("drawn.vector").alias("flat")))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                dim = batch.column("dim")[r].as_py()
+                units = unit_rows(pa.FixedSizeListArray.from_arrays(batch.column("flat")[r].values, dim))
+                pivots = choose_pivots(units, batch.column("wanted")[r].as_py())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("label").slice(r, 1), batch.column("dim").slice(r, 1),
+                     _lists(pivots, pivots.size, pa.float64())], ["label", "dim", "pivots"])
+
+    return drawn.mapInArrow(chosen, f"label {label_type}, dim int, pivots array<double>")
+
+
+def _members(sized: DataFrame, pivots: DataFrame, label_type: str) -> DataFrame:
+    """Classes with their cell (the nearest pivot) and the distance to it.
+
+    Classes meet the pivots in packs of about a block, one row a pack.
+    """
+    packs = F.ceil(F.col("n") / BLOCK)
+    packed = (sized.withColumn("pack", F.pmod(F.xxhash64("key", F.lit("pack")), packs))
+              .groupBy("label", "dim", "pack").agg(F.collect_list(F.struct("key", "weight", "vector")).alias("rows"))
+              .select("label", "dim", F.col("rows.key").alias("keys"), F.col("rows.weight").alias("weights"),
+                      F.flatten("rows.vector").alias("flat")))
+    vector_type = sized.schema["vector"].dataType.simpleString()
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            groups = list(zip(batch.column("label").to_pylist(), batch.column("dim").to_pylist()))
-            cell, far = np.zeros(len(groups), np.int32), np.full(len(groups), 2.0)
-            for g in set(groups):
-                if g in shared.value:
-                    at = np.flatnonzero([x == g for x in groups])
-                    d = np.sqrt(np.maximum(2 - 2 * unit_rows(batch.column("vector").take(pa.array(at))) @ shared.value[g].T, 0))
-                    cell[at], far[at] = d.argmin(axis=1), d.min(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("label"), batch.column("dim"), pa.array(cell), pa.array(far),
-                 batch.column("weight"), batch.column("vector")], ["key", "label", "dim", "cell", "far", "weight", "vector"])
-
-    vector_type = classes.schema["vector"].dataType.simpleString()
-    members = materialize(classes.select("key", "label", "dim", "weight", "vector").mapInArrow(
-        placed, f"key string, label {label_type}, dim int, cell int, far double, weight long, vector {vector_type}"))
-    cells = materialize(members.groupBy("label", "dim", "cell").agg(
-        F.max("far").alias("far"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+            for r in range(batch.num_rows):
+                dim, flat = batch.column("dim")[r].as_py(), batch.column("flat")[r].values
+                n = len(flat) // dim
+                cell, far = np.zeros(n, np.int32), np.full(n, 2.0)
+                if batch.column("pivots")[r].is_valid:
+                    units = unit_rows(pa.FixedSizeListArray.from_arrays(flat, dim))
+                    at = batch.column("pivots")[r].values.to_numpy().reshape(-1, dim)
+                    far[:] = np.inf
+                    for k in range(0, len(at), BLOCK):
+                        d = np.sqrt(np.maximum(2 - 2 * (units @ at[k:k + BLOCK].T), 0))
+                        low = d.min(axis=1)
+                        nearer = low < far
+                        cell[nearer], far[nearer] = d.argmin(axis=1)[nearer] + k, low[nearer]
+                vector = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, dim), pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("keys")[r].values, pa.repeat(batch.column("label")[r], n),
+                     pa.repeat(batch.column("dim")[r], n), pa.array(cell), pa.array(far),
+                     batch.column("weights")[r].values, vector], ["key", "label", "dim", "cell", "far", "weight", "vector"])
+
+    return packed.join(pivots, ["label", "dim"], "left").mapInArrow(
+        placed, f"key string, label {label_type}, dim int, cell int, far double, weight long, vector {vector_type}")
+
+
+def _near_cells(cells: DataFrame, pivots: DataFrame, label_type: str, reach: float) -> DataFrame:
+    """Pairs of two cells whose pivots are near enough for a link between them."""
+    listed = (cells.groupBy("label", "dim").agg(F.sort_array(F.collect_list(F.struct("cell", "far", "blocks"))).alias("cells"))
+              .where(F.size("cells") > 1).join(pivots, ["label", "dim"])
+              .select("label", "dim", F.col("cells.cell").alias("cell"), F.col("cells.far").alias("far"),
+                      F.col("cells.blocks").alias("blocks"), "pivots",
+                      F.explode(F.sequence(F.lit(0), F.size("cells") - 1, F.lit(PIVOT_ROWS))).alias("start"))
+              .repartition("label", "dim", "start"))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                get = lambda c: batch.column(c)[r].values.to_numpy()
+                dim, start = batch.column("dim")[r].as_py(), batch.column("start")[r].as_py()
+                cell, far, blocks = get("cell"), get("far"), get("blocks")
+                at = get("pivots").reshape(-1, dim)[cell]
+                rows = np.arange(start, min(start + PIVOT_ROWS, len(cell)))
+                apart = np.sqrt(np.maximum(2 - 2 * (at[rows] @ at.T), 0))
+                found = apart <= far[rows][:, None] + far[None, :] + reach + SLACK
+                i, j = np.nonzero(found & (rows[:, None] < np.arange(len(cell))[None, :]))
+                i = rows[i]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(batch.column("label")[r], len(i)), pa.repeat(batch.column("dim")[r], len(i)),
+                     pa.array(cell[i]), pa.array(blocks[i]), pa.array(cell[j]), pa.array(blocks[j])],
+                    ["label", "dim", "cell_a", "blocks_a", "cell_b", "blocks_b"])
+
+    return listed.mapInArrow(near, f"label {label_type}, dim int, cell_a int, blocks_a int, cell_b int, blocks_b int")
+
+
+def _planted(blocks: DataFrame) -> DataFrame:
+    """Blocks in the order of their cover trees, with the trees' nodes."""
+    def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                dim, flat = batch.column("dim")[r].as_py(), batch.column("flat")[r].values
+                tree = build_tree(unit_rows(pa.FixedSizeListArray.from_arrays(flat, dim)))
+                order = pa.array(tree.order)
+                rows = flat.to_numpy().reshape(-1, dim)[tree.order]
+                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                nodes = [one(pa.array(getattr(tree, c)).cast(pa.float64() if t == "double" else pa.int32()))
+                         for c, t in NODES.items()]
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).slice(r, 1) for c in ("label", "dim", "cell", "block")],
+                     *[one(batch.column(c)[r].values.take(order)) for c in ("keys", "weights")],
+                     _lists(rows, rows.size, flat.type), *nodes],
+                    ["label", "dim", "cell", "block", "keys", "weights", "flat", *NODES])
+
+    given = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in blocks.schema)
+    return blocks.mapInArrow(planted, ", ".join([given, *[f"{c} array<{t}>" for c, t in NODES.items()]]))
+
+
+def _blocks(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Blocks of classes with their trees, and the pairs of blocks to compare."""
+    reach = float(np.sqrt(max(2 - 2 * threshold, 0.0)))
+    label_type = classes.schema["label"].dataType.simpleString()
     group = ["label", "dim"]
+    sizes = materialize(classes.groupBy(*group).agg(F.count(F.lit(1)).alias("n")))
+    sized = classes.join(sizes, group)
+    pivots = materialize(_pivots(sized, label_type))
+    members = materialize(_members(sized, pivots, label_type))
+    cells = materialize(members.groupBy(*group, "cell").agg(
+        F.max("far").alias("far"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
     blocks = (members.join(cells.select(*group, "cell", "blocks"), [*group, "cell"])
               .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
               .groupBy(*group, "cell", "block").agg(F.collect_list(F.struct("key", "weight", "vector")).alias("rows"))
               .select(*group, "cell", "block", F.col("rows.key").alias("keys"), F.col("rows.weight").alias("weights"),
                       F.flatten("rows.vector").alias("flat")))
-    # pairs of cells: each with itself, and two whose pivots are near enough
-    between = [(lab, dim, i, j, float(d)) for (lab, dim), p in pivots.items()
-               for i in range(len(p)) for j, d in enumerate(distances(p, p[i])) if i < j]
-    near = spark.createDataFrame(between, f"label {label_type}, dim int, cell_a int, cell_b int, apart double")
-    a = cells.select(*group, F.col("cell").alias("cell_a"), F.col("far").alias("far_a"), F.col("blocks").alias("blocks_a"))
-    b = cells.select(*group, F.col("cell").alias("cell_b"), F.col("far").alias("far_b"), F.col("blocks").alias("blocks_b"))
-    return blocks, near.join(a, [*group, "cell_a"]).join(b, [*group, "cell_b"]).unionByName(
-        a.select(*group, "cell_a", "far_a", "blocks_a", F.col("cell_a").alias("cell_b"), F.col("far_a").alias("far_b"),
-                 F.col("blocks_a").alias("blocks_b"), F.lit(0.0).alias("apart")))
+    own = cells.select(*group, F.col("cell").alias("cell_a"), F.col("blocks").alias("blocks_a"),
+                       F.col("cell").alias("cell_b"), F.col("blocks").alias("blocks_b"))
+    return _planted(blocks), own.unionByName(_near_cells(cells, pivots, label_type, reach))
 
 
 def _work(blocks: DataFrame, cell_pairs: DataFrame, threshold: float) -> DataFrame:
     """One row (u, v, weight) of each point of each block pair: its component
     in the pair, and the linked weight."""
-    reach = float(np.sqrt(max(2 - 2 * threshold, 0.0)))
-    pairs = cell_pairs.where(F.col("apart") <= F.col("far_a") + F.col("far_b") + reach + SLACK)
-    pairs = pairs.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks_a") - 1)).alias("block_a"))
+    pairs = cell_pairs.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks_a") - 1)).alias("block_a"))
     pairs = pairs.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks_b") - 1)).alias("block_b"))
     pairs = pairs.where("cell_a != cell_b or block_a <= block_b").select("label", "dim", "cell_a", "block_a", "cell_b", "block_b")
+    shipped = ["keys", "weights", "flat", *NODES]
 
     def side(s: str) -> DataFrame:
-        return blocks.select("label", "dim", *[F.col(c).alias(f"{c}_{s}") for c in ("cell", "block", "keys", "weights", "flat")])
+        return blocks.select("label", "dim", *[F.col(c).alias(f"{c}_{s}") for c in ("cell", "block", *shipped)])
 
     joined = (pairs.join(side("a"), ["label", "dim", "cell_a", "block_a"])
               .join(side("b"), ["label", "dim", "cell_b", "block_b"]))
     itself = F.expr("cell_a = cell_b and block_a = block_b")
-    work = joined.select("dim", itself.alias("itself"), "keys_a", "weights_a", "flat_a",
-                         *[F.when(~itself, F.col(c)).alias(c) for c in ("keys_b", "weights_b", "flat_b")])
+    work = joined.select("dim", itself.alias("itself"), *[f"{c}_a" for c in shipped],
+                         *[F.when(~itself, F.col(f"{c}_b")).alias(f"{c}_b") for c in shipped])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,13 +450,14 @@ def _work(blocks: DataFrame, cell_pairs: DataFrame, threshold: float) -> DataFra
                 get = lambda c: batch.column(c)[r].values
                 dim, itself = batch.column("dim")[r].as_py(), batch.column("itself")[r].as_py()
 
-                def units(c: str) -> np.ndarray:
-                    flat = get(c)
-                    return unit_rows(pa.FixedSizeListArray.from_arrays(flat, dim))
+                def tree(s: str) -> CoverTree:
+                    unit = unit_rows(pa.FixedSizeListArray.from_arrays(get(f"flat_{s}"), dim))
+                    nodes = [get(f"{c}_{s}").to_numpy().astype(float if t == "double" else np.int64) for c, t in NODES.items()]
+                    return CoverTree(unit, np.arange(len(unit)), *nodes)
 
                 keys = get("keys_a").to_pylist() + ([] if itself else get("keys_b").to_pylist())
-                count, label = compare_blocks(
-                    units("flat_a"), None if itself else units("flat_b"), get("weights_a").to_numpy(),
+                count, label = compare_trees(
+                    tree("a"), None if itself else tree("b"), get("weights_a").to_numpy(),
                     None if itself else get("weights_b").to_numpy(), threshold)
                 at = np.flatnonzero((count > 0) | (label != np.arange(len(keys))))
                 yield pa.RecordBatch.from_arrays(
@@ -363,7 +473,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     named = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vec_col).alias("vector"))
     rows, classes = _classes(named, "vector")
     rows, classes = materialize(rows), materialize(classes)
-    blocks, cell_pairs = _blocks(classes, _pivots(classes))
+    blocks, cell_pairs = _blocks(classes, threshold)
     found = materialize(_work(materialize(blocks), cell_pairs, threshold))
     linked = found.groupBy("u").agg(F.sum("n").alias("n")).withColumnRenamed("u", "key")
     roots = connected_components(found.where("u != v").select("u", "v"))

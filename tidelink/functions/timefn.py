@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 # as seconds lands after year 3000 are milliseconds. 3001-01-01T00:00:00Z:
 EPOCH_MS_THRESHOLD = 32535216000
 
+# Epochs that a calendar of four-digit years has, in seconds and milliseconds:
+# 0001-01-01T00:00:00Z and 10000-01-01T00:00:00Z.
+FIRST_EPOCH_S = -62135596800
+END_EPOCH_MS = 253402300800000
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -43,8 +48,13 @@ def add_seconds(ts, secs) -> Column:
 
 
 def epoch_auto(x) -> Column:
-    """Numeric epoch, seconds or milliseconds decided per row."""
+    """Numeric epoch, seconds or milliseconds decided per row.
+
+    Null where the number is no time of the years 1 to 9999 (NaN and the
+    infinities too), so that such a row can be put aside.
+    """
     v = _c(x).cast("double")
+    v = F.when((v >= F.lit(FIRST_EPOCH_S)) & (v < F.lit(END_EPOCH_MS)), v)
     return (F.when(v >= F.lit(EPOCH_MS_THRESHOLD), F.timestamp_millis(F.floor(v).cast("long")))
              .otherwise(F.timestamp_micros(F.round(v * 1e6).cast("long"))))
 
